@@ -1 +1,230 @@
-"""Registered queries."""
+"""Queries that fit, score and compare models.
+
+Every fit reads its whole table. Trees and depth are small here; the
+functions take any size.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kinolens.functions.text import letters_only_tokens
+from kinolens.labels import POLARITY_CUTOFFS
+from kinolens.operators import lexicon as lx
+from kinolens.operators import models as md
+from kinolens.operators import vectors as vc
+from kinolens.operators.metrics import threshold_sweep
+from kinolens.operators.sampling import split
+from kinolens.plans import sql as S
+from kinolens.plans.catalog import query
+from kinolens.session import fresh_dir
+from kinolens.sources import files as fl
+from kinolens.sources import views as V
+
+TREES, DEPTH = 3, 3
+LABELS = [str(i) for i in range(10)]
+
+
+def _vectors(spark, sf_dir):
+    """(train, test) of the embeddings with their one-hot target."""
+    rows = md.to_matrix(V.doc_vectors(spark, sf_dir).select("id", "vec", "target"), "vec", "target")
+    return split(rows, "id")
+
+
+def _binary(spark, sf_dir):
+    """(train, test) of the embeddings for the question: label below five."""
+    train, test = _vectors(spark, sf_dir)
+    low = (F.array_position("target", F.lit(1)) <= 5).cast("int")
+    return train.withColumn("target", low), test.withColumn("target", low)
+
+
+def _labelled(spark, sf_dir):
+    return split(V.labelled(spark, sf_dir), "id")
+
+
+@query("k1_fit_forest")
+def k1(spark, sf_dir):
+    train, _ = _binary(spark, sf_dir)
+    model = md.fit_forest(train, trees=20, depth=5)
+    rows = [(i, float(w)) for i, w in enumerate(model.featureImportances.toArray())]
+    return spark.createDataFrame(rows, "feature int, importance double")
+
+
+@query("k2_predict")
+def k2(spark, sf_dir):
+    train, test = _binary(spark, sf_dir)
+    return md.predict(md.fit_forest(train, trees=20, depth=5), test, "id")
+
+
+@query("k3_fit_per_label")
+def k3(spark, sf_dir):
+    train, test = _vectors(spark, sf_dir)
+    models = md.fit_per_label(train, LABELS, trees=[TREES] * 10, depth=[2, 3] * 5)
+    return md.score_labels(models, test).select("id", F.posexplode("p").alias("label", "p"))
+
+
+@query("k4_fit_multilabel")
+def k4(spark, sf_dir):
+    train, test = _vectors(spark, sf_dir)
+    models = md.fit_multilabel(train, LABELS, trees=TREES, depth=DEPTH)
+    return threshold_sweep(md.predict_proba(models, test, "id"))
+
+
+@query("k5_predict_proba")
+def k5(spark, sf_dir):
+    train, test = _vectors(spark, sf_dir)
+    return md.predict_proba(md.fit_multilabel(train, LABELS, trees=TREES, depth=DEPTH), test, "id")
+
+
+@query("k6_grid_search")
+def k6(spark, sf_dir):
+    train, _ = _binary(spark, sf_dir)
+    return md.grid_results(md.grid_search(train, [2, 4], [2, 3], folds=2), spark)
+
+
+def _counts(train, test):
+    return md.bow_features(train, test, "review", max_features=1000)
+
+
+def _hashed(combine):
+    def featurise(train, test):
+        vec = vc.hash_vector(letters_only_tokens("review"), 32, combine)
+        return tuple(md.to_matrix(p.withColumn("vec", vec), "vec", None) for p in (train, test))
+
+    return featurise
+
+
+@query("k7_compare_methods")
+def k7(spark, sf_dir):
+    train, test = _labelled(spark, sf_dir)
+    methods = {"counts": _counts, "hash_sum": _hashed("sum"), "hash_mean": _hashed("mean"), "hash_concat": _hashed("concat")}
+    return md.compare_methods(train, test, methods, "id", "sentiment", trees=10, depth=5)
+
+
+@query("k8_bow_flow")
+def k8(spark, sf_dir):
+    train, test = _labelled(spark, sf_dir)
+    return md.bow_flow(train, test, "id", "review", "sentiment", trees=20, depth=5, stop=True, stem=True, max_features=5000)
+
+
+@query("l6_evaluate_saved_models")
+def l6(spark, sf_dir):
+    train, test = _vectors(spark, sf_dir)
+    models = md.fit_multilabel(train, LABELS, trees=TREES, depth=2)
+    paths = fl.save_models(models, fresh_dir(spark, "models"))
+    return md.evaluate_saved_models(paths, test, "id")
+
+
+@query("a11_save_load_model")
+def a11(spark, sf_dir):
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    train, test = _binary(spark, sf_dir)
+    model = md.fit_forest(train, trees=5, depth=4)
+    loaded = RandomForestClassificationModel.load(fl.save_model(model, fresh_dir(spark, "forest")))
+    before = md.predict(model, test, "id").withColumnRenamed("prediction", "before")
+    return md.predict(loaded, test, "id").join(before.select("id", "before"), "id")
+
+
+# ---- lexicon sentiment: exact in SQL ----
+
+WORDS = f"""labelled AS (SELECT d.doc_id, d.text, quality AS sentiment FROM documents d JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+train_words AS (SELECT sentiment, unnest({S.letters_list('text')}) AS word FROM labelled
+                WHERE NOT (CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 30)),
+lexicon AS (SELECT word, round((count(*) FILTER (sentiment = 1) - count(*) FILTER (sentiment = 0)) / (count(*) + 1), 6) AS polarity
+            FROM train_words GROUP BY word)"""
+
+DOC_SCORES = f"""{WORDS},
+w AS (SELECT doc_id, unnest({S.letters_list('text')}) AS word FROM documents),
+k AS (SELECT doc_id, sum(CAST(round(polarity * 1000000) AS BIGINT)) AS micro, count(*) AS known FROM w JOIN lexicon USING (word) GROUP BY doc_id),
+scored AS (SELECT doc_id, text, round(coalesce(micro / known / 1000000, 0), 6) AS polarity,
+                  round(coalesce(known / len({S.letters_list('text')}), 0), 6) AS subjectivity
+           FROM documents LEFT JOIN k USING (doc_id))"""
+
+
+def _lexicon(spark, sf_dir):
+    train, _ = _labelled(spark, sf_dir)
+    return lx.learn_polarity(train, letters_only_tokens("review"))
+
+
+def _polarity(spark, sf_dir):
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lx.lexicon_sentiment(docs, "doc_id", letters_only_tokens("text"), _lexicon(spark, sf_dir))
+
+
+@query("k9_learn_polarity", f"WITH {WORDS} SELECT word, polarity FROM lexicon")
+def k9_learn(spark, sf_dir):
+    return _lexicon(spark, sf_dir)
+
+
+@query("k9_lexicon_sentiment", f"WITH {DOC_SCORES} SELECT doc_id, polarity, subjectivity FROM scored")
+def k9(spark, sf_dir):
+    return _polarity(spark, sf_dir)
+
+
+@query(
+    "k10_classify_polarity",
+    f"""WITH {DOC_SCORES} SELECT doc_id, CASE WHEN round_even(polarity, 0) > 0 THEN 1 ELSE 0 END AS rounded,
+       CASE WHEN polarity >= 0.1 THEN 1 ELSE 0 END AS cut FROM scored""",
+)
+def k10(spark, sf_dir):
+    rows = lx.classify_polarity(_polarity(spark, sf_dir)).withColumnRenamed("prediction", "rounded")
+    return lx.classify_polarity(rows, 0.1).select("doc_id", "rounded", F.col("prediction").alias("cut"))
+
+
+@query(
+    "k10_polarity_sweep",
+    f"""WITH {DOC_SCORES}, c(cutoff) AS (VALUES {', '.join(f'({x}::DOUBLE)' for x in POLARITY_CUTOFFS)}),
+p AS (SELECT polarity, sentiment FROM scored JOIN (SELECT doc_id, sentiment FROM labelled) USING (doc_id))
+SELECT cutoff, count(*) FILTER (polarity >= cutoff AND sentiment = 1) AS tp, count(*) FILTER (polarity >= cutoff AND sentiment = 0) AS fp,
+       count(*) FILTER (polarity < cutoff AND sentiment = 1) AS fn, count(*) FILTER (polarity < cutoff AND sentiment = 0) AS tn
+FROM p, c GROUP BY cutoff""",
+)
+def k10_sweep(spark, sf_dir):
+    marks = V.table(spark, sf_dir, "labels").where("quality IS NOT NULL").select("doc_id", "quality")
+    return lx.polarity_sweep(_polarity(spark, sf_dir).join(marks, "doc_id"), "quality")
+
+
+SENTENCES = f"""{WORDS},
+s AS (SELECT doc_id, {S.SENTENCES} AS l FROM documents),
+r AS (SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INT) AS pos, unnest(l) AS sentence FROM s),
+w AS (SELECT doc_id, pos, unnest({S.letters_list('sentence')}) AS word FROM r),
+k AS (SELECT doc_id, pos, sum(CAST(round(polarity * 1000000) AS BIGINT)) AS micro, count(*) AS known FROM w JOIN lexicon USING (word) GROUP BY ALL),
+sentence_scores AS (SELECT doc_id, pos, length(sentence) AS len, (round(coalesce(micro / known / 1000000, 0), 6) + 1) / 2 AS score
+           FROM r LEFT JOIN k USING (doc_id, pos))"""
+
+
+def _sentence_scores(spark, sf_dir):
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lx.score_sentiment(docs, "doc_id", "text", _lexicon(spark, sf_dir), by="sentence")
+
+
+@query("k11_score_sentiment", f"WITH {SENTENCES} SELECT doc_id, pos, len, score FROM sentence_scores")
+def k11(spark, sf_dir):
+    return _sentence_scores(spark, sf_dir)
+
+
+@query(
+    "k11_score_with_scorer",
+    "SELECT doc_id, length(replace(text, 'e', '')) / (length(text) + 1) AS score FROM documents",
+)
+def k11_scorer(spark, sf_dir):
+    def share(texts):
+        return [len(t.replace("e", "")) / (len(t) + 1) for t in texts]
+
+    # The raw text goes to the scorer as one unit per document.
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return vc.score_batches(docs, "doc_id", "text", lambda ts: [[x] for x in share(ts)], 100).select(
+        "doc_id", F.get("vec", F.lit(0)).alias("score")
+    )
+
+
+@query(
+    "k12_sentiment_predictions",
+    f"""WITH {SENTENCES}, m AS (SELECT doc_id, round(avg(score), 6) AS p FROM sentence_scores GROUP BY doc_id)
+SELECT doc_id AS id, p AS percent_prediction, CAST(round_even(p, 0) AS INT) AS prediction, sentiment AS actual
+FROM m JOIN labelled USING (doc_id)""",
+)
+def k12(spark, sf_dir):
+    marks = V.table(spark, sf_dir, "labels").where("quality IS NOT NULL")
+    return lx.sentiment_predictions(_sentence_scores(spark, sf_dir), marks, "doc_id", "quality")

@@ -1 +1,97 @@
-"""Registered queries."""
+"""Queries that run a stream to its end and return what it wrote.
+
+The streams read the given tables as arriving files; the SQL states what a
+batch job would give.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kinolens.labels import UNWANTED_GENRES
+from kinolens.operators import models as md
+from kinolens.operators.extract import extract_titles
+from kinolens.operators.sampling import split
+from kinolens.operators.tables import update_by_key
+from kinolens.operators.vectors import hash_scorer
+from kinolens.plans import sql as S
+from kinolens.plans.catalog import query
+from kinolens.plans.q_extract import listing_pages
+from kinolens.plans.q_relate import LONGEST
+from kinolens.plans.q_vector import DIM, SUM_SQL, _joined
+from kinolens.session import fresh_dir
+from kinolens.sources import views as V
+from kinolens.streaming import streams as sm
+
+
+def _arriving(spark, sf_dir, name):
+    schema = V.table(spark, sf_dir, name).schema
+    return sm.file_stream(spark, sf_dir, schema, f"{name}.parquet")
+
+
+@query(
+    "m1_stream_new_titles",
+    f"""WITH {S.FILMS},
+g AS (SELECT title_url, string_agg(label, ' | ' ORDER BY label) FILTER (label NOT IN ({S.quoted(UNWANTED_GENRES)})) AS genre
+      FROM film_labels GROUP BY title_url),
+d AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS rid, coalesce(genre, '') AS genre FROM documents JOIN g ON g.title_url = source)
+SELECT '/title/' || rid || '/' AS title_url, 'Film ' || rid AS title, genre FROM d ANTI JOIN labels USING (doc_id)
+UNION ALL SELECT '/title/next' || rid || '/', 'Film ' || rid, genre FROM d""",
+)
+def m1(spark, sf_dir):
+    landed = fresh_dir(spark, "landed")
+    pages = listing_pages(spark, sf_dir)
+    # The same pages land twice, as when a listing is fetched again.
+    pages.write.parquet(f"{landed}/day=1")
+    pages.write.parquet(f"{landed}/day=2")
+    seen = V.table(spark, sf_dir, "labels").select(F.concat(F.lit("/title/"), "doc_id", F.lit("/")).alias("title_url"))
+    stream = sm.file_stream(spark, landed, T.StructType([*pages.schema.fields, T.StructField("day", T.IntegerType())]), files_per_batch=1)
+    out = fresh_dir(spark, "titles")
+    sm.run_to_end(sm.stream_new_titles(stream, extract_titles, seen, "title_url", out, fresh_dir(spark, "ckpt")))
+    return spark.read.parquet(out).select("title_url", "title", "genre")
+
+
+@query(
+    "m2_stream_backfill",
+    rf"""{SUM_SQL} SELECT doc_id, n_chars, {_joined([f's{i}' for i in range(DIM)], 'CAST({} AS VARCHAR)')} AS doc_vec,
+CAST(len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS INT) AS word_count
+FROM s JOIN documents USING (doc_id)""",
+)
+def m2(spark, sf_dir):
+    out = fresh_dir(spark, "backfill")
+    docs = _arriving(spark, sf_dir, "documents")
+    sm.run_to_end(sm.stream_backfill(docs, "doc_id", "text", hash_scorer(DIM), out, fresh_dir(spark, "ckpt")))
+    filled = spark.read.parquet(out)
+    base = V.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    rows = update_by_key(base, filled, "doc_id", ["doc_vec", "word_count"])
+    return rows.withColumn("doc_vec", F.array_join(F.col("doc_vec").cast("array<long>"), " "))
+
+
+@query("m3_stream_longest_review", LONGEST)
+def m3(spark, sf_dir):
+    turns = _arriving(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("title_url"), F.col("turn").alias("pos"), F.col("text").alias("review")
+    )
+    out = fresh_dir(spark, "longest")
+    sm.run_to_end(sm.stream_longest_review(turns, out, fresh_dir(spark, "ckpt")))
+    schema = sm.running_longest_review(V.film_reviews(spark, sf_dir)).schema
+    return sm.latest_longest_review(spark, out, schema)
+
+
+@query("m4_stream_score")
+def m4(spark, sf_dir):
+    rows = md.to_matrix(V.doc_vectors(spark, sf_dir).select("id", "vec", "target"), "vec", "target")
+    train, _ = split(rows, "id")
+    models = md.fit_multilabel(train, [str(i) for i in range(10)], trees=2, depth=2)
+
+    def score(stream):
+        vec = array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+        scored = md.predict_proba(models, stream.select(F.col("vec_id").alias("id"), vec), "id", target=None)
+        return scored
+
+    out = fresh_dir(spark, "scored")
+    stream = _arriving(spark, sf_dir, "embeddings")
+    sm.run_to_end(sm.stream_score(stream, score, out, fresh_dir(spark, "ckpt")))
+    return spark.read.parquet(out)
