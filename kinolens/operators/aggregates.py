@@ -125,22 +125,20 @@ def sum_vectors(
     """Document vector from word vectors: repeats count, unknown words do not.
 
     Each dimension is one partial aggregate, so a row leaves its partition as
-    one partial vector instead of one row per word and dimension. A document
-    with no known word gets zeros. ``combine='mean'`` divides by the known words.
+    one partial vector instead of one row per word and dimension. Unknown
+    words join to nothing and add nothing, which also keeps the documents with
+    no known word: they get zeros. ``combine='mean'`` divides by the known words.
     """
-    counts = term_counts(docs, key, tokens)
+    counts = docs.select(key, F.inline_outer(count_words(tokens)))
     side = vectors.select("word", "vec")
-    known = counts.join(small_side(side, max_words) if max_words else side, "word")
-    sums = [F.sum(F.col("n") * F.get("vec", F.lit(i))).alias(f"s{i}") for i in range(dim)]
-    total = known.groupBy(key).agg(*sums, F.sum("n").alias("known"))
-    parts = [F.col(f"s{i}").cast("double") for i in range(dim)]
-    if combine == "mean":
-        parts = [p / F.col("known") for p in parts]
-    zeros = F.array(*[F.lit(0.0)] * dim)
-    filled = total.select(key, F.array(*parts).alias("vec"), "known")
-    return docs.select(key).join(filled, key, "left").select(
-        key, F.coalesce("vec", zeros).alias("vec"), F.coalesce("known", F.lit(0)).alias("known")
-    )
+    matched = counts.join(small_side(side, max_words) if max_words else side, "word", "left")
+    sums = [F.expr(f"cast(coalesce(sum(n * get(vec, {i})), 0) as double)") for i in range(dim)]
+    known = F.coalesce(F.sum(F.when(F.col("vec").isNotNull(), F.col("n"))), F.lit(0))
+    total = matched.groupBy(key).agg(F.array(*sums).alias("vec"), known.alias("known"))
+    if combine != "mean":
+        return total
+    size = F.greatest("known", F.lit(1))
+    return total.select(key, F.transform("vec", lambda x: x / size).alias("vec"), "known")
 
 
 def label_distribution(df: DataFrame, vector: str, labels) -> DataFrame:

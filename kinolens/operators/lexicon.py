@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinolens.functions.arrays import round_half_even
+from kinolens.functions.arrays import round_half_even, round_ratio
 from kinolens.functions.text import count_words
 from kinolens.labels import POLARITY_CUTOFFS
 from kinolens.operators.aggregates import mean_sentence_score, term_counts, weighted_sentence_score
@@ -29,8 +29,8 @@ def learn_polarity(df: DataFrame, tokens, sentiment: str = "sentiment", smooth:
     counts = words.groupBy("word").agg(
         F.count_if(F.col("s") == 1).alias("p"), F.count_if(F.col("s") == 0).alias("n")
     )
-    ratio = (F.col("p") - F.col("n")) / (F.col("p") + F.col("n") + smooth)
-    return counts.select("word", F.round(ratio, 6).alias("polarity"))
+    ratio = round_ratio(F.col("p") - F.col("n"), F.col("p") + F.col("n") + smooth)
+    return counts.select("word", ratio.alias("polarity"))
 
 
 def _score_words(words: DataFrame, keys, lexicon: DataFrame, texts: DataFrame) -> DataFrame:
@@ -43,9 +43,10 @@ def _score_words(words: DataFrame, keys, lexicon: DataFrame, texts: DataFrame) -
     known = words.join(scaled, "word")
     sums = known.groupBy(*keys).agg(F.sum(F.col("micro") * F.col("n")).alias("micro"), F.sum("n").alias("known"))
     joined = texts.join(sums, list(keys), "left")
-    polarity = F.coalesce(F.col("micro") / F.col("known") / 1_000_000, F.lit(0.0))
-    share = F.coalesce(F.try_divide("known", "total"), F.lit(0.0))
-    return joined.select(*keys, F.round(polarity, 6).alias("polarity"), F.round(share, 6).alias("subjectivity"))
+    # micro / known is in millionths already, so one unit is the rounding step.
+    polarity = F.coalesce(round_ratio("micro", "known", 1) / 1_000_000, F.lit(0.0))
+    share = F.coalesce(round_ratio("known", F.col("total").cast("long")), F.lit(0.0))
+    return joined.select(*keys, polarity.alias("polarity"), share.alias("subjectivity"))
 
 
 def lexicon_sentiment(df: DataFrame, key: str, tokens, lexicon: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def fit_forest(
     df: DataFrame, features: str = "features", target: str = "target", trees: int = 500, depth: int = 10,
     seed: int = SEED,
 ) -> RandomForestClassificationModel:
-    """Random forest for a 0/1 target."""
+    """Random forest for a 0/1 target; persist ``df`` when features are costly."""
     forest = RandomForestClassifier(
         featuresCol=features, labelCol=target, numTrees=trees, maxDepth=depth, seed=seed,
     )
@@ -208,7 +208,12 @@ def compare_methods(
     scored = None
     for name, featurise in methods.items():
         train_x, test_x = featurise(train, test)
-        model = fit_forest(train_x.select("features", target), target=target, trees=trees, depth=depth)
+        # A fit reads its input several times before the trees are grown.
+        frame = train_x.select("features", target).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = fit_forest(frame, target=target, trees=trees, depth=depth)
+        finally:
+            frame.unpersist()
         rows = predict(model, test_x, key, target).withColumn("method", F.lit(name))
         scored = rows if scored is None else scored.unionByName(rows)
     return binary_report(scored, ["method"])

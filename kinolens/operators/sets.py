@@ -39,22 +39,17 @@ def label_overlap(counts: DataFrame, labels, k: int) -> DataFrame:
     Each word becomes one row of 0/1 flags over the fixed label list, and the
     pairs are conditional sums over those rows: no self-join, one pass.
     """
-    labels = list(labels)
+    labels = sorted(labels)
     top = top_words(counts, k)
     flags = top.groupBy("word").agg(
         *[F.max((F.col("label") == x).cast("int")).alias(f"f{i}") for i, x in enumerate(labels)]
     )
-    pairs = list(combinations(range(len(labels)), 2))
-    both = {p: F.sum(F.col(f"f{p[0]}") * F.col(f"f{p[1]}")) for p in pairs}
-    either = {p: F.sum(F.greatest(f"f{p[0]}", f"f{p[1]}")) for p in pairs}
     cells = [
-        F.struct(
-            F.lit(min(labels[i], labels[j])).alias("label_a"),
-            F.lit(max(labels[i], labels[j])).alias("label_b"),
-            both[i, j].alias("shared"),
-            either[i, j].alias("together"),
+        F.expr(
+            f"named_struct('label_a', '{labels[i]}', 'label_b', '{labels[j]}',"
+            f" 'shared', sum(f{i} * f{j}), 'together', sum(greatest(f{i}, f{j})))"
         )
-        for i, j in pairs
+        for i, j in combinations(range(len(labels)), 2)
     ]
     long = flags.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
     return long.select(

@@ -34,50 +34,67 @@ def word_signs(word, dim: int) -> Column:
     return F.transform(F.split(bits, ""), lambda b: F.when(b == "1", -1).otherwise(1))
 
 
-def _sum_signs(tokens: Column, dim: int) -> Column:
-    """Signed sum over the words of one document, dimension by dimension."""
-    weighted = F.transform(
-        count_words(tokens), lambda c: F.struct(c["n"].alias("n"), word_signs(c["word"], dim).alias("s"))
-    )
+def _digit_columns(rows: DataFrame, keep, word: str, dim: int) -> DataFrame:
+    """The md5 digits behind ``dim`` signs as numbers ``c0, c1, ...`` of 8 digits each."""
+    blocks = (dim + 31) // 32
+    digests = rows.select(*keep, *[F.md5(F.concat(F.col(word), F.lit(f"#{b}"))).alias(f"d{b}") for b in range(blocks)])
+    chunks = [
+        F.expr(f"cast(conv(substring(d{c // 4}, {8 * (c % 4) + 1}, 8), 16, 10) as bigint) as c{c}")
+        for c in range((dim + 7) // 8)
+    ]
+    return digests.select(*keep, *chunks)
 
-    def fold(words):
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda i: F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc + w["n"] * F.get(w["s"], i)),
-        )
 
-    return F.flatten(F.transform(F.array(weighted), fold))
+def _dimension_sums(dim: int, condition: str | None = None) -> list[Column]:
+    """One partial aggregate per dimension: plus n for an even digit, else minus n.
 
+    A document without words gives 0.
+    """
+    out = []
+    for i in range(dim):
+        cell = f"n * (1 - 2 * (shiftrightunsigned(c{i // 8}, {4 * (7 - i % 8)}) & 1))"
+        cell = f"if({condition}, {cell}, null)" if condition else cell
+        out.append(F.expr(f"cast(coalesce(sum({cell}), 0) as double)"))
+    return out
 
-def hash_vector(tokens, dim: int = 300, combine: str = "sum", segments: int = 2) -> Column:
-    """Signed random projection of the word counts of one document.
+
+def doc_vectors(df: DataFrame, key: str, tokens, dim: int = 300, combine: str = "sum", segments: int = 2) -> DataFrame:
+    """(key, vec): signed random projection of the word counts of a document.
 
     ``sum`` adds the signs of all words, ``mean`` divides by their number, and
     ``concat`` cuts the document into ``segments`` equal stretches that fill
-    ``dim / segments`` dimensions each. Works inside the row.
+    ``dim / segments`` dimensions each.
+
+    All words of a document sit in one row, so the partial aggregation leaves
+    one vector per document before anything is exchanged.
     """
     words = F.col(tokens) if isinstance(tokens, str) else tokens
-    if combine == "sum":
-        return _sum_signs(words, dim).cast("array<double>")
-    if combine == "mean":
-        size = F.greatest(F.size(words), F.lit(1))
-        return F.transform(_sum_signs(words, dim), lambda x: x / size)
-    if combine != "concat":
+    if combine not in ("sum", "mean", "concat"):
         raise ValueError("combine must be 'sum', 'mean' or 'concat'")
+    if combine != "concat":
+        rows = df.select(key, F.inline_outer(count_words(words)))
+        digits = _digit_columns(rows, [key, "n"], "word", dim)
+        total = F.greatest(F.coalesce(F.sum("n"), F.lit(0)), F.lit(1))
+        grouped = digits.groupBy(key).agg(F.array(*_dimension_sums(dim)).alias("vec"), total.alias("total"))
+        vec = F.col("vec") if combine == "sum" else F.transform("vec", lambda x: x / F.col("total"))
+        return grouped.select(key, vec.alias("vec"))
     if dim % segments:
         raise ValueError("dim must be a multiple of segments")
-    size = F.size(words)
+    width = dim // segments
+    held = df.select(key, words.alias("__words"))
+    size = F.size("__words")
     parts = []
     for s in range(segments):
         start = F.floor(size * s / segments).cast("int")
         stop = F.floor(size * (s + 1) / segments).cast("int")
-        parts.append(_sum_signs(F.slice(words, start + 1, stop - start), dim // segments))
-    return F.concat(*parts).cast("array<double>")
-
-
-def doc_vectors(df: DataFrame, key: str, tokens, dim: int = 300, combine: str = "sum", segments: int = 2) -> DataFrame:
-    """(key, vec) of every document; a map, no shuffle."""
-    return df.select(key, hash_vector(tokens, dim, combine, segments).alias("vec"))
+        counted = count_words(F.slice("__words", start + 1, stop - start))
+        parts.append(
+            F.transform(counted, lambda c: F.struct(c["word"].alias("word"), c["n"].alias("n"), F.lit(s).alias("seg")))
+        )
+    rows = held.select(key, F.inline_outer(F.concat(*parts)))
+    digits = _digit_columns(rows, [key, "n", "seg"], "word", width)
+    sums = [c for s in range(segments) for c in _dimension_sums(width, f"seg = {s}")]
+    return digits.groupBy(key).agg(F.array(*sums).alias("vec"))
 
 
 # ---- pluggable batch scorers ----

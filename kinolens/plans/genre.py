@@ -13,6 +13,7 @@ from kinolens.functions.text import clean_tokens, drop_words
 from kinolens.operators.aggregates import label_word_counts
 from kinolens.operators.ranking import top_words
 from kinolens.operators.tokens import stop_words
+from kinolens.session import materialise
 from kinolens.sources.views import movies, reviews
 
 
@@ -21,10 +22,16 @@ def review_tokens(df: DataFrame, text: str = "review", stops=None):
     return drop_words(clean_tokens(F.col(text), ascii_only=True), stops or stop_words())
 
 
-def label_dictionaries(spark: SparkSession, sf_dir: str, stops=None) -> DataFrame:
-    """(label, word, n) over all reviews."""
+def label_dictionaries(spark: SparkSession, sf_dir: str, stops=None, store: bool = False) -> DataFrame:
+    """(label, word, n) over all reviews.
+
+    ``store`` writes the table to the shared folder and reads it back. Flows
+    that use the counts more than once ask for it: otherwise the optimizer may
+    push a later join below the aggregation and the text is cleaned again.
+    """
     docs = reviews(spark, sf_dir)
-    return label_word_counts(docs, review_tokens(docs, stops=stops), movies(spark, sf_dir))
+    counts = label_word_counts(docs, review_tokens(docs, stops=stops), movies(spark, sf_dir))
+    return materialise(counts, "dictionaries") if store else counts
 
 
 def top_words_per_label(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:

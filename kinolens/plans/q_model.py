@@ -88,8 +88,11 @@ def _counts(train, test):
 
 def _hashed(combine):
     def featurise(train, test):
-        vec = vc.hash_vector(letters_only_tokens("review"), 32, combine)
-        return tuple(md.to_matrix(p.withColumn("vec", vec), "vec", None) for p in (train, test))
+        def side(part):
+            vectors = vc.doc_vectors(part, "id", letters_only_tokens("review"), 32, combine)
+            return md.to_matrix(vectors.join(part.select("id", "sentiment"), "id"), "vec")
+
+        return side(train), side(test)
 
     return featurise
 
@@ -131,15 +134,15 @@ def a11(spark, sf_dir):
 WORDS = f"""labelled AS (SELECT d.doc_id, d.text, quality AS sentiment FROM documents d JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
 train_words AS (SELECT sentiment, unnest({S.letters_list('text')}) AS word FROM labelled
                 WHERE NOT (CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 30)),
-lexicon AS (SELECT word, round((count(*) FILTER (sentiment = 1) - count(*) FILTER (sentiment = 0)) / (count(*) + 1), 6) AS polarity
+lexicon AS (SELECT word, floor((2000000 * (count(*) FILTER (sentiment = 1) - count(*) FILTER (sentiment = 0)) + count(*) + 1) / (2 * (count(*) + 1))) / 1000000 AS polarity
             FROM train_words GROUP BY word)"""
 
 DOC_SCORES = f"""{WORDS},
 w AS (SELECT doc_id, unnest({S.letters_list('text')}) AS word FROM documents),
 k AS (SELECT doc_id, sum(CAST(round(polarity * 1000000) AS BIGINT)) AS micro, count(*) AS known FROM w JOIN lexicon USING (word) GROUP BY doc_id),
-scored AS (SELECT doc_id, text, round(coalesce(micro / known / 1000000, 0), 6) AS polarity,
-                  round(coalesce(known / len({S.letters_list('text')}), 0), 6) AS subjectivity
-           FROM documents LEFT JOIN k USING (doc_id))"""
+scored AS (SELECT doc_id, text, coalesce(floor((2 * micro + known) / (2 * known)) / 1000000, 0) AS polarity,
+                  coalesce(floor((2000000 * known + size) / (2 * size)) / 1000000, 0) AS subjectivity
+           FROM (SELECT doc_id, text, len({S.letters_list('text')}) AS size FROM documents) LEFT JOIN k USING (doc_id))"""
 
 
 def _lexicon(spark, sf_dir):
@@ -190,7 +193,7 @@ s AS (SELECT doc_id, {S.SENTENCES} AS l FROM documents),
 r AS (SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INT) AS pos, unnest(l) AS sentence FROM s),
 w AS (SELECT doc_id, pos, unnest({S.letters_list('sentence')}) AS word FROM r),
 k AS (SELECT doc_id, pos, sum(CAST(round(polarity * 1000000) AS BIGINT)) AS micro, count(*) AS known FROM w JOIN lexicon USING (word) GROUP BY ALL),
-sentence_scores AS (SELECT doc_id, pos, length(sentence) AS len, (round(coalesce(micro / known / 1000000, 0), 6) + 1) / 2 AS score
+sentence_scores AS (SELECT doc_id, pos, length(sentence) AS len, (coalesce(floor((2 * micro + known) / (2 * known)) / 1000000, 0) + 1) / 2 AS score
            FROM r LEFT JOIN k USING (doc_id, pos))"""
 
 

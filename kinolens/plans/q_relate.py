@@ -258,7 +258,7 @@ r AS (SELECT label, word, n, row_number() OVER (PARTITION BY label ORDER BY n DE
 SELECT label, CAST(rk AS INT) AS rank, word, n FROM r WHERE rk <= 37""",
 )
 def h6(spark, sf_dir):
-    rows = st.distinctive_words(label_dictionaries(spark, sf_dir), LABELS_14, 37, common_k=500)
+    rows = st.distinctive_words(label_dictionaries(spark, sf_dir, store=True), LABELS_14, 37, common_k=500)
     return rows.select("label", "rank", "word", "n")
 
 
@@ -270,7 +270,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY weight DESC, word
 SELECT label, CAST(rk AS INT) AS rank, word, n, weight FROM r WHERE rk <= 37""",
 )
 def h6_weight(spark, sf_dir):
-    rows = st.distinctive_by_weight(label_dictionaries(spark, sf_dir), len(LABELS_14), 37)
+    rows = st.distinctive_by_weight(label_dictionaries(spark, sf_dir, store=True), len(LABELS_14), 37)
     return rows.select("label", "rank", "word", "n", "weight")
 
 

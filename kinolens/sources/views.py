@@ -9,8 +9,23 @@ from kinolens.functions.arrays import names_of
 from kinolens.labels import LABELS_14
 
 
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input that arrives in fewer splits than there are cores.
+
+    A file with one row group cannot be split, and cleaning text costs far more
+    than moving it once. Large tables have many more splits than cores and are
+    returned as they are, so nothing is shuffled for them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in TEXT_TABLES else rows
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
