@@ -28,13 +28,12 @@ def explode_labels(df: DataFrame, vector: str, labels) -> DataFrame:
 def label_word_counts(reviews: DataFrame, tokens, movie_labels: DataFrame, key: str = "title_url") -> DataFrame:
     """Occurrences per (label, word); a review counts for every label of its film.
 
-    Words are counted per film first. Only then do film labels come in, so
-    text never travels through the join, a film with very many reviews is
-    already reduced to its vocabulary, and each count is multiplied by the
-    labels as late as possible. ``movie_labels`` has (key, labels array).
+    Words are counted per review and then per film. Only then do film labels
+    come in, so text never travels through the join, a film with very many
+    reviews is already reduced to its vocabulary, and each count is multiplied
+    by the labels as late as possible. ``movie_labels`` has (key, labels array).
     """
-    words = reviews.select(key, F.explode(tokens).alias("word"))
-    per_film = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
+    per_film = term_counts(reviews, key, tokens).groupBy(key, "word").agg(F.sum("n").alias("n"))
     labelled = per_film.join(movie_labels.select(key, "labels"), key)
     exploded = labelled.select(F.explode("labels").alias("label"), "word", "n")
     return exploded.groupBy("label", "word").agg(F.sum("n").alias("n"))
@@ -42,8 +41,7 @@ def label_word_counts(reviews: DataFrame, tokens, movie_labels: DataFrame, key:
 
 def corpus_vocabulary(df: DataFrame, tokens, max_features: int = MAX_FEATURES) -> DataFrame:
     """The most frequent words of the corpus with their counts; ties by word."""
-    words = df.select(F.explode(tokens).alias("word"))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = df.select(F.inline(count_words(tokens))).groupBy("word").agg(F.sum("n").alias("n"))
     return counts.orderBy(F.desc("n"), "word").limit(max_features)
 
 

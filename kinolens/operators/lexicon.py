@@ -6,15 +6,15 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinolens.functions.arrays import round_half_even, round_ratio
-from kinolens.functions.text import count_words
+from kinolens.functions.text import count_words, split_words
 from kinolens.labels import POLARITY_CUTOFFS
-from kinolens.operators.aggregates import mean_sentence_score, term_counts, weighted_sentence_score
-from kinolens.operators.tokens import cleaned_document, sentence_tokens, tokenise
+from kinolens.operators.aggregates import mean_sentence_score, weighted_sentence_score
+from kinolens.operators.tokens import cleaned_document, sentence_tokens
 
 TextScorer = Callable[[Sequence[str]], np.ndarray]
 
@@ -25,28 +25,34 @@ def learn_polarity(df: DataFrame, tokens, sentiment: str = "sentiment", smooth:
     ``(p - n) / (p + n + smooth)`` over the occurrences in positive and
     negative texts, so rare words stay close to 0.
     """
-    words = df.select(F.col(sentiment).alias("s"), F.explode(tokens).alias("word"))
+    words = df.select(F.col(sentiment).alias("s"), F.inline(count_words(tokens)))
     counts = words.groupBy("word").agg(
-        F.count_if(F.col("s") == 1).alias("p"), F.count_if(F.col("s") == 0).alias("n")
+        F.sum(F.when(F.col("s") == 1, F.col("n")).otherwise(0)).alias("p"),
+        F.sum(F.when(F.col("s") == 0, F.col("n")).otherwise(0)).alias("n"),
     )
     ratio = round_ratio(F.col("p") - F.col("n"), F.col("p") + F.col("n") + smooth)
     return counts.select("word", ratio.alias("polarity"))
 
 
-def _score_words(words: DataFrame, keys, lexicon: DataFrame, texts: DataFrame) -> DataFrame:
-    """Average polarity of known words and the share of known words per key.
+def _score_words(units: DataFrame, keys, words: Column, lexicon: DataFrame) -> DataFrame:
+    """Average polarity of the known words of each unit, and their share.
 
-    Sums are taken over millionths, so the result does not depend on the
-    order in which partitions are added up.
+    One pass: the number of words rides along as a group key, and words that
+    the lexicon lacks join to nothing, so units without any known word stay.
+    Sums are taken over millionths and do not depend on the order of addition.
     """
     scaled = lexicon.select("word", F.round(F.col("polarity") * 1_000_000).cast("long").alias("micro"))
-    known = words.join(scaled, "word")
-    sums = known.groupBy(*keys).agg(F.sum(F.col("micro") * F.col("n")).alias("micro"), F.sum("n").alias("known"))
-    joined = texts.join(sums, list(keys), "left")
+    # The size is taken before the words are exploded, once per unit.
+    sized = units.select(*keys, F.size(words).cast("long").alias("total"), words.alias("__words"))
+    rows = sized.select(*keys, "total", F.inline_outer(count_words("__words")))
+    sums = rows.join(scaled, "word", "left").groupBy(*keys, "total").agg(
+        F.sum(F.col("micro") * F.col("n")).alias("micro"),
+        F.sum(F.when(F.col("micro").isNotNull(), F.col("n"))).alias("known"),
+    )
     # micro / known is in millionths already, so one unit is the rounding step.
     polarity = F.coalesce(round_ratio("micro", "known", 1) / 1_000_000, F.lit(0.0))
-    share = F.coalesce(round_ratio("known", F.col("total").cast("long")), F.lit(0.0))
-    return joined.select(*keys, polarity.alias("polarity"), share.alias("subjectivity"))
+    share = F.coalesce(round_ratio("known", "total"), F.lit(0.0))
+    return sums.select(*keys, polarity.alias("polarity"), share.alias("subjectivity"))
 
 
 def lexicon_sentiment(df: DataFrame, key: str, tokens, lexicon: DataFrame) -> DataFrame:
@@ -55,8 +61,8 @@ def lexicon_sentiment(df: DataFrame, key: str, tokens, lexicon: DataFrame) -> Da
     Subjectivity is the share of words that the lexicon knows. A text without
     any known word is neutral.
     """
-    counts = term_counts(df, key, tokens)
-    return _score_words(counts, [key], lexicon, df.select(key, F.size(tokens).alias("total")))
+    words = F.col(tokens) if isinstance(tokens, str) else tokens
+    return _score_words(df, [key], words, lexicon)
 
 
 def classify_polarity(df: DataFrame, cutoff: float | None = None) -> DataFrame:
@@ -98,23 +104,15 @@ def score_sentiment(
         keys = [key, "pos"]
     else:
         units = df.select(key, cleaned_document(text).alias("text"))
-        units = units.withColumn("words", tokenise("text", lambda c: F.array_remove(F.split(c, " "), "")))
+        units = units.withColumn("words", split_words("text"))
         units = units.withColumn("len", F.length("text").cast("long"))
         keys = [key]
     if scorer is not None:
         return _score_with(units.select(*keys, "text", "len"), keys, scorer, batch)
     if lexicon is None:
         raise ValueError("give a lexicon or a scorer")
-    counted = _inline_counts(units, keys)
-    totals = units.select(*keys, F.size("words").alias("total"))
-    scored = _score_words(counted, keys, lexicon, totals)
-    return units.select(*keys, "len").join(
-        scored.select(*keys, ((F.col("polarity") + 1) / 2).alias("score")), keys
-    )
-
-
-def _inline_counts(units: DataFrame, keys) -> DataFrame:
-    return units.select(*keys, F.inline(count_words("words")))
+    scored = _score_words(units, [*keys, "len"], F.col("words"), lexicon)
+    return scored.select(*keys, "len", ((F.col("polarity") + 1) / 2).alias("score"))
 
 
 def _score_with(units: DataFrame, keys, scorer: TextScorer, batch: int) -> DataFrame:
