@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinolens.functions.text import count_words, word_count
@@ -71,25 +71,25 @@ def tf_array(df: DataFrame, tokens: str, words: list[str], out: str = "tf") -> D
     return vectors.withColumn(out, vector_to_array("__tf").cast("array<int>")).drop("__tf")
 
 
-def tf_idf(counts: DataFrame, docs: DataFrame, key: str, threshold: int = 0, relative: bool = False) -> DataFrame:
+def tf_idf(df: DataFrame, key: str, tokens, threshold: int = 0, relative: bool = False) -> DataFrame:
     """TF-IDF weight of each word of each document: ``tf * ln(N / df)``.
 
-    ``counts`` is (key, word, n); ``docs`` has one row per document and gives
-    N. ``threshold`` drops words that occur that often or less in a document;
-    ``relative`` divides by the words left in the document. The document
-    frequencies are aggregated before the join, so both shuffles of it carry
-    counts, not text.
+    ``threshold`` drops words that occur that often or less in a document;
+    ``relative`` divides by the number of words left in it. Both are done in
+    the row, before anything is exploded. What is shuffled are counts: once for
+    the document frequencies, once for the join by word, whose hot words are
+    split by adaptive execution. N is a scalar subquery.
     """
-    kept = counts.where(F.col("n") > threshold) if threshold else counts
-    tf: Column = F.col("n").cast("double")
-    if relative:
-        totals = kept.groupBy(key).agg(F.sum("n").alias("total"))
-        kept = kept.join(totals, key)
-        tf = tf / F.col("total")
+    counted = df.select(key, count_words(tokens).alias("__counts"))
+    if threshold:
+        counted = counted.withColumn("__counts", F.filter("__counts", lambda c: c["n"] > threshold))
+    total = F.aggregate(F.col("__counts.n"), F.lit(0).cast("long"), lambda acc, n: acc + n)
+    kept = counted.withColumn("total", total).select(key, "total", F.inline("__counts"))
     spread = kept.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = docs.agg(F.count(F.lit(1)).alias("N")).scalar()
-    weighted = kept.join(spread, "word")
-    return weighted.select(key, "word", "n", "df", (tf * F.log(n_docs / F.col("df"))).alias("weight"))
+    n_docs = df.agg(F.count(F.lit(1)).alias("N")).scalar()
+    tf = F.col("n") / F.col("total") if relative else F.col("n").cast("double")
+    weight = tf * F.log(n_docs / F.col("df"))
+    return kept.join(spread, "word").select(key, "word", "n", "df", weight.alias("weight"))
 
 
 def mean_sentence_score(df: DataFrame, key: str, score: str = "score") -> DataFrame:

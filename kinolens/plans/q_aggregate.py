@@ -85,7 +85,7 @@ def f5(spark, sf_dir):
 SELECT doc_id, word, n, df, round(n * ln((SELECT count(*) FROM documents) / df), 6) AS weight FROM c JOIN f USING (word)""",
 )
 def f6(spark, sf_dir):
-    rows = ag.tf_idf(_counts(spark, sf_dir), _docs(spark, sf_dir), "doc_id")
+    rows = ag.tf_idf(_docs(spark, sf_dir), "doc_id", clean_tokens("text", ascii_only=True))
     return rows.select("doc_id", "word", "n", "df", F.round("weight", 6).alias("weight"))
 
 
@@ -97,7 +97,8 @@ SELECT doc_id, word, n, df, round(n / total * ln((SELECT count(*) FROM documents
 FROM k JOIN t USING (doc_id) JOIN f USING (word)""",
 )
 def f6_threshold(spark, sf_dir):
-    rows = ag.tf_idf(_counts(spark, sf_dir), _docs(spark, sf_dir), "doc_id", threshold=1, relative=True)
+    words = clean_tokens("text", ascii_only=True)
+    rows = ag.tf_idf(_docs(spark, sf_dir), "doc_id", words, threshold=1, relative=True)
     return rows.select("doc_id", "word", "n", "df", F.round("weight", 6).alias("weight"))
 
 

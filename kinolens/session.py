@@ -22,12 +22,29 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(app: str = "kinolens", master: str | None = None, conf: dict | None = None) -> SparkSession:
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_conf(shuffle_bytes: int) -> dict:
+    """Shuffle partitions for the largest exchange that is expected.
+
+    Adaptive execution merges small partitions but never splits below the
+    number it starts with, so the start must fit the data: 10 TB of exchanged
+    rows need about 80,000 partitions of 128 MB.
+    """
+    n = max(1, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n), "spark.sql.shuffle.partitions": str(n)}
+
+
+def build_session(
+    app: str = "kinolens", master: str | None = None, conf: dict | None = None, shuffle_bytes: int | None = None
+) -> SparkSession:
     """Session with the engine's defaults; ``conf`` wins over them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**CLUSTER_CONF, **(conf or {})}.items():
+    sized = shuffle_conf(shuffle_bytes) if shuffle_bytes else {}
+    for key, value in {**CLUSTER_CONF, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -73,16 +73,16 @@ def read_predictions(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, quote="", schema=schema)
 
 
-def write_label_dictionaries(counts: DataFrame, path: str, files_per_label: int = 8) -> None:
-    """``word,count`` files per label, most frequent word first in each file.
+def write_label_dictionaries(counts: DataFrame, path: str) -> None:
+    """``word,count`` files per label, most frequent word first.
 
-    Rows are ranged by label and count, so a big dictionary becomes several
-    sorted files instead of one task, and files of a label follow each other.
+    Rows are ranged by label and count: a big dictionary becomes several
+    sorted files that follow each other instead of one task, and adaptive
+    execution picks their number.
     """
     ordered = counts.select("label", "word", "n")
-    ranged = ordered.repartitionByRange(files_per_label, "label", F.desc("n"), "word")
-    sorted_rows = ranged.sortWithinPartitions("label", F.desc("n"), "word")
-    sorted_rows.write.partitionBy("label").csv(path)
+    ranged = ordered.repartitionByRange("label", F.desc("n"), "word")
+    ranged.sortWithinPartitions("label", F.desc("n"), "word").write.partitionBy("label").csv(path)
 
 
 def read_label_dictionary(spark: SparkSession, path: str, label: str | None = None, num_words: int | None = None):

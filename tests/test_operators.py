@@ -199,10 +199,11 @@ def test_score_sentiment_with_a_scorer(spark):
 
 
 def test_tf_idf_threshold(spark):
-    counts = spark.createDataFrame([(1, "a", 3), (1, "b", 1), (2, "b", 2)], "k int, word string, n long")
-    docs = spark.createDataFrame([(1,), (2,)], "k int")
-    got = {(r.k, r.word): round(r.weight, 6) for r in ag.tf_idf(counts, docs, "k", threshold=1, relative=True).collect()}
+    docs = spark.createDataFrame([(1, ["a", "a", "a", "b"]), (2, ["b", "b"])], "k int, w array<string>")
+    got = {(r.k, r.word): round(r.weight, 6) for r in ag.tf_idf(docs, "k", "w", threshold=1, relative=True).collect()}
     assert got == {(1, "a"): 0.693147, (2, "b"): 0.693147}
+    raw = {(r.k, r.word): round(r.weight, 6) for r in ag.tf_idf(docs, "k", "w").collect()}
+    assert raw == {(1, "a"): 2.079442, (1, "b"): 0.0, (2, "b"): 0.0}
 
 
 def test_crawl_frontier_skips_done_keys(spark):
