@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinolens.functions.arrays import names_of, round_ratio
 from kinolens.functions.text import count_words, word_count
 from kinolens.labels import MAX_FEATURES
 from kinolens.operators.joins import small_side
@@ -19,8 +20,6 @@ def term_counts(df: DataFrame, key: str, tokens) -> DataFrame:
 
 def explode_labels(df: DataFrame, vector: str, labels) -> DataFrame:
     """One row per label that is on; the vector column is dropped."""
-    from kinolens.functions.arrays import names_of
-
     kept = [c for c in df.columns if c != vector]
     return df.select(*kept, F.explode(names_of(vector, labels)).alias("label"))
 
@@ -92,23 +91,25 @@ def tf_idf(df: DataFrame, key: str, tokens, threshold: int = 0, relative: bool =
     return kept.join(spread, "word").select(key, "word", "n", "df", weight.alias("weight"))
 
 
-def mean_sentence_score(df: DataFrame, key: str, score: str = "score") -> DataFrame:
-    """Plain average of the sentence scores; null when there are none."""
-    return df.groupBy(key).agg(F.avg(score).alias("score"))
+def _billionths(score: str):
+    return F.round(F.col(score) * 1_000_000_000).cast("long")
 
 
-def weighted_sentence_score(df: DataFrame, key: str, score: str = "score", length: str = "len") -> DataFrame:
-    """Average weighted by sentence length."""
-    return df.groupBy(key).agg(
-        F.try_divide(F.sum(F.col(score) * F.col(length)), F.sum(length)).alias("score")
-    )
+def mean_sentence_score(df: DataFrame, key: str, score: str = "score") -> DataFrame:
+    """Plain average of the sentence scores; null when there are none.
+
+    Scores are added as whole billionths and the mean is given in millionths,
+    so it is the same whatever the order of the rows.
+    """
+    mean = round_ratio(F.sum(_billionths(score)), F.count(score) * 1000, 1) / 1_000_000
+    return df.groupBy(key).agg(mean.alias("score"))
 
 
-def mean_of_array(scores) -> Column:
-    """The same average for scores held as an array in one row."""
-    s = F.col(scores) if isinstance(scores, str) else scores
-    total = F.aggregate(s, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(F.size(s) > 0, total / F.size(s))
+def weighted_sentence_score(df: DataFrame, key: str, score: str = "score", length: str = "len") -> DataFrame:
+    """The same average weighted by sentence length."""
+    total = F.sum(F.when(F.col(score).isNotNull(), F.col(length)))
+    mean = round_ratio(F.sum(_billionths(score) * F.col(length)), total * 1000, 1) / 1_000_000
+    return df.groupBy(key).agg(mean.alias("score"))
 
 
 def sum_vectors(

@@ -134,7 +134,7 @@ def sentiment_predictions(
 ) -> DataFrame:
     """id, percent_prediction, prediction and actual from sentence scores."""
     per_doc = (weighted_sentence_score if weighted else mean_sentence_score)(scores, key)
-    percent = F.round("score", 6)
+    percent = F.col("score")
     return per_doc.join(labels.select(key, actual), key).select(
         F.col(key).alias("id"),
         percent.alias("percent_prediction"),

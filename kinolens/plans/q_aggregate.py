@@ -113,19 +113,17 @@ def _sentence_scores(spark, sf_dir):
     return rows.select("doc_id", (n_e % 7 / 9).alias("score"), F.length("sentence").cast("long").alias("len"))
 
 
-@query("f7_mean_sentence_score", f"{SENTENCE_SCORES} SELECT doc_id, round(avg(score), 6) AS score FROM v GROUP BY doc_id")
+@query("f7_mean_sentence_score", f"{SENTENCE_SCORES} SELECT doc_id, {S.mean_of('score')} AS score FROM v GROUP BY doc_id")
 def f7(spark, sf_dir):
-    rows = ag.mean_sentence_score(_sentence_scores(spark, sf_dir), "doc_id")
-    return rows.select("doc_id", F.round("score", 6).alias("score"))
+    return ag.mean_sentence_score(_sentence_scores(spark, sf_dir), "doc_id")
 
 
 @query(
     "f8_weighted_sentence_score",
-    f"{SENTENCE_SCORES} SELECT doc_id, round(sum(score * len) / sum(len), 6) AS score FROM v GROUP BY doc_id",
+    f"{SENTENCE_SCORES} SELECT doc_id, {S.mean_of('score', 'len')} AS score FROM v GROUP BY doc_id",
 )
 def f8(spark, sf_dir):
-    rows = ag.weighted_sentence_score(_sentence_scores(spark, sf_dir), "doc_id")
-    return rows.select("doc_id", F.round("score", 6).alias("score"))
+    return ag.weighted_sentence_score(_sentence_scores(spark, sf_dir), "doc_id")
 
 
 DIM = 16

@@ -224,7 +224,7 @@ def k11_scorer(spark, sf_dir):
 
 @query(
     "k12_sentiment_predictions",
-    f"""WITH {SENTENCES}, m AS (SELECT doc_id, round(avg(score), 6) AS p FROM sentence_scores GROUP BY doc_id)
+    f"""WITH {SENTENCES}, m AS (SELECT doc_id, {S.mean_of('score')} AS p FROM sentence_scores GROUP BY doc_id)
 SELECT doc_id AS id, p AS percent_prediction, CAST(round_even(p, 0) AS INT) AS prediction, sentiment AS actual
 FROM m JOIN labelled USING (doc_id)""",
 )

@@ -176,3 +176,10 @@ def stem_ctes(source: str) -> str:
         f"stems AS (SELECT word, CASE WHEN length(word) > 2 THEN w ELSE word END AS stem FROM step{len(steps)})"
     )
     return ",\n".join(ctes)
+
+
+def mean_of(score: str, weight: str = "1") -> str:
+    """Weighted mean in millionths, from whole billionths."""
+    total = f"sum(CAST(round({score} * 1000000000) AS BIGINT) * {weight})"
+    size = f"(sum({weight}) * 1000)"
+    return f"floor((2 * {total} + {size}) / (2 * {size})) / 1000000"

@@ -211,3 +211,10 @@ def test_crawl_frontier_skips_done_keys(spark):
     url = F.concat(F.col("t"), F.lit("?"), F.col("offset"))
     got = {r.url for r in jn.crawl_frontier(keys, "t", [0, 10], url, keys.where("t = 'a'")).collect()}
     assert got == {"b?0", "b?10"}
+
+
+def test_sentence_means(spark):
+    rows = [(1, 0.25, 1), (1, 0.75, 3), (2, None, 4)]
+    df = spark.createDataFrame(rows, "k int, score double, len long")
+    assert {(r.k, r.score) for r in ag.mean_sentence_score(df, "k").collect()} == {(1, 0.5), (2, None)}
+    assert {(r.k, r.score) for r in ag.weighted_sentence_score(df, "k").collect()} == {(1, 0.625), (2, None)}
