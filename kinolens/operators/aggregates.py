@@ -83,7 +83,10 @@ def tf_idf(df: DataFrame, key: str, tokens, threshold: int = 0, relative: bool =
     if threshold:
         counted = counted.withColumn("__counts", F.filter("__counts", lambda c: c["n"] > threshold))
     total = F.aggregate(F.col("__counts.n"), F.lit(0).cast("long"), lambda acc, n: acc + n)
-    kept = counted.withColumn("total", total).select(key, "total", F.inline("__counts"))
+    # The outer form keeps the optimizer from testing the size of the array first,
+    # which would count the words of every document a second time.
+    kept = counted.withColumn("total", total).select(key, "total", F.inline_outer("__counts"))
+    kept = kept.where(F.col("word").isNotNull())
     spread = kept.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     n_docs = df.agg(F.count(F.lit(1)).alias("N")).scalar()
     tf = F.col("n") / F.col("total") if relative else F.col("n").cast("double")
