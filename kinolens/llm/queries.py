@@ -27,3 +27,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.sentencepiece_codec import encoded_digests
 
     return encoded_digests(documents(spark, sf_dir))
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.quality import quality_scores
+
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op5_decontaminate")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.decontaminate import contamination_report
+
+    return contamination_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.simhash import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir))
