@@ -48,3 +48,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.simhash import near_duplicates
 
     return near_duplicates(documents(spark, sf_dir))
+
+
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.substring_dedup import repeated_words_report
+
+    return repeated_words_report(documents(spark, sf_dir))
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.suffix_dedup import repeated_bytes_report
+
+    return repeated_bytes_report(documents(spark, sf_dir))
