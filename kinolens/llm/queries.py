@@ -62,3 +62,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.suffix_dedup import repeated_bytes_report
 
     return repeated_bytes_report(documents(spark, sf_dir))
+
+
+@query("op3_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.fingerprints import fingerprints
+
+    return fingerprints(documents(spark, sf_dir))
