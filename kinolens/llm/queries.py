@@ -69,3 +69,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.fingerprints import fingerprints
 
     return fingerprints(documents(spark, sf_dir))
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.pii import personal_data_report
+
+    return personal_data_report(documents(spark, sf_dir))
