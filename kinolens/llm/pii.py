@@ -184,7 +184,7 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     read. A pattern needs ``min_seeds`` different seeds.
     """
     found = stored(hits(docs, key, text), "pii-hits")
-    base = F.concat(*[F.transform(k, lambda x, i=i: F.struct(F.lit(i).alias("k"), x["s"].alias("s"), x["e"].alias("e"))) for i, k in enumerate(KINDS)])
+    base = F.concat(*[_numbered(k) for k in KINDS])
     number = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")) - 1
     added = discovered(found, min_seeds, trust).select("doc", "mark", F.struct(number.cast("int").alias("k"), "s", "e").alias("x"))
     added = stored(added.groupBy("doc", "mark").agg(F.array_sort(F.collect_set("x")).alias("added")), "pii-added")
@@ -192,6 +192,16 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     return rows.withColumn("added", F.coalesce("added", F.expr("cast(array() as array<struct<k:int,s:int,e:int>>)")))
 
 
+def _numbered(kind: str) -> Column:
+    number = F.lit(KINDS.index(kind)).alias("k")
+    return F.transform(kind, lambda x: F.struct(number, x["s"].alias("s"), x["e"].alias("e")))
+
+
+def _count(kind: str) -> Column:
+    number = F.lit(KINDS.index(kind))
+    return F.size(F.filter("base", lambda x: x["k"] == number)).cast("long").alias(f"n_{kind}")
+
+
 def _written(spans: Column) -> Column:
     kinds = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(kinds, x["k"]), x["s"].cast("string"), x["e"].cast("string"))), ",")
@@ -200,9 +210,8 @@ def _written(spans: Column) -> Column:
 def personal_data_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans; counts are those of the fixed forms."""
     found = personal_data(docs)
-    counts = [F.size(F.filter("base", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     spans = F.array_sort(F.concat("base", "added"))
-    return found.select(given_id().alias("doc_id"), *counts, F.sha2(_written(F.col("base")), 256).alias("base_sha256"), _written(spans).alias("spans"))
+    return found.select(given_id().alias("doc_id"), *map(_count, KINDS), F.sha2(_written(F.col("base")), 256).alias("base_sha256"), _written(spans).alias("spans"))
 
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
