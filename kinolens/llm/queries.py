@@ -76,3 +76,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.pii import personal_data_report
 
     return personal_data_report(documents(spark, sf_dir))
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.token_counts import count_report
+
+    return count_report(documents(spark, sf_dir))
