@@ -83,3 +83,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.token_counts import count_report
 
     return count_report(documents(spark, sf_dir))
+
+
+@query("op8_licenses")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.licenses import license_report
+
+    return license_report(documents(spark, sf_dir))
