@@ -29,6 +29,8 @@ KINDS = ("email", "ip", "card", "phone")
 MIN_SEEDS = 5
 TRUST = 0.9
 ROUNDS = 4
+#: What a candidate scores before any pattern speaks for it: it has the looser form.
+PRIOR = 0.5
 #: Characters in front of a match in which its context is looked up.
 CONTEXT = 64
 
@@ -158,7 +160,7 @@ def discovered(found: DataFrame, min_seeds: int = MIN_SEEDS, trust: float = TRUS
     """(doc, mark, kind, s, e): spans that the patterns add to the fixed forms."""
     every = stored(occurrences(found), "pii-occurrences")
     edges = every.where(F.col("pattern").isNotNull()).groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed"))
-    edges = stored(edges.withColumn("score", F.col("seed").cast("double")), "pii-graph")
+    edges = stored(edges.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(PRIOR)), "pii-graph")
     for _ in range(rounds):
         sure = edges.groupBy("pattern").agg(F.avg("score").alias("sure"), F.count_if("seed").alias("seeds"))
         sure = stored(sure.where((F.col("seeds") >= min_seeds) & (F.col("sure") >= trust)).select("pattern", "sure"), "pii-patterns")
@@ -169,7 +171,7 @@ def discovered(found: DataFrame, min_seeds: int = MIN_SEEDS, trust: float = TRUS
         if votes.isEmpty():
             break
         edges = edges.join(votes, ["kind", "value"], "left")
-        edges = stored(edges.select("kind", "pattern", "value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("vote", F.lit(0.0))).alias("score")), "pii-graph")
+        edges = stored(edges.select("kind", "pattern", "value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("vote", F.lit(PRIOR))).alias("score")), "pii-graph")
     good = edges.where(~F.col("seed") & (F.col("score") >= trust)).select("kind", "value").distinct()
     sure = edges.groupBy("pattern").agg(F.avg("score").alias("sure"), F.count_if("seed").alias("seeds"))
     sure = sure.where((F.col("seeds") >= min_seeds) & (F.col("sure") >= trust)).select("pattern")

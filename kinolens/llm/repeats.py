@@ -41,6 +41,7 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 _JOIN = np.uint64(0xAEF17502108EF2D9)
 _TOP = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
+_HALF = np.uint64(32)
 
 
 def rolling(units: np.ndarray, length: int) -> np.ndarray:
@@ -61,9 +62,11 @@ def level_hashes(units: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarra
         return units[:0], units[:0]
     grams = rolling(units, lengths[0])
     out = grams
-    for have, want in zip(lengths, lengths[1:], strict=False):
+    for level, (have, want) in enumerate(zip(lengths, lengths[1:], strict=False)):
         step = want - have
-        out = out[:-step] * _JOIN + out[step:]
+        # a factor of its own for each level, else exchanged halves of halves would look alike
+        out = out[:-step] * _JOIN ** np.uint64(3 * level + 1) + out[step:]
+        out = out ^ (out >> _HALF)
     return mix(grams), mix(out)
 
 
@@ -183,7 +186,7 @@ def _compare(earlier: bool):
             good = np.repeat(np.add.reduceat(w[run[order]], firsts), sizes) > 1
         chosen = np.sort(order[good])
         kept, lo = np.unique(run[chosen], return_index=True)
-        hi = np.append(lo[1:], len(chosen)) - 1
+        hi = np.append(lo[1:], len(chosen))[: len(lo)] - 1
         out = table.drop_columns(["hashes"]).take(pa.array(kept))
         return out.append_column("lo", pa.array(offset[chosen[lo]].astype(np.int32))).append_column("hi", pa.array(offset[chosen[hi]].astype(np.int32)))
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import sys
 from array import array
 from functools import cache
 
@@ -189,11 +190,11 @@ class PieceCodec:
         return array("I", self.encode_packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> str:
-        return self.decode_bytes(b"".join([self.surface[i] for i in ids])).decode()
+        return self.decode_bytes(b"".join([self.surface[i] for i in ids]), ids[0] if ids else self.unknown).decode()
 
-    def decode_bytes(self, joined: bytes) -> bytes:
+    def decode_bytes(self, joined: bytes, first: int) -> bytes:
         """UTF-8 of joined surfaces: the mark put in front is dropped, bad bytes become U+FFFD."""
-        if self.prefix and joined.startswith(b" "):
+        if self.prefix and self.piece_of.get(first, "").startswith(SPACE):
             joined = joined[1:]
         try:
             joined.decode()
@@ -213,7 +214,8 @@ class PieceCodec:
             at = np.frombuffer(offsets, np.int64)[np.concatenate([[0], ends])] if len(ids) else np.zeros(len(ends) + 1, np.int64)
             view = memoryview(data) if len(ids) else memoryview(b"")
             out += [bytes(view[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        return counts, [j[:-1] for j in joined], [self.decode_bytes(d) for d in decoded]
+        firsts = [int.from_bytes(p[:4], sys.byteorder) for p in packed]
+        return counts, [j[:-1] for j in joined], [self.decode_bytes(d, i) for d, i in zip(decoded, firsts, strict=True)]
 
 
 def pack(ids: list[int]) -> bytes:

@@ -158,7 +158,7 @@ def edited_counts(
     one edit after the other, each on the text that the one before left; places
     outside the text are clipped. ``n_encoded`` counts the pre-tokens that the
     edits had to encode, ``n_pieces`` those of the text before. Null texts are
-    empty, null edits are none. Repeated rows are counted alike. One map; the
+    empty, null edits are none, null places are 0. Repeated rows are counted alike. One map; the
     rank file at ``path`` must be readable on every executor.
     """
     path, pattern = path or rank_file(), pattern or split_pattern()
@@ -178,12 +178,16 @@ def edited_counts(
             names = ["n_tokens", "n_tokens_edited", "n_encoded", "n_pieces"]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns]], [batch.schema.names[0], *names])
 
-    change = F.transform(edits, lambda x: F.struct(x["start"].cast("int").alias("start"), x["end"].cast("int").alias("end"), F.coalesce(x["new"], F.lit("")).alias("new")))
+    change = F.transform(edits, lambda x: F.struct(_place(x["start"]).alias("start"), _place(x["end"]).alias("end"), F.coalesce(x["new"], F.lit("")).alias("new")))
     rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("__text"), change.alias("__edits"))
     kind = docs.schema[key].dataType.simpleString()
     return rows.mapInArrow(run, f"`{key}` {kind}, n_tokens bigint, n_tokens_edited bigint, n_encoded bigint, n_pieces bigint")
 
 
+def _place(column):
+    return F.coalesce(column.cast("int"), F.lit(0))
+
+
 def count_report(docs: DataFrame) -> DataFrame:
     """Counts of every document, and of it with its source written over its middle and its head put behind its end."""
     third = F.floor(F.length("text") / 3).cast("int")
