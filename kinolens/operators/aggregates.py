@@ -11,6 +11,7 @@ from kinolens.functions.arrays import names_of, round_ratio
 from kinolens.functions.text import count_words, word_count
 from kinolens.labels import MAX_FEATURES
 from kinolens.operators.joins import small_side
+from kinolens.session import materialise
 
 
 def term_counts(df: DataFrame, key: str, tokens) -> DataFrame:
@@ -44,10 +45,10 @@ def corpus_vocabulary(df: DataFrame, tokens, max_features: int = MAX_FEATURES) -
     return counts.orderBy(F.desc("n"), "word").limit(max_features)
 
 
-def bag_of_words(df: DataFrame, key: str, tokens, vocab: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """(key, word, n) restricted to a vocabulary of at most ``max_features``."""
+def bag_of_words(df: DataFrame, key: str, tokens, vocab: DataFrame) -> DataFrame:
+    """(key, word, n) restricted to the words of ``vocab``."""
     counts = term_counts(df, key, tokens)
-    return counts.join(small_side(vocab.select("word"), max_features), "word").select(key, "word", "n")
+    return counts.join(small_side(vocab.select("word")), "word").select(key, "word", "n")
 
 
 def vocabulary_list(vocab: DataFrame, max_features: int = MAX_FEATURES) -> list[str]:
@@ -75,9 +76,9 @@ def tf_idf(df: DataFrame, key: str, tokens, threshold: int = 0, relative: bool =
 
     ``threshold`` drops words that occur that often or less in a document;
     ``relative`` divides by the number of words left in it. Both are done in
-    the row, before anything is exploded. What is shuffled are counts: once for
-    the document frequencies, once for the join by word, whose hot words are
-    split by adaptive execution. N is a scalar subquery.
+    the row, before anything is exploded. The counts are stored and read for the
+    document frequencies and for the join by word, whose hot words are split by
+    adaptive execution. N is a scalar subquery.
     """
     counted = df.select(key, count_words(tokens).alias("__counts"))
     if threshold:
@@ -86,8 +87,10 @@ def tf_idf(df: DataFrame, key: str, tokens, threshold: int = 0, relative: bool =
     # The outer form keeps the optimizer from testing the size of the array first,
     # which would count the words of every document a second time.
     kept = counted.withColumn("total", total).select(key, "total", F.inline_outer("__counts"))
-    kept = kept.where(F.col("word").isNotNull())
-    spread = kept.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    kept = materialise(kept.where(F.col("word").isNotNull()), "counts")
+    # Stored before the join: adaptive execution splits a hot word only if both
+    # sides of the join are plain exchanges, and the text is not counted twice.
+    spread = materialise(kept.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "document-frequencies")
     n_docs = df.agg(F.count(F.lit(1)).alias("N")).scalar()
     tf = F.col("n") / F.col("total") if relative else F.col("n").cast("double")
     weight = tf * F.log(n_docs / F.col("df"))
@@ -99,20 +102,24 @@ def _billionths(score: str):
 
 
 def mean_sentence_score(df: DataFrame, key: str, score: str = "score") -> DataFrame:
-    """Plain average of the sentence scores; null when there are none.
+    """(key, score, total, size): the plain average of the sentence scores.
 
-    Scores are added as whole billionths and the mean is given in millionths,
-    so it is the same whatever the order of the rows.
+    Scores are added as whole billionths (``total``) and divided once by their
+    number (``size``), so the mean does not depend on the order of the rows and
+    is not rounded. Null when there are none.
     """
-    mean = round_ratio(F.sum(_billionths(score)), F.count(score) * 1000, 1) / 1_000_000
-    return df.groupBy(key).agg(mean.alias("score"))
+    return _mean(df.groupBy(key).agg(F.sum(_billionths(score)).alias("total"), F.count(score).alias("size")), key)
 
 
 def weighted_sentence_score(df: DataFrame, key: str, score: str = "score", length: str = "len") -> DataFrame:
     """The same average weighted by sentence length."""
-    total = F.sum(F.when(F.col(score).isNotNull(), F.col(length)))
-    mean = round_ratio(F.sum(_billionths(score) * F.col(length)), total * 1000, 1) / 1_000_000
-    return df.groupBy(key).agg(mean.alias("score"))
+    size = F.sum(F.when(F.col(score).isNotNull(), F.col(length)))
+    return _mean(df.groupBy(key).agg(F.sum(_billionths(score) * F.col(length)).alias("total"), size.alias("size")), key)
+
+
+def _mean(sums: DataFrame, key: str) -> DataFrame:
+    mean = F.try_divide(F.col("total"), F.col("size") * 1_000_000_000)
+    return sums.select(key, mean.alias("score"), "total", "size")
 
 
 def sum_vectors(
@@ -122,7 +129,6 @@ def sum_vectors(
     vectors: DataFrame,
     dim: int,
     combine: str = "sum",
-    max_words: int | None = None,
 ) -> DataFrame:
     """Document vector from word vectors: repeats count, unknown words do not.
 
@@ -133,7 +139,7 @@ def sum_vectors(
     """
     counts = docs.select(key, F.inline_outer(count_words(tokens)))
     side = vectors.select("word", "vec")
-    matched = counts.join(small_side(side, max_words) if max_words else side, "word", "left")
+    matched = counts.join(small_side(side, row_bytes=8 * dim + 64), "word", "left")
     sums = [F.expr(f"cast(coalesce(sum(n * get(vec, {i})), 0) as double)") for i in range(dim)]
     known = F.coalesce(F.sum(F.when(F.col("vec").isNotNull(), F.col("n"))), F.lit(0))
     total = matched.groupBy(key).agg(F.array(*sums).alias("vec"), known.alias("known"))

@@ -1,8 +1,9 @@
 """Joins by key, by vocabulary and by position.
 
 No join here forces a broadcast on data that can grow: Spark broadcasts a side
-when its size is below the configured threshold, and adaptive execution splits
-hot keys of the other joins. ``small_side`` is for sides with a proven bound.
+when its size is below the configured threshold. Adaptive execution splits hot
+keys of the other joins if both sides are plain exchanges, that is if neither is
+an aggregate of its own exchange: such a side is stored first.
 """
 
 from __future__ import annotations
@@ -10,16 +11,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def small_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a side that cannot exceed ``max_rows`` by construction.
+def small_side(df: DataFrame, row_bytes: int = 64) -> DataFrame:
+    """Broadcast hint for a side whose plan proves that it is small.
 
-    The bound must come from the plan (a limit, a top-k, one row per label).
-    Beyond ``MAX_BROADCAST_ROWS`` the hint is left out and Spark decides.
+    The optimizer knows a most number of rows for plans that end in a limit or
+    a bounded literal table. With ``row_bytes`` for each row that bound must fit
+    MAX_BROADCAST_BYTES; without a bound, or beyond it, Spark decides by the
+    sizes it sees.
     """
-    return F.broadcast(df) if max_rows <= MAX_BROADCAST_ROWS else df
+    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    proven = bound.isDefined() and int(str(bound.get())) * row_bytes <= MAX_BROADCAST_BYTES
+    return F.broadcast(df) if proven else df
 
 
 def join_reviews_movies(reviews: DataFrame, movies: DataFrame, key: str = "title_url") -> DataFrame:
@@ -32,16 +37,14 @@ def not_yet_seen(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return df.join(existing.select(key), key, "left_anti")
 
 
-def keep_vocabulary(tokens: DataFrame, vocab: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Token rows whose word is in ``vocab``; ``max_rows`` is its proven bound."""
-    words = vocab.select("word")
-    return tokens.join(small_side(words, max_rows) if max_rows else words, "word", "left_semi")
+def keep_vocabulary(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Token rows whose word is in ``vocab``."""
+    return tokens.join(small_side(vocab.select("word")), "word", "left_semi")
 
 
-def drop_vocabulary(tokens: DataFrame, stops: DataFrame, max_rows: int | None = None) -> DataFrame:
+def drop_vocabulary(tokens: DataFrame, stops: DataFrame) -> DataFrame:
     """Token rows whose word is not in ``stops``."""
-    words = stops.select("word")
-    return tokens.join(small_side(words, max_rows) if max_rows else words, "word", "left_anti")
+    return tokens.join(small_side(stops.select("word")), "word", "left_anti")
 
 
 def lookup_vectors(df: DataFrame, vectors: DataFrame, key: str) -> DataFrame:

@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinolens.functions.arrays import round_half_even, round_ratio
+from kinolens.functions.arrays import round_half_even
 from kinolens.functions.text import count_words, split_words
 from kinolens.labels import POLARITY_CUTOFFS
 from kinolens.operators.aggregates import mean_sentence_score, weighted_sentence_score
 from kinolens.operators.tokens import cleaned_document, sentence_tokens
+from kinolens.session import materialise
 
 TextScorer = Callable[[Sequence[str]], np.ndarray]
 
@@ -30,7 +31,7 @@ def learn_polarity(df: DataFrame, tokens, sentiment: str = "sentiment", smooth:
         F.sum(F.when(F.col("s") == 1, F.col("n")).otherwise(0)).alias("p"),
         F.sum(F.when(F.col("s") == 0, F.col("n")).otherwise(0)).alias("n"),
     )
-    ratio = round_ratio(F.col("p") - F.col("n"), F.col("p") + F.col("n") + smooth)
+    ratio = (F.col("p") - F.col("n")) / (F.col("p") + F.col("n") + smooth)
     return counts.select("word", ratio.alias("polarity"))
 
 
@@ -39,19 +40,19 @@ def _score_words(units: DataFrame, keys, words: Column, lexicon: DataFrame) -> D
 
     One pass: the number of words rides along as a group key, and words that
     the lexicon lacks join to nothing, so units without any known word stay.
-    Sums are taken over millionths and do not depend on the order of addition.
+    The lexicon is stored before the join: a word that most texts use is then
+    split by adaptive execution, which needs plain exchanges on both sides.
     """
-    scaled = lexicon.select("word", F.round(F.col("polarity") * 1_000_000).cast("long").alias("micro"))
+    known = materialise(lexicon.select("word", "polarity"), "lexicon")
     # The size is taken before the words are exploded, once per unit.
     sized = units.select(*keys, F.size(words).cast("long").alias("total"), words.alias("__words"))
     rows = sized.select(*keys, "total", F.inline_outer(count_words("__words")))
-    sums = rows.join(scaled, "word", "left").groupBy(*keys, "total").agg(
-        F.sum(F.col("micro") * F.col("n")).alias("micro"),
-        F.sum(F.when(F.col("micro").isNotNull(), F.col("n"))).alias("known"),
+    sums = rows.join(known, "word", "left").groupBy(*keys, "total").agg(
+        F.sum(F.col("polarity") * F.col("n")).alias("sum"),
+        F.sum(F.when(F.col("polarity").isNotNull(), F.col("n"))).alias("known"),
     )
-    # micro / known is in millionths already, so one unit is the rounding step.
-    polarity = F.coalesce(round_ratio("micro", "known", 1) / 1_000_000, F.lit(0.0))
-    share = F.coalesce(round_ratio("known", "total"), F.lit(0.0))
+    polarity = F.coalesce(F.try_divide("sum", "known"), F.lit(0.0))
+    share = F.coalesce(F.try_divide("known", "total"), F.lit(0.0))
     return sums.select(*keys, polarity.alias("polarity"), share.alias("subjectivity"))
 
 
@@ -73,7 +74,10 @@ def classify_polarity(df: DataFrame, cutoff: float | None = None) -> DataFrame:
 
 
 def polarity_sweep(df: DataFrame, actual: str, cutoffs=tuple(POLARITY_CUTOFFS)) -> DataFrame:
-    """Accuracy, precision and sensitivity at every cut-off, in one pass."""
+    """Counts, accuracy, precision and sensitivity at every cut-off, in one pass.
+
+    Ratios without rows are 0.
+    """
     p, a = F.col("polarity"), F.col(actual)
     cells = [
         F.struct(
@@ -85,7 +89,16 @@ def polarity_sweep(df: DataFrame, actual: str, cutoffs=tuple(POLARITY_CUTOFFS))
         )
         for c in cutoffs
     ]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    counts = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    right, total = F.col("tp") + F.col("tn"), F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
+
+    def ratio(part: Column, whole: Column, name: str) -> Column:
+        return F.coalesce(F.try_divide(part, whole), F.lit(0.0)).alias(name)
+
+    return counts.select(
+        "*", ratio(right, total, "accuracy"), ratio(F.col("tp"), F.col("tp") + F.col("fp"), "precision"),
+        ratio(F.col("tp"), F.col("tp") + F.col("fn"), "sensitivity"),
+    )
 
 
 def score_sentiment(

@@ -76,7 +76,7 @@ def threshold_sweep(df: DataFrame, cutoffs=tuple(CUTOFFS)) -> DataFrame:
 def best_threshold(df: DataFrame, cutoffs=tuple(CUTOFFS)) -> DataFrame:
     """The cut-off with the highest weighted F1; the lower one wins a tie."""
     rated = with_ratios(threshold_counts(df, cutoffs), ["cutoff", "label"])
-    averages = weighted_average(rated, ["cutoff"]).withColumn("f1", F.round("f1", 6))
+    averages = weighted_average(rated, ["cutoff"])
     return averages.agg(
         F.max_by("cutoff", F.struct("f1", -F.col("cutoff"))).alias("cutoff"), F.max("f1").alias("f1")
     )
@@ -129,5 +129,5 @@ def random_guess_baseline(support: DataFrame, n_rows: Column) -> DataFrame:
     """Weighted F1 of guessing every label at its own prevalence."""
     prevalence = F.col("n") / n_rows
     return support.agg(
-        F.round(F.try_divide(F.sum(prevalence * F.col("n")), F.sum("n")), 6).alias("expected_f1")
+        F.try_divide(F.sum(prevalence * F.col("n")), F.sum("n")).alias("expected_f1")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinolens.functions.text import word_count
+from kinolens.session import materialise
 
 
 def _cols(x) -> list:
@@ -15,14 +16,15 @@ def _cols(x) -> list:
 def top_k_by(df: DataFrame, keys, order, k: int, salts: int = 64, rank: str | None = None) -> DataFrame:
     """The ``k`` first rows of every key.
 
-    Spark only cuts a ranking before its shuffle for small k. A key with a
-    third of all rows would then be sorted in one task, so every key is first
-    ranked within ``salts`` hash slices and only the k best of each slice go
+    Spark cuts a ranking before its shuffle up to the k that its setting names.
+    Beyond it, a key with a third of all rows would be sorted in one task, so
+    every key is first ranked within ``salts`` hash slices and only the k best of each slice go
     on; the result is the same.
     """
     keys, order = _cols(keys), _cols(order)
     name = rank or "__rank"
-    if k > 1000:
+    spark = df.sparkSession
+    if k > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         slice_of = F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(salts))
         local = Window.partitionBy(*keys, "__salt").orderBy(*order)
         df = (
@@ -44,12 +46,17 @@ def dedupe_first(df: DataFrame, key, order) -> DataFrame:
 def longest_review(df: DataFrame, film: str = "title_url", text: str = "review", pos: str = "pos") -> DataFrame:
     """Per film the review with most words; the earlier one wins a tie.
 
-    Reviews without words are never chosen. ``max_by`` is combined per
-    partition before the shuffle, so a film with very many reviews is cheap.
+    Reviews without words are never chosen. Positions are found from the counts
+    alone, combined per partition before the shuffle; then the text of the
+    chosen ones is joined back, so no review is sorted or carried along. If a
+    film repeats a position, its rows with the most words all stay.
     """
-    counted = df.withColumn("wc", word_count(text)).where(F.col("wc") > 0)
-    best = F.max_by(F.struct(*df.columns, "wc"), F.struct("wc", (-F.col(pos)).alias("first")))
-    return counted.groupBy(F.col(film).alias("__film")).agg(best.alias("r")).select("r.*")
+    count = word_count(text)
+    counted = df.select(F.col(film).alias("__film"), count.alias("wc"), F.col(pos).alias("__pos")).where(F.col("wc") > 0)
+    best = counted.groupBy("__film").agg(F.max(F.struct("wc", (-F.col("__pos")).alias("first"))).alias("b"))
+    chosen = materialise(best.select("__film", "b.wc", (-F.col("b.first")).alias("__pos")), "longest")
+    joined = df.join(chosen, (F.col(film) == F.col("__film")) & (F.col(pos) == F.col("__pos")))
+    return joined.select(*df.columns, "wc")
 
 
 def top_words(counts: DataFrame, k: int, label: str = "label", word: str = "word", n: str = "n") -> DataFrame:

@@ -63,13 +63,13 @@ def label_overlap(counts: DataFrame, labels, k: int) -> DataFrame:
 def distinctive_words(counts: DataFrame, labels, k: int, common_k: int = COMMON_TOP) -> DataFrame:
     """Top words per label after the words common to all labels are removed."""
     common = common_words(counts, labels, common_k)
-    return top_words(drop_vocabulary(counts, common, max_rows=common_k), k)
+    return top_words(drop_vocabulary(counts, common), k)
 
 
 def distinctive_by_weight(counts: DataFrame, n_labels: int, k: int) -> DataFrame:
     """Top words per label by n * ln(L / labels using the word)."""
     spread = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     weighted = counts.join(spread, "word").withColumn(
-        "weight", F.round(F.col("n") * F.log(F.lit(float(n_labels)) / F.col("df")), 6)
+        "weight", F.col("n") * F.log(F.lit(float(n_labels)) / F.col("df"))
     )
     return top_words(weighted, k, n="weight")

@@ -197,7 +197,7 @@ def similarity_to(df: DataFrame, key: str, vec: str, query_key, out: str = "simi
     """
     query = df.where(F.col(key) == query_key).select(vec).limit(1).scalar()
     with_query = df.select(key, vec, query.alias("__q"))
-    return with_query.select(key, F.round(cosine_similarity(vec, "__q"), 6).alias(out))
+    return with_query.select(key, cosine_similarity(vec, "__q").alias(out))
 
 
 def nearest_documents(df: DataFrame, key: str, vec: str, query_key, k: int) -> DataFrame:

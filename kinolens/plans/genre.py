@@ -18,8 +18,8 @@ from kinolens.sources.views import movies, reviews
 
 
 def review_tokens(df: DataFrame, text: str = "review", stops=None):
-    """Cleaned ASCII words of a review without stop words."""
-    return drop_words(clean_tokens(F.col(text), ascii_only=True), stops or stop_words())
+    """Cleaned ASCII words of a review without stop words and punctuation."""
+    return drop_words(clean_tokens(F.col(text), ascii_only=True), stops or stop_words(punctuation=True))
 
 
 def label_dictionaries(spark: SparkSession, sf_dir: str, stops=None, store: bool = False) -> DataFrame:

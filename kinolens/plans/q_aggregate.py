@@ -113,17 +113,19 @@ def _sentence_scores(spark, sf_dir):
     return rows.select("doc_id", (n_e % 7 / 9).alias("score"), F.length("sentence").cast("long").alias("len"))
 
 
-@query("f7_mean_sentence_score", f"{SENTENCE_SCORES} SELECT doc_id, {S.mean_of('score')} AS score FROM v GROUP BY doc_id")
+@query("f7_mean_sentence_score", f"{SENTENCE_SCORES} SELECT doc_id, round({S.mean_of('score')}, 6) AS score FROM v GROUP BY doc_id")
 def f7(spark, sf_dir):
-    return ag.mean_sentence_score(_sentence_scores(spark, sf_dir), "doc_id")
+    rows = ag.mean_sentence_score(_sentence_scores(spark, sf_dir), "doc_id")
+    return rows.select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query(
     "f8_weighted_sentence_score",
-    f"{SENTENCE_SCORES} SELECT doc_id, {S.mean_of('score', 'len')} AS score FROM v GROUP BY doc_id",
+    f"{SENTENCE_SCORES} SELECT doc_id, round({S.mean_of('score', 'len')}, 6) AS score FROM v GROUP BY doc_id",
 )
 def f8(spark, sf_dir):
-    return ag.weighted_sentence_score(_sentence_scores(spark, sf_dir), "doc_id")
+    rows = ag.weighted_sentence_score(_sentence_scores(spark, sf_dir), "doc_id")
+    return rows.select("doc_id", F.round("score", 6).alias("score"))
 
 
 DIM = 16
@@ -149,7 +151,7 @@ SELECT doc_id, {SUMS} AS vec, coalesce(known, 0) AS known FROM documents LEFT JO
 )
 def f9(spark, sf_dir):
     rows = ag.sum_vectors(
-        _docs(spark, sf_dir), "doc_id", letters_only_tokens("text"), _known_words(spark, sf_dir), DIM, max_words=6000
+        _docs(spark, sf_dir), "doc_id", letters_only_tokens("text"), _known_words(spark, sf_dir), DIM
     )
     return rows.select("doc_id", F.array_join(F.col("vec").cast("array<long>"), " ").alias("vec"), "known")
 

@@ -130,13 +130,12 @@ SELECT round(sum(n / (SELECT count(*) FROM documents) * n) / sum(n), 6) AS expec
 def l7(spark, sf_dir):
     docs = V.reviews(spark, sf_dir).select(V.film_target(F.col("title_url")).alias("v"))
     n_rows = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return mt.random_guess_baseline(label_distribution(docs, "v", LABELS_14), n_rows)
+    return mt.random_guess_baseline(label_distribution(docs, "v", LABELS_14), n_rows).select(F.round("expected_f1", 6).alias("expected_f1"))
 
 
 @query(
     "l8_best_threshold",
-    f"""{SWEEP}, r AS (SELECT cutoff, round(f1, 6) AS f1 FROM footer)
-SELECT cutoff, f1 FROM r ORDER BY f1 DESC, cutoff LIMIT 1""",
+    f"{SWEEP} SELECT cutoff, round(f1, 6) AS f1 FROM footer ORDER BY footer.f1 DESC, cutoff LIMIT 1",
 )
 def l8(spark, sf_dir):
-    return mt.best_threshold(V.scores(spark, sf_dir), CUTOFFS)
+    return mt.best_threshold(V.scores(spark, sf_dir), CUTOFFS).select("cutoff", F.round("f1", 6).alias("f1"))

@@ -83,7 +83,7 @@ def k6(spark, sf_dir):
 
 
 def _counts(train, test):
-    return md.bow_features(train, test, "review", max_features=1000)
+    return md.bow_features(train, test, "review")
 
 
 def _hashed(combine):
@@ -134,14 +134,13 @@ def a11(spark, sf_dir):
 WORDS = f"""labelled AS (SELECT d.doc_id, d.text, quality AS sentiment FROM documents d JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
 train_words AS (SELECT sentiment, unnest({S.letters_list('text')}) AS word FROM labelled
                 WHERE NOT (CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 30)),
-lexicon AS (SELECT word, floor((2000000 * (count(*) FILTER (sentiment = 1) - count(*) FILTER (sentiment = 0)) + count(*) + 1) / (2 * (count(*) + 1))) / 1000000 AS polarity
+lexicon AS (SELECT word, (count(*) FILTER (sentiment = 1) - count(*) FILTER (sentiment = 0)) / (count(*) + 1) AS polarity
             FROM train_words GROUP BY word)"""
 
 DOC_SCORES = f"""{WORDS},
 w AS (SELECT doc_id, unnest({S.letters_list('text')}) AS word FROM documents),
-k AS (SELECT doc_id, sum(CAST(round(polarity * 1000000) AS BIGINT)) AS micro, count(*) AS known FROM w JOIN lexicon USING (word) GROUP BY doc_id),
-scored AS (SELECT doc_id, text, coalesce(floor((2 * micro + known) / (2 * known)) / 1000000, 0) AS polarity,
-                  coalesce(floor((2000000 * known + size) / (2 * size)) / 1000000, 0) AS subjectivity
+k AS (SELECT doc_id, sum(polarity) / count(*) AS polarity, count(*) AS known FROM w JOIN lexicon USING (word) GROUP BY doc_id),
+scored AS (SELECT doc_id, text, coalesce(polarity, 0) AS polarity, coalesce(known / size, 0) AS subjectivity
            FROM (SELECT doc_id, text, len({S.letters_list('text')}) AS size FROM documents) LEFT JOIN k USING (doc_id))"""
 
 
@@ -155,14 +154,15 @@ def _polarity(spark, sf_dir):
     return lx.lexicon_sentiment(docs, "doc_id", letters_only_tokens("text"), _lexicon(spark, sf_dir))
 
 
-@query("k9_learn_polarity", f"WITH {WORDS} SELECT word, polarity FROM lexicon")
+@query("k9_learn_polarity", f"WITH {WORDS} SELECT word, round(polarity, 6) AS polarity FROM lexicon")
 def k9_learn(spark, sf_dir):
-    return _lexicon(spark, sf_dir)
+    return _lexicon(spark, sf_dir).select("word", F.round("polarity", 6).alias("polarity"))
 
 
-@query("k9_lexicon_sentiment", f"WITH {DOC_SCORES} SELECT doc_id, polarity, subjectivity FROM scored")
+@query("k9_lexicon_sentiment", f"WITH {DOC_SCORES} SELECT doc_id, round(polarity, 6) AS polarity, round(subjectivity, 6) AS subjectivity FROM scored")
 def k9(spark, sf_dir):
-    return _polarity(spark, sf_dir)
+    rows = _polarity(spark, sf_dir)
+    return rows.select("doc_id", *[F.round(c, 6).alias(c) for c in ("polarity", "subjectivity")])
 
 
 @query(
@@ -178,22 +178,25 @@ def k10(spark, sf_dir):
 @query(
     "k10_polarity_sweep",
     f"""WITH {DOC_SCORES}, c(cutoff) AS (VALUES {', '.join(f'({x}::DOUBLE)' for x in POLARITY_CUTOFFS)}),
-p AS (SELECT polarity, sentiment FROM scored JOIN (SELECT doc_id, sentiment FROM labelled) USING (doc_id))
-SELECT cutoff, count(*) FILTER (polarity >= cutoff AND sentiment = 1) AS tp, count(*) FILTER (polarity >= cutoff AND sentiment = 0) AS fp,
+p AS (SELECT polarity, sentiment FROM scored JOIN (SELECT doc_id, sentiment FROM labelled) USING (doc_id)),
+t AS (SELECT cutoff, count(*) FILTER (polarity >= cutoff AND sentiment = 1) AS tp, count(*) FILTER (polarity >= cutoff AND sentiment = 0) AS fp,
        count(*) FILTER (polarity < cutoff AND sentiment = 1) AS fn, count(*) FILTER (polarity < cutoff AND sentiment = 0) AS tn
-FROM p, c GROUP BY cutoff""",
+FROM p, c GROUP BY cutoff)
+SELECT *, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
+       round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS sensitivity FROM t""",
 )
 def k10_sweep(spark, sf_dir):
     marks = V.table(spark, sf_dir, "labels").where("quality IS NOT NULL").select("doc_id", "quality")
-    return lx.polarity_sweep(_polarity(spark, sf_dir).join(marks, "doc_id"), "quality")
+    rows = lx.polarity_sweep(_polarity(spark, sf_dir).join(marks, "doc_id"), "quality")
+    return rows.select("cutoff", "tp", "fp", "fn", "tn", *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "sensitivity")])
 
 
 SENTENCES = f"""{WORDS},
 s AS (SELECT doc_id, {S.SENTENCES} AS l FROM documents),
 r AS (SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INT) AS pos, unnest(l) AS sentence FROM s),
 w AS (SELECT doc_id, pos, unnest({S.letters_list('sentence')}) AS word FROM r),
-k AS (SELECT doc_id, pos, sum(CAST(round(polarity * 1000000) AS BIGINT)) AS micro, count(*) AS known FROM w JOIN lexicon USING (word) GROUP BY ALL),
-sentence_scores AS (SELECT doc_id, pos, length(sentence) AS len, (coalesce(floor((2 * micro + known) / (2 * known)) / 1000000, 0) + 1) / 2 AS score
+k AS (SELECT doc_id, pos, sum(polarity) / count(*) AS polarity FROM w JOIN lexicon USING (word) GROUP BY ALL),
+sentence_scores AS (SELECT doc_id, pos, length(sentence) AS len, (coalesce(polarity, 0) + 1) / 2 AS score
            FROM r LEFT JOIN k USING (doc_id, pos))"""
 
 
@@ -202,32 +205,60 @@ def _sentence_scores(spark, sf_dir):
     return lx.score_sentiment(docs, "doc_id", "text", _lexicon(spark, sf_dir), by="sentence")
 
 
-@query("k11_score_sentiment", f"WITH {SENTENCES} SELECT doc_id, pos, len, score FROM sentence_scores")
+@query("k11_score_sentiment", f"WITH {SENTENCES} SELECT doc_id, pos, len, round(score, 6) AS score FROM sentence_scores")
 def k11(spark, sf_dir):
-    return _sentence_scores(spark, sf_dir)
+    return _sentence_scores(spark, sf_dir).select("doc_id", "pos", "len", F.round("score", 6).alias("score"))
+
+
+DOCUMENT = rf"""list_aggregate({S.clean_list('text')}, 'string_agg', ' ')"""
+
+
+@query(
+    "k11_score_documents",
+    f"""WITH {WORDS},
+d AS (SELECT doc_id, list_filter(string_split(coalesce({DOCUMENT}, ''), ' '), lambda w: w <> '') AS l FROM documents),
+w AS (SELECT doc_id, unnest(l) AS word FROM d),
+k AS (SELECT doc_id, sum(polarity) / count(*) AS polarity FROM w JOIN lexicon USING (word) GROUP BY doc_id)
+SELECT doc_id, round((coalesce(polarity, 0) + 1) / 2, 6) AS score FROM d LEFT JOIN k USING (doc_id)""",
+)
+def k11_documents(spark, sf_dir):
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = lx.score_sentiment(docs, "doc_id", "text", _lexicon(spark, sf_dir), by="doc")
+    return rows.select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query(
     "k11_score_with_scorer",
-    "SELECT doc_id, length(replace(text, 'e', '')) / (length(text) + 1) AS score FROM documents",
+    rf"""WITH s AS (SELECT doc_id, {S.SENTENCES} AS l FROM documents),
+r AS (SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INT) AS pos, unnest(l) AS sentence FROM s)
+SELECT doc_id, pos, length(sentence) AS len, round(length(replace(sentence, 'e', '')) / (length(sentence) + 1), 6) AS score FROM r""",
 )
 def k11_scorer(spark, sf_dir):
     def share(texts):
         return [len(t.replace("e", "")) / (len(t) + 1) for t in texts]
 
-    # The raw text goes to the scorer as one unit per document.
     docs = V.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return vc.score_batches(docs, "doc_id", "text", lambda ts: [[x] for x in share(ts)], 100).select(
-        "doc_id", F.get("vec", F.lit(0)).alias("score")
-    )
+    rows = lx.score_sentiment(docs, "doc_id", "text", scorer=share, by="sentence")
+    return rows.select("doc_id", "pos", "len", F.round("score", 6).alias("score"))
 
 
-@query(
-    "k12_sentiment_predictions",
-    f"""WITH {SENTENCES}, m AS (SELECT doc_id, {S.mean_of('score')} AS p FROM sentence_scores GROUP BY doc_id)
-SELECT doc_id AS id, p AS percent_prediction, CAST(round_even(p, 0) AS INT) AS prediction, sentiment AS actual
-FROM m JOIN labelled USING (doc_id)""",
-)
-def k12(spark, sf_dir):
+def _predictions_sql(mean: str) -> str:
+    return f"""WITH {SENTENCES}, m AS (SELECT doc_id, {mean} AS p FROM sentence_scores GROUP BY doc_id)
+SELECT doc_id AS id, round(p, 6) AS percent_prediction, CAST(round_even(p, 0) AS INT) AS prediction, sentiment AS actual
+FROM m JOIN labelled USING (doc_id)"""
+
+
+def _predictions(spark, sf_dir, weighted):
     marks = V.table(spark, sf_dir, "labels").where("quality IS NOT NULL")
-    return lx.sentiment_predictions(_sentence_scores(spark, sf_dir), marks, "doc_id", "quality")
+    rows = lx.sentiment_predictions(_sentence_scores(spark, sf_dir), marks, "doc_id", "quality", weighted)
+    return rows.withColumn("percent_prediction", F.round("percent_prediction", 6))
+
+
+@query("k12_sentiment_predictions", _predictions_sql(S.mean_of("score")))
+def k12(spark, sf_dir):
+    return _predictions(spark, sf_dir, False)
+
+
+@query("k12_weighted_predictions", _predictions_sql(S.mean_of("score", "len")))
+def k12_weighted(spark, sf_dir):
+    return _predictions(spark, sf_dir, True)

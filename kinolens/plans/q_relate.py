@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kinolens.functions.text import clean_tokens, split_sentences, word_count
-from kinolens.labels import ENGLISH_STOP_WORDS, LABELS_14, REVIEW_OFFSETS, STOP_PUNCTUATION
+from kinolens.labels import COMMON_TOP, ENGLISH_STOP_WORDS, LABELS_14, REVIEW_OFFSETS, STOP_PUNCTUATION
 from kinolens.operators import joins as jn
 from kinolens.operators import ranking as rk
 from kinolens.operators import sampling as sp
@@ -55,13 +55,13 @@ def _counts_and_vocab(spark, sf_dir):
 @query("e3_keep_vocabulary", f"{VOCAB} SELECT word, doc_id, n FROM c WHERE word IN (SELECT word FROM vocab)")
 def e3(spark, sf_dir):
     counts, vocab = _counts_and_vocab(spark, sf_dir)
-    return jn.keep_vocabulary(counts, vocab, max_rows=300)
+    return jn.keep_vocabulary(counts, vocab)
 
 
 @query("e4_drop_vocabulary", f"{VOCAB} SELECT word, doc_id, n FROM c WHERE word NOT IN (SELECT word FROM vocab)")
 def e4(spark, sf_dir):
     counts, vocab = _counts_and_vocab(spark, sf_dir)
-    return jn.drop_vocabulary(counts, vocab, max_rows=300)
+    return jn.drop_vocabulary(counts, vocab)
 
 
 @query(
@@ -230,11 +230,11 @@ FIXED = ", ".join("('" + w.replace("'", "''") + "')" for w in ENGLISH_STOP_WORDS
 @query(
     "h4_merge_stop_words",
     f"""WITH {S.RANKED}, fixed(word) AS (VALUES {FIXED})
-SELECT word FROM fixed UNION SELECT word FROM ranked WHERE rank <= 500 GROUP BY word HAVING count(*) = {len(LABELS_14)}""",
+SELECT word FROM fixed UNION SELECT word FROM ranked WHERE rank <= {COMMON_TOP} GROUP BY word HAVING count(*) = {len(LABELS_14)}""",
 )
 def h4(spark, sf_dir):
     fixed = spark.createDataFrame([(w,) for w in stop_words(punctuation=True)], "word string")
-    return st.merge_stop_words(fixed, st.common_words(label_dictionaries(spark, sf_dir), LABELS_14, 500))
+    return st.merge_stop_words(fixed, st.common_words(label_dictionaries(spark, sf_dir), LABELS_14))
 
 
 @query(
@@ -252,26 +252,26 @@ def h5(spark, sf_dir):
 
 @query(
     "h6_distinctive_words",
-    f"""WITH {S.RANKED}, common AS (SELECT word FROM ranked WHERE rank <= 500 GROUP BY word HAVING count(*) = {len(LABELS_14)}),
+    f"""WITH {S.RANKED}, common AS (SELECT word FROM ranked WHERE rank <= {COMMON_TOP} GROUP BY word HAVING count(*) = {len(LABELS_14)}),
 r AS (SELECT label, word, n, row_number() OVER (PARTITION BY label ORDER BY n DESC, word) AS rk
       FROM label_words WHERE word NOT IN (SELECT word FROM common))
 SELECT label, CAST(rk AS INT) AS rank, word, n FROM r WHERE rk <= 37""",
 )
 def h6(spark, sf_dir):
-    rows = st.distinctive_words(label_dictionaries(spark, sf_dir, store=True), LABELS_14, 37, common_k=500)
+    rows = st.distinctive_words(label_dictionaries(spark, sf_dir, store=True), LABELS_14, 37)
     return rows.select("label", "rank", "word", "n")
 
 
 @query(
     "h6_distinctive_by_weight",
     f"""WITH {S.LABEL_WORDS}, f AS (SELECT word, count(*) AS df FROM label_words GROUP BY word),
-w AS (SELECT label, word, n, round(n * ln({len(LABELS_14)} / df), 6) AS weight FROM label_words JOIN f USING (word)),
+w AS (SELECT label, word, n, n * ln({len(LABELS_14)} / df) AS weight FROM label_words JOIN f USING (word)),
 r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY weight DESC, word) AS rk FROM w)
-SELECT label, CAST(rk AS INT) AS rank, word, n, weight FROM r WHERE rk <= 37""",
+SELECT label, CAST(rk AS INT) AS rank, word, n, round(weight, 6) AS weight FROM r WHERE rk <= 37""",
 )
 def h6_weight(spark, sf_dir):
     rows = st.distinctive_by_weight(label_dictionaries(spark, sf_dir, store=True), len(LABELS_14), 37)
-    return rows.select("label", "rank", "word", "n", "weight")
+    return rows.select("label", "rank", "word", "n", F.round("weight", 6).alias("weight"))
 
 
 # ---- hold-out ----

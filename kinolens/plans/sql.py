@@ -1,13 +1,15 @@
 """Building blocks of the SQL twins, written for DuckDB.
 
 Each block states a definition on its own terms; nothing here is used by the
-Spark side.
+Spark side. What both sides share are fixed values: label names and stop words,
+and the suffix tables of the stemmer, which ``tests/test_functions.py`` holds
+against published examples.
 """
 
 from __future__ import annotations
 
 from kinolens.functions.porter import STEP_2, STEP_3, STEP_4
-from kinolens.labels import ENGLISH_STOP_WORDS, LABELS_14, LABELS_18
+from kinolens.labels import ENGLISH_STOP_WORDS, LABELS_14, LABELS_18, STOP_PUNCTUATION
 
 
 def quoted(words) -> str:
@@ -20,7 +22,7 @@ def values(labels) -> str:
 
 LABELS = f"label_names(pos, label) AS (VALUES {values(LABELS_14)})"
 LABELS_FULL = f"label_names(pos, label) AS (VALUES {values(LABELS_18)})"
-STOPS = f"({quoted(ENGLISH_STOP_WORDS)})"
+STOPS = f"({quoted(ENGLISH_STOP_WORDS + STOP_PUNCTUATION)})"
 
 FILMS = f"""
 {LABELS},
@@ -179,7 +181,6 @@ def stem_ctes(source: str) -> str:
 
 
 def mean_of(score: str, weight: str = "1") -> str:
-    """Weighted mean in millionths, from whole billionths."""
+    """Weighted mean from whole billionths, not rounded."""
     total = f"sum(CAST(round({score} * 1000000000) AS BIGINT) * {weight})"
-    size = f"(sum({weight}) * 1000)"
-    return f"floor((2 * {total} + {size}) / (2 * {size})) / 1000000"
+    return f"({total} / (sum({weight}) * 1000000000))"
