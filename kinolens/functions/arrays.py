@@ -91,16 +91,6 @@ def round_half_even(c) -> Column:
     return F.bround(_col(c), 0).cast("int")
 
 
-def round_ratio(num, den, scale: int = 1_000_000) -> Column:
-    """``num / den`` to the nearest ``1 / scale``, halves up.
-
-    Whole-number arithmetic: the last digit does not depend on how a double
-    happens to represent a tie. Null when ``den`` is 0.
-    """
-    n, d = _col(num), _col(den)
-    return F.floor(F.try_divide(2 * scale * n + d, 2 * d)).cast("long") / F.lit(scale)
-
-
 def threshold(c, n: float) -> Column:
     """1 from ``n`` upward, else 0."""
     return (_col(c) >= F.lit(n)).cast("int")

@@ -80,10 +80,6 @@ def with_target(df: DataFrame, target: str, features) -> DataFrame:
     return df.select(*features, F.col(target).alias("target"))
 
 
-def drop_columns(df: DataFrame, *cols: str) -> DataFrame:
-    return df.drop(*cols)
-
-
 def drop_labels(df: DataFrame, labels) -> DataFrame:
     """Long scores without the given labels."""
     return df.where(~F.col("label").isin(list(labels)))

@@ -151,16 +151,28 @@ def score_batches(df: DataFrame, key: str, text: str, scorer: Scorer, batch: int
 # ---- trained word vectors ----
 
 
+#: Most numbers (words x dimensions) that the trainer keeps on the driver and in every task.
+MAX_WORD_CELLS = 200_000_000
+
+
 def train_word2vec(
     sentences: DataFrame, words: str, dim: int = 300, min_count: int = 40, window: int = 10, seed: int = 42,
-    partitions: int = 1, iterations: int = 1,
+    partitions: int | None = None, iterations: int = 1,
 ) -> Word2VecModel:
     """Word vectors from one row per sentence.
 
-    More ``partitions`` train in parallel; more ``iterations`` make up for it.
+    Training runs in as many ``partitions`` as the cluster has cores unless a
+    number is given; more ``iterations`` make up for more partitions. Spark's
+    trainer keeps the whole vocabulary on the driver, so its size is counted
+    first and a vocabulary that is too large is refused; raise ``min_count``.
     """
+    counts = sentences.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    size = counts.where(F.col("n") >= min_count).count()
+    if size * dim > MAX_WORD_CELLS:
+        raise ValueError(f"{size} words of {dim} dimensions are more than {MAX_WORD_CELLS} numbers; raise min_count")
     trainer = Word2Vec(
-        vectorSize=dim, minCount=min_count, windowSize=window, seed=seed, numPartitions=partitions,
+        vectorSize=dim, minCount=min_count, windowSize=window, seed=seed,
+        numPartitions=partitions or sentences.sparkSession.sparkContext.defaultParallelism,
         maxIter=iterations, inputCol=words, outputCol="vector",
     )
     return trainer.fit(sentences)
@@ -174,17 +186,15 @@ def word_vectors(model: Word2VecModel, unit: bool = True) -> DataFrame:
     return table.withColumn("vec", l2_normalise("vec")) if unit else table
 
 
-def doc_vectors_w2v(df: DataFrame, key: str, words: str, model: Word2VecModel, combine: str = "sum") -> DataFrame:
-    """(key, vec) from a trained model, inside the row.
+def doc_vectors_w2v(df: DataFrame, key: str, words: str, vectors: DataFrame, dim: int = 300, combine: str = "sum") -> DataFrame:
+    """(key, vec, known): sum or mean of the unit vectors of a document's known words.
 
-    The model's own transform divides the sum of the known words by the number
-    of all words, so multiplying by that number gives the sum.
+    ``vectors`` is a stored :func:`word_vectors` table, so a model is trained
+    once and joined by word like any other table.
     """
-    scored = model.setInputCol(words).setOutputCol("__v").transform(df)
-    mean = vector_to_array("__v")
-    if combine == "mean":
-        return scored.select(key, mean.alias("vec"))
-    return scored.select(key, F.transform(mean, lambda x: x * F.size(F.col(words))).alias("vec"))
+    from kinolens.operators.aggregates import sum_vectors
+
+    return sum_vectors(df, key, F.col(words), vectors, dim, combine)
 
 
 # ---- similarity ----

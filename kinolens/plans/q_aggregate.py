@@ -9,12 +9,11 @@ from kinolens.labels import LABELS_14
 from kinolens.operators import aggregates as ag
 from kinolens.operators import tables as tb
 from kinolens.operators.sampling import split
-from kinolens.operators.sets import feature_words
 from kinolens.operators.tokens import sentence_tokens
 from kinolens.operators.vectors import word_signs
 from kinolens.plans import sql as S
 from kinolens.plans.catalog import query
-from kinolens.plans.genre import label_dictionaries
+from kinolens.plans.genre import label_dictionaries, second_pass_words
 from kinolens.sources import views as V
 
 TERM_COUNTS = f"{S.ASCII_TOKENS}, c AS (SELECT doc_id, word, count(*) AS n FROM tokens GROUP BY ALL)"
@@ -38,13 +37,13 @@ def f1(spark, sf_dir):
 
 @query(
     "f2_tf_vector",
-    f"""WITH {S.RANKED}, fw AS (SELECT DISTINCT word FROM ranked WHERE rank <= 37),
+    f"""WITH {S.SECOND}, fw AS (SELECT DISTINCT word FROM second WHERE rank <= 37),
 c AS (SELECT doc_id, word, count(*) AS n FROM tokens WHERE word IN (SELECT word FROM fw) GROUP BY ALL),
 cells AS (SELECT d.doc_id, w.word, coalesce(c.n, 0) AS n FROM documents d CROSS JOIN fw w LEFT JOIN c ON c.doc_id = d.doc_id AND c.word = w.word)
 SELECT doc_id, string_agg(CAST(n AS VARCHAR), ' ' ORDER BY word) AS tf FROM cells GROUP BY doc_id""",
 )
 def f2(spark, sf_dir):
-    words = ag.vocabulary_list(feature_words(label_dictionaries(spark, sf_dir)))
+    words = ag.vocabulary_list(second_pass_words(label_dictionaries(spark, sf_dir, store=True)))
     docs = _docs(spark, sf_dir).select("doc_id", clean_tokens("text", ascii_only=True).alias("tokens"))
     return ag.tf_array(docs, "tokens", words).select("doc_id", F.array_join("tf", " ").alias("tf"))
 

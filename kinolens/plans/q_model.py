@@ -6,10 +6,12 @@ functions take any size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from kinolens.functions.text import letters_only_tokens
-from kinolens.labels import POLARITY_CUTOFFS
+from kinolens.labels import CUTOFFS, POLARITY_CUTOFFS
 from kinolens.operators import lexicon as lx
 from kinolens.operators import models as md
 from kinolens.operators import vectors as vc
@@ -17,6 +19,7 @@ from kinolens.operators.metrics import threshold_sweep
 from kinolens.operators.sampling import split
 from kinolens.plans import sql as S
 from kinolens.plans.catalog import query
+from kinolens.plans.genre import genre_chain
 from kinolens.session import fresh_dir
 from kinolens.sources import files as fl
 from kinolens.sources import views as V
@@ -118,6 +121,92 @@ def l6(spark, sf_dir):
     return md.evaluate_saved_models(paths, test, "id")
 
 
+# ---- what SQL can state of fitted models: rows, classes, supports and bounds ----
+
+TESTED = "CAST(('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 30"
+VECTORS = f"t AS (SELECT vec_id AS id, label FROM embeddings WHERE {TESTED.format('vec_id')})"
+MARKED = f"t AS (SELECT doc_id AS id, quality FROM labels JOIN documents USING (doc_id) WHERE quality IS NOT NULL AND {TESTED.format('doc_id')})"
+
+
+def _valid(*probabilities):
+    good = [F.col(p).between(0.0, 1.0) for p in probabilities]
+    return reduce(lambda a, b: a & b, good).alias("valid")
+
+
+@query("k1_forest_shape", "SELECT len(embedding) AS features, CAST(1 AS DOUBLE) AS total FROM embeddings LIMIT 1")
+def k1_shape(spark, sf_dir):
+    return k1(spark, sf_dir).agg(F.count("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+
+
+@query("k2_one_class_per_row", f"WITH {VECTORS} SELECT id, CASE WHEN label < 5 THEN 1 ELSE 0 END AS actual, true AS valid FROM t")
+def k2_classes(spark, sf_dir):
+    return k2(spark, sf_dir).select("id", "actual", F.col("prediction").isin(0, 1).alias("valid"))
+
+
+@query("k3_probabilities_per_label", f"WITH {VECTORS} SELECT id, CAST(i AS INT) AS label, true AS valid FROM t, range(10) r(i)")
+def k3_bounds(spark, sf_dir):
+    return k3(spark, sf_dir).select("id", "label", _valid("p"))
+
+
+@query(
+    "k4_support_per_label",
+    f"""WITH {VECTORS}, c(cutoff) AS (VALUES {', '.join(f'({x}::DOUBLE)' for x in CUTOFFS)}),
+s AS (SELECT CAST(i AS VARCHAR) AS label, (SELECT count(*) FROM t WHERE t.label = i) AS support FROM range(10) r(i))
+SELECT cutoff, label, support, true AS valid FROM s, c UNION ALL SELECT cutoff, 'avg / total', (SELECT count(*) FROM t), true FROM c""",
+)
+def k4_support(spark, sf_dir):
+    return k4(spark, sf_dir).select("cutoff", "label", "support", _valid("precision", "recall", "f1"))
+
+
+@query("k5_probabilities", f"WITH {VECTORS} SELECT id, CAST(i AS VARCHAR) AS label, CASE WHEN label = i THEN 1 ELSE 0 END AS actual, true AS valid FROM t, range(10) r(i)")
+def k5_bounds(spark, sf_dir):
+    return k5(spark, sf_dir).select("id", "label", "actual", _valid("p"))
+
+
+@query("k6_grid_points", "SELECT CAST(t AS INT) AS trees, CAST(d AS INT) AS depth, true AS valid FROM (VALUES (2), (4)) a(t), (VALUES (2), (3)) b(d)")
+def k6_points(spark, sf_dir):
+    return k6(spark, sf_dir).select("trees", "depth", _valid("f1"))
+
+
+@query("k7_rows_per_method", f"WITH {MARKED} SELECT method, (SELECT count(*) FROM t) AS n, true AS valid FROM (VALUES ('counts'), ('hash_sum'), ('hash_mean'), ('hash_concat')) m(method)")
+def k7_rows(spark, sf_dir):
+    return k7(spark, sf_dir).select("method", "n", _valid("accuracy", "precision", "sensitivity"))
+
+
+@query("k8_one_class_per_review", f"WITH {MARKED} SELECT id, CAST(quality AS INT) AS actual, true AS valid FROM t")
+def k8_classes(spark, sf_dir):
+    return k8(spark, sf_dir).select("id", "actual", F.col("prediction").isin(0, 1).alias("valid"))
+
+
+@query(
+    "l6_support_of_saved_models",
+    f"""WITH {VECTORS}, c(cutoff) AS (VALUES (0.25::DOUBLE), (0.3::DOUBLE), (0.2::DOUBLE), (0.1::DOUBLE)),
+s AS (SELECT CAST(i AS VARCHAR) AS label, (SELECT count(*) FROM t WHERE t.label = i) AS support FROM range(10) r(i))
+SELECT cutoff, label, support, true AS valid FROM s, c UNION ALL SELECT cutoff, 'avg / total', (SELECT count(*) FROM t), true FROM c""",
+)
+def l6_support(spark, sf_dir):
+    return l6(spark, sf_dir).select("cutoff", "label", "support", _valid("precision", "recall", "f1"))
+
+
+@query("a11_loaded_model_agrees", f"WITH {VECTORS} SELECT id, true AS same FROM t")
+def a11_same(spark, sf_dir):
+    return a11(spark, sf_dir).select("id", (F.col("prediction") == F.col("before")).alias("same"))
+
+
+@query(
+    "k4_genre_chain",
+    f"""WITH {S.FILMS}, t AS (SELECT doc_id, source FROM documents WHERE {TESTED.format('doc_id')}),
+c(cutoff) AS (VALUES {', '.join(f'({x}::DOUBLE)' for x in CUTOFFS)}),
+s AS (SELECT n.label, (SELECT count(*) FROM t JOIN film_labels l ON l.title_url = t.source WHERE l.label = n.label) AS support FROM label_names n)
+SELECT cutoff, label, support, true AS valid FROM s, c
+UNION ALL SELECT cutoff, 'avg / total', (SELECT CAST(sum(support) AS BIGINT) FROM s), true FROM c""",
+)
+def k4_chain(spark, sf_dir):
+    train, test = split(V.reviews(spark, sf_dir), "review_id")
+    _, rows = genre_chain(train, test, V.movies(spark, sf_dir), trees=[TREES] * 14, depth=[DEPTH] * 14)
+    return threshold_sweep(rows).select("cutoff", "label", "support", _valid("precision", "recall", "f1"))
+
+
 @query("a11_save_load_model")
 def a11(spark, sf_dir):
     from pyspark.ml.classification import RandomForestClassificationModel

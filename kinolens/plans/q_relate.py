@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kinolens.functions.text import clean_tokens, split_sentences, word_count
-from kinolens.labels import COMMON_TOP, ENGLISH_STOP_WORDS, LABELS_14, REVIEW_OFFSETS, STOP_PUNCTUATION
+from kinolens.labels import COMMON_TOP, ENGLISH_STOP_WORDS, LABELS_14, LISTING_OFFSETS, REVIEW_OFFSETS, STOP_PUNCTUATION
 from kinolens.operators import joins as jn
 from kinolens.operators import ranking as rk
 from kinolens.operators import sampling as sp
@@ -14,7 +14,7 @@ from kinolens.operators.aggregates import corpus_vocabulary, term_counts
 from kinolens.operators.tokens import stop_words
 from kinolens.plans import sql as S
 from kinolens.plans.catalog import query
-from kinolens.plans.genre import label_dictionaries, top_words_per_label
+from kinolens.plans.genre import label_dictionaries, second_pass_words, top_words_per_label
 from kinolens.sources import views as V
 
 
@@ -102,6 +102,17 @@ def e6(spark, sf_dir):
     return jn.crawl_frontier(rows.select("title_url").distinct(), "title_url", REVIEW_OFFSETS, url, seen)
 
 
+@query(
+    "e6_listing_frontier",
+    f"""WITH {S.FILMS}, o("offset") AS (VALUES {', '.join(f'({x})' for x in LISTING_OFFSETS)})
+SELECT label, "offset", '/search?genres=' || label || '&start=' || "offset" AS url FROM (SELECT DISTINCT label FROM film_labels), o""",
+)
+def e6_listing(spark, sf_dir):
+    labels = V.movies(spark, sf_dir).select(F.explode("labels").alias("label")).distinct()
+    url = F.concat(F.lit("/search?genres="), F.col("label"), F.lit("&start="), F.col("offset").cast("string"))
+    return jn.crawl_frontier(labels, "label", LISTING_OFFSETS, url)
+
+
 @query(
     "e7_zip_by_position",
     rf"""WITH s AS (SELECT doc_id, {S.SENTENCES} AS l FROM documents),
@@ -219,9 +230,9 @@ def h2(spark, sf_dir):
     return st.common_words(label_dictionaries(spark, sf_dir), LABELS_14)
 
 
-@query("h3_feature_words", f"WITH {S.RANKED} SELECT DISTINCT word FROM ranked WHERE rank <= 37")
+@query("h3_feature_words", f"WITH {S.SECOND} SELECT DISTINCT word FROM second WHERE rank <= 37")
 def h3(spark, sf_dir):
-    return st.feature_words(label_dictionaries(spark, sf_dir))
+    return second_pass_words(label_dictionaries(spark, sf_dir, store=True))
 
 
 FIXED = ", ".join("('" + w.replace("'", "''") + "')" for w in ENGLISH_STOP_WORDS + STOP_PUNCTUATION)

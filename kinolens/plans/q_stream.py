@@ -49,7 +49,7 @@ def m1(spark, sf_dir):
     seen = V.table(spark, sf_dir, "labels").select(F.concat(F.lit("/title/"), "doc_id", F.lit("/")).alias("title_url"))
     stream = sm.file_stream(spark, landed, T.StructType([*pages.schema.fields, T.StructField("day", T.IntegerType())]), files_per_batch=1)
     out = fresh_dir(spark, "titles")
-    sm.run_to_end(sm.stream_new_titles(stream, extract_titles, seen, "title_url", out, fresh_dir(spark, "ckpt")))
+    sm.run_to_end(sm.stream_new_titles(stream, extract_titles, seen, "title_url", out, fresh_dir(spark, "ckpt"), order=["title", "genre"]))
     return spark.read.parquet(out).select("title_url", "title", "genre")
 
 
@@ -63,7 +63,7 @@ def m2(spark, sf_dir):
     out = fresh_dir(spark, "backfill")
     docs = _arriving(spark, sf_dir, "documents")
     sm.run_to_end(sm.stream_backfill(docs, "doc_id", "text", hash_scorer(DIM), out, fresh_dir(spark, "ckpt")))
-    filled = spark.read.parquet(out)
+    filled = sm.newest_by_key(spark, out, spark.read.parquet(out).drop(sm.BATCH).schema, "doc_id")
     base = V.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     rows = update_by_key(base, filled, "doc_id", ["doc_vec", "word_count"])
     return rows.withColumn("doc_vec", F.array_join(F.col("doc_vec").cast("array<long>"), " "))
@@ -76,8 +76,7 @@ def m3(spark, sf_dir):
     )
     out = fresh_dir(spark, "longest")
     sm.run_to_end(sm.stream_longest_review(turns, out, fresh_dir(spark, "ckpt")))
-    schema = sm.running_longest_review(V.film_reviews(spark, sf_dir)).schema
-    return sm.latest_longest_review(spark, out, schema)
+    return sm.latest_longest_review(spark, out, V.film_reviews(spark, sf_dir))
 
 
 @query("m4_stream_score")
@@ -95,3 +94,11 @@ def m4(spark, sf_dir):
     stream = _arriving(spark, sf_dir, "embeddings")
     sm.run_to_end(sm.stream_score(stream, score, out, fresh_dir(spark, "ckpt")))
     return spark.read.parquet(out)
+
+
+@query(
+    "m4_stream_probabilities",
+    "SELECT vec_id AS id, CAST(i AS VARCHAR) AS label, true AS valid FROM embeddings, range(10) r(i)",
+)
+def m4_bounds(spark, sf_dir):
+    return m4(spark, sf_dir).select("id", "label", F.col("p").between(0.0, 1.0).alias("valid"))

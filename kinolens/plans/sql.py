@@ -9,7 +9,7 @@ against published examples.
 from __future__ import annotations
 
 from kinolens.functions.porter import STEP_2, STEP_3, STEP_4
-from kinolens.labels import ENGLISH_STOP_WORDS, LABELS_14, LABELS_18, STOP_PUNCTUATION
+from kinolens.labels import COMMON_TOP, ENGLISH_STOP_WORDS, LABELS_14, LABELS_18, STOP_PUNCTUATION
 
 
 def quoted(words) -> str:
@@ -101,6 +101,17 @@ ranked AS (
 )"""
 )
 
+#: The dictionaries without the words common to all labels, ranked anew.
+SECOND = (
+    RANKED
+    + f""",
+common AS (SELECT word FROM ranked WHERE rank <= {COMMON_TOP} GROUP BY word HAVING count(*) = {len(LABELS_14)}),
+second AS (
+  SELECT label, word, n, row_number() OVER (PARTITION BY label ORDER BY n DESC, word) AS rank
+  FROM label_words WHERE word NOT IN (SELECT word FROM common)
+)"""
+)
+
 SENTENCES = r"""
 list_filter(string_split(regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), '([.!?])\s+', '\1' || chr(1), 'g'),
             chr(1)), lambda s: s <> '')"""

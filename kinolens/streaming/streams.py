@@ -20,6 +20,7 @@ from kinolens.functions.text import word_count
 from kinolens.operators.joins import not_yet_seen
 from kinolens.operators.ranking import dedupe_first
 from kinolens.operators.vectors import Scorer, score_batches
+from kinolens.session import materialise
 
 BATCH = "batch_id"
 
@@ -34,8 +35,6 @@ def file_stream(
     return reader.parquet(path)
 
 
-
-
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
     """Rows of a stream-filled table, optionally only of batches before one.
 
@@ -64,10 +63,13 @@ def stream_new_titles(
     key: str,
     out: str,
     checkpoint: str,
-    order=None,
+    order,
 ) -> StreamingQuery:
     """Arriving pages add the titles that are neither in ``seen`` nor in ``out``.
 
+    Of the rows of a key that arrive together, the first in ``order`` is taken:
+    columns that tell pages and places on them apart.
+
     The table already written is the memory of the stream, as a collection
     with a unique key would be; no key stays in executor state, which would
     grow for ever without a watermark.
@@ -77,7 +79,7 @@ def stream_new_titles(
 
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        first = dedupe_first(batch, key, order or key)
+        first = dedupe_first(batch, key, order)
         fresh = not_yet_seen(first, seen, key)
         known = read_batches(spark, out, schema, before=batch_id)
         _write_batch(not_yet_seen(fresh, known, key), out, batch_id)
@@ -91,8 +93,8 @@ def stream_backfill(
 ) -> StreamingQuery:
     """Vectors and word counts for arriving reviews, both in one write.
 
-    The result is keyed by review and is joined to the reviews with
-    ``update_by_key``.
+    A review that lands again is written again; :func:`newest_by_key` gives one
+    row per review, which is joined to the reviews with ``update_by_key``.
     """
 
     def fill(batch: DataFrame, batch_id: int) -> None:
@@ -105,16 +107,29 @@ def stream_backfill(
     return writer.trigger(availableNow=True).start()
 
 
+def newest_by_key(spark: SparkSession, out: str, schema: T.StructType, key: str) -> DataFrame:
+    """One row per key of a stream-filled table: that of the latest batch.
+
+    A key that repeats within one batch gives its greatest row.
+    """
+    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    names = [f.name for f in schema.fields]
+    rows = spark.read.schema(full).parquet(out)
+    newest = F.max(F.struct(BATCH, *[n for n in names if n != key]))
+    return rows.groupBy(key).agg(newest.alias("r")).select(key, *[F.col(f"r.{n}").alias(n) for n in names if n != key])
+
+
 def running_longest_review(
     reviews: DataFrame, film: str = "title_url", text: str = "review", pos: str = "pos"
 ) -> DataFrame:
-    """Longest review per film so far, on a stream or on a table.
+    """(film, pos, wc) of the longest review per film so far, on a stream or on a table.
 
-    State is one struct per film; rows are combined per partition first.
+    State is two numbers per film; the text stays in the reviews and is joined
+    to the result (:func:`latest_longest_review`).
     """
-    counted = reviews.withColumn("wc", word_count(text)).where(F.col("wc") > 0)
-    best = F.max_by(F.struct(pos, text, "wc"), F.struct("wc", (-F.col(pos)).alias("first")))
-    return counted.groupBy(film).agg(best.alias("r")).select(film, "r.*")
+    counted = reviews.select(film, pos, word_count(text).alias("wc")).where(F.col("wc") > 0)
+    best = F.max(F.struct("wc", (-F.col(pos)).alias("first")))
+    return counted.groupBy(film).agg(best.alias("r")).select(film, (-F.col("r.first")).alias(pos), F.col("r.wc").alias("wc"))
 
 
 def stream_longest_review(reviews: DataFrame, out: str, checkpoint: str, **columns) -> StreamingQuery:
@@ -132,13 +147,23 @@ def stream_longest_review(reviews: DataFrame, out: str, checkpoint: str, **colum
     return writer.trigger(availableNow=True).start()
 
 
-def latest_longest_review(spark: SparkSession, out: str, schema: T.StructType, film: str = "title_url") -> DataFrame:
-    """One row per film: the newest of the updates written above."""
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    rows = spark.read.schema(full).parquet(out)
-    names = [f.name for f in schema.fields]
-    newest = F.max_by(F.struct(*names), BATCH)
-    return rows.groupBy(F.col(film).alias("__film")).agg(newest.alias("r")).select("r.*")
+def merge_updates(spark: SparkSession, out: str, schema: T.StructType, film: str, batch: int) -> None:
+    """Rewrite the update log up to ``batch`` as one row per film, in the folder of that batch.
+
+    Run between streams; the older folders can be removed afterwards.
+    """
+    rows = materialise(newest_by_key(spark, out, schema, film), "merged")
+    _write_batch(rows, out, batch)
+
+
+def latest_longest_review(
+    spark: SparkSession, out: str, reviews: DataFrame, film: str = "title_url", text: str = "review", pos: str = "pos"
+) -> DataFrame:
+    """(film, pos, text, wc): the newest of the updates written above, with the text of its review."""
+    kind = {f.name: f.dataType for f in reviews.schema.fields}
+    schema = T.StructType([T.StructField(film, kind[film]), T.StructField(pos, kind[pos]), T.StructField("wc", T.IntegerType())])
+    newest = materialise(newest_by_key(spark, out, schema, film), "longest")
+    return reviews.select(film, pos, text).join(newest, [film, pos]).select(film, pos, text, "wc")
 
 
 def stream_score(

@@ -91,8 +91,6 @@ def test_rounding_and_cutoffs(spark):
     assert [r.y for r in df.collect()] == [0, 2, 0]
     df = spark.createDataFrame([(0.24,), (0.25,), (0.26,)], "x double").select(ar.threshold("x", 0.25).alias("y"))
     assert [r.y for r in df.collect()] == [0, 1, 1]
-    df = spark.createDataFrame([(1, 3), (-1, 2), (1, 0)], "a long, b long").select(ar.round_ratio("a", "b", 10).alias("y"))
-    assert [r.y for r in df.collect()] == [0.3, -0.5, None]
 
 
 def test_vectors(spark):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinolens.functions.text import clean_tokens, letters_only_tokens
+from kinolens.session import materialise
 from kinolens.operators import aggregates as ag
 from kinolens.operators import extract as ex
 from kinolens.operators import joins as jn
@@ -157,13 +158,22 @@ def test_sum_vectors_keeps_unknown_documents(spark):
     assert got == {1: ([2.0, 4.0], 2), 2: ([0.0, 0.0], 0), 3: ([0.0, 0.0], 0)}
 
 
-def test_word2vec_sum_is_the_sum_of_word_vectors(spark, docs):
+def test_word2vec_documents_are_sums_of_unit_vectors(spark, docs):
     words = docs.select("doc_id", letters_only_tokens("text").alias("w"))
-    model = vc.train_word2vec(words, "w", dim=4, min_count=5)
-    table = vc.word_vectors(model, unit=False)
-    want = {r.doc_id: r.vec for r in ag.sum_vectors(words, "doc_id", "w", table, 4).collect()}
-    for r in vc.doc_vectors_w2v(words, "doc_id", "w", model).collect():
-        assert r.vec == pytest.approx(want[r.doc_id], abs=1e-4)
+    table = materialise(vc.word_vectors(vc.train_word2vec(words, "w", dim=4, min_count=5)), "vectors")
+    unit = {r.word: r.vec for r in table.collect()}
+    assert all(sum(x * x for x in v) == pytest.approx(1) for v in unit.values())
+    texts = {r.doc_id: r.w for r in words.collect()}
+    for r in vc.doc_vectors_w2v(words, "doc_id", "w", table, 4).collect():
+        known = [unit[w] for w in texts[r.doc_id] if w in unit]
+        assert r.known == len(known)
+        assert r.vec == pytest.approx([sum(v[i] for v in known) for i in range(4)], abs=1e-6)
+
+
+def test_vocabulary_too_large_for_the_trainer(spark, docs, monkeypatch):
+    monkeypatch.setattr(vc, "MAX_WORD_CELLS", 10)
+    with pytest.raises(ValueError, match="min_count"):
+        vc.train_word2vec(docs.select(letters_only_tokens("text").alias("w")), "w", dim=4, min_count=1)
 
 
 def test_extract_reviews_pairs_headers_with_bodies(spark):

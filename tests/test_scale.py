@@ -62,7 +62,9 @@ def test_only_proven_sides_are_broadcast(spark):
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert hinted(small_side(rows.limit(10)))
     assert not hinted(small_side(rows.select(F.explode(F.array("word", "word")).alias("word"))))
-    assert not hinted(small_side(rows.limit(200_000), row_bytes=2400))
+    many = rows.select(F.explode(F.array("word", "word")).alias("word"))
+    assert hinted(small_side(many.limit(6000), row_bytes=2400))
+    assert not hinted(small_side(many.limit(200_000), row_bytes=2400))
 
 
 def test_punctuation_is_no_word(spark):

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from kinolens.operators.ranking import longest_review
+from kinolens.operators.tables import update_by_key
 from kinolens.operators.vectors import hash_scorer
 from kinolens.session import fresh_dir
 from kinolens.streaming import streams as sm
@@ -49,8 +50,7 @@ def test_longest_review_improves(spark):
     def run():
         stream = sm.file_stream(spark, landed, first.schema)
         sm.run_to_end(sm.stream_longest_review(stream, out, ckpt))
-        schema = sm.running_longest_review(first).schema
-        return sorted(map(tuple, sm.latest_longest_review(spark, out, schema).collect()))
+        return sorted(map(tuple, sm.latest_longest_review(spark, out, spark.read.parquet(landed)).collect()))
 
     land(first, landed)
     assert run() == [("f", 0, "a b", 2)]
@@ -72,3 +72,18 @@ def test_backfill_and_score(spark):
     stream = sm.file_stream(spark, landed, rows.schema)
     sm.run_to_end(sm.stream_score(stream, lambda s: s.select("title_url", F.length("review").alias("p")), scored, ckpt2))
     assert spark.read.parquet(scored).count() == 2
+
+
+def test_review_that_lands_twice_counts_once(spark):
+    landed, out, ckpt = (fresh_dir(spark, x) for x in ("landed", "filled", "ckpt"))
+    for text in ("a b", "a b c"):
+        land(spark.createDataFrame([("f", 0, text)], SCHEMA), landed)
+        stream = sm.file_stream(spark, landed, spark.read.parquet(landed).schema)
+        sm.run_to_end(sm.stream_backfill(stream, "title_url", "review", hash_scorer(8), out, ckpt, 1))
+    schema = spark.read.parquet(out).drop(sm.BATCH).schema
+    got = sm.newest_by_key(spark, out, schema, "title_url")
+    assert [(r.title_url, r.word_count) for r in got.collect()] == [("f", 3)]
+    base = spark.createDataFrame([("f",)], "title_url string")
+    assert update_by_key(base, got, "title_url", ["doc_vec", "word_count"]).count() == 1
+    sm.merge_updates(spark, out, schema, "title_url", 5)
+    assert sm.newest_by_key(spark, out, schema, "title_url").collect()[0].word_count == 3
