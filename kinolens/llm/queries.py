@@ -36,7 +36,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-@query("op5_decontaminate")
+LETTER_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+CONTAMINATED = f"""WITH item_words AS (SELECT item_id, {LETTER_WORDS} AS ws FROM benchmark),
+item_windows AS (SELECT DISTINCT item_id, least(13, len(ws)) AS size, ws[i : i + least(13, len(ws)) - 1] AS w
+                 FROM item_words, range(1, 100000) r(i) WHERE len(ws) > 0 AND i <= len(ws) - least(13, len(ws)) + 1),
+doc_words AS (SELECT doc_id, {LETTER_WORDS} AS ws FROM documents),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+places AS (SELECT doc_id, size, unnest(range(1, len(ws) - size + 2)) AS i, ws FROM doc_words, sizes WHERE len(ws) >= size),
+doc_windows AS (SELECT doc_id, size, i, ws[i : i + size - 1] AS w FROM places),
+found AS (SELECT doc_id, d.size, i, item_id FROM doc_windows d JOIN item_windows b ON b.size = d.size AND b.w = d.w),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM found, range(0, 13) s(k) WHERE k < size GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+          FROM found GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+@query("op5_decontaminate", CONTAMINATED)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.decontaminate import contamination_report
 
@@ -50,7 +68,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
-@query("op1_substring_dedup")
+REPEATED_WORDS = r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+places AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, ws FROM d WHERE len(ws) >= 13),
+windows AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS w FROM places),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM windows JOIN firsts USING (w), range(0, 13) s(k) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS line FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op1_substring_dedup", REPEATED_WORDS)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.substring_dedup import repeated_words_report
 
