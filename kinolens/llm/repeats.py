@@ -19,8 +19,10 @@ All windows of a run cover the anchor, so what repeated windows of a run cover
 is one stretch, given by the first and last repeated window.
 
 Counts and least documents are partial aggregates, joins have plain exchanges
-on both sides so that hot keys can be split, and anchors with more than
-``HOT`` contexts are compared by rows instead of in one group.
+on both sides so that hot keys can be split. Anchors with more than ``GROUP``
+contexts are compared in several groups, by the hash of the window, so that a
+group stays about as large; beyond ``HOT`` contexts one window alone could fill
+a group, and windows become rows that are counted before they are joined.
 """
 
 from __future__ import annotations
@@ -32,8 +34,10 @@ from pyspark.sql import functions as F
 
 from kinolens.llm.common import mix, stored
 
+#: Contexts of one anchor that are compared in one group.
+GROUP = 4000
 #: Anchors with more contexts than this are compared as exploded rows.
-HOT = 1000
+HOT = 1_000_000
 #: Windows compared at a time for the other anchors.
 CHUNK = 200_000
 
@@ -107,7 +111,7 @@ def run_batch(doc, mark, rows: np.ndarray, at: np.ndarray, found: dict[str, np.n
     )
 
 
-def repeated_stretches(keyed: DataFrame, runs, windows, earlier: bool, hot: int = HOT) -> DataFrame:
+def repeated_stretches(keyed: DataFrame, runs, windows, earlier: bool, hot: int = HOT, group: int = GROUP) -> DataFrame:
     """(doc, mark, stretches): inclusive ranges of window starts that are repeated, per text.
 
     ``keyed`` has doc, mark, text. ``runs`` maps its batches to rows of RUNS,
@@ -141,9 +145,12 @@ def repeated_stretches(keyed: DataFrame, runs, windows, earlier: bool, hot: int
     asked = asked.groupBy("doc", "mark").agg(F.collect_list("r").alias("runs"))
     cells = "doc bigint, mark bigint, at int, anchor bigint, context bigint, w bigint, m bigint, hashes array<bigint>"
     cells = stored(keyed.join(asked, ["doc", "mark"]).mapInArrow(windows, cells), "windows")
-    cold = cells.where(F.col("m") <= hot).select("anchor", "context", "doc", "mark", "at", "w", "hashes")
-    cold = cold.repartition(F.col("anchor")).sortWithinPartitions("anchor")
-    found = cold.mapInArrow(_compare(earlier), "anchor bigint, context bigint, doc bigint, mark bigint, at int, w bigint, lo int, hi int")
+    columns = ["anchor", "context", "doc", "mark", "at", "w", "hashes"]
+    cold = cells.where(F.col("m") <= group).select(*columns, F.lit(0).alias("bucket"), F.lit(None).cast("array<int>").alias("offsets"))
+    warm = cells.where((F.col("m") > group) & (F.col("m") <= hot)).select(*columns, F.ceil(F.col("m") / group).cast("int").alias("bucket"))
+    groups = cold.union(warm.mapInArrow(_bucketed, cold.schema))
+    groups = groups.repartition("anchor", "bucket").sortWithinPartitions("anchor", "bucket")
+    found = groups.mapInArrow(_compare(earlier), "anchor bigint, context bigint, doc bigint, mark bigint, at int, w bigint, lo int, hi int")
     found = found.union(_hot(cells.where(F.col("m") > hot), earlier))
     if earlier:
         found = again.join(found.select("anchor", "context", F.col("doc").alias("first"), "lo", "hi"), ["anchor", "context"]).where(F.col("doc") == F.col("first"))
@@ -166,28 +173,50 @@ def _hot(cells: DataFrame, earlier: bool) -> DataFrame:
     return good.groupBy("anchor", "context", "doc", "mark", "at", "w").agg(F.min("o").alias("lo"), F.max("o").alias("hi"))
 
 
+def _bucketed(batches):
+    """The windows of a run split by hash into as many rows as ``bucket`` says, with their offsets."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists = batch.column("hashes")
+        hashes, sizes = np.asarray(lists.flatten()), np.asarray(lists.value_lengths()).astype(np.int64)
+        run = np.repeat(np.arange(len(sizes)), sizes)
+        offset = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        bucket = hashes.view(np.uint64) % np.asarray(batch.column("bucket"))[run].astype(np.uint64)
+        order = np.lexsort((offset, bucket, run))
+        r, b = run[order], bucket[order]
+        firsts = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (b[1:] != b[:-1])]))
+        ends = pa.array(np.append(firsts, len(r)).astype(np.int32))
+        same = batch.drop_columns(["hashes", "bucket"]).take(pa.array(r[firsts]))
+        yield pa.RecordBatch.from_arrays(
+            [*same.columns, pa.ListArray.from_arrays(ends, pa.array(hashes[order])), pa.array(b[firsts].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(offset[order].astype(np.int32)))],
+            [*same.schema.names, "hashes", "bucket", "offsets"],
+        )
+
+
 def _compare(earlier: bool):
-    """Batches sorted by anchor to the first and last repeated window of each run; whole anchors at a time."""
+    """Batches sorted by group to the first and last repeated window of each run; whole groups at a time."""
 
     def flush(table: pa.Table):
         lists = table.column("hashes").combine_chunks()
-        hashes = np.asarray(lists.flatten())
-        sizes = np.diff(np.asarray(lists.offsets))
+        hashes, sizes = np.asarray(lists.flatten()), np.asarray(lists.value_lengths()).astype(np.int64)
         run = np.repeat(np.arange(len(sizes)), sizes)
         offset = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        given = table.column("offsets").combine_chunks()
+        offset[np.repeat(np.asarray(given.is_valid()), sizes)] = np.asarray(given.flatten())
         anchor, w = np.asarray(table.column("anchor"))[run], np.asarray(table.column("w"))
         order = np.lexsort((hashes, anchor))
-        a, h = anchor[order], hashes[order]
+        a, h, v = anchor[order], hashes[order], w[run[order]]
         firsts = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (h[1:] != h[:-1])]))
-        sizes = np.diff(np.append(firsts, len(order)))
+        each = np.diff(np.append(firsts, len(order)))
         if earlier:
-            good = np.repeat(np.minimum.reduceat(w[run[order]], firsts), sizes) < w[run[order]]
+            good = np.repeat(np.minimum.reduceat(v, firsts), each) < v
         else:
-            good = np.repeat(np.add.reduceat(w[run[order]], firsts), sizes) > 1
+            good = np.repeat(np.add.reduceat(v, firsts), each) > 1
         chosen = np.sort(order[good])
         kept, lo = np.unique(run[chosen], return_index=True)
         hi = np.append(lo[1:], len(chosen))[: len(lo)] - 1
-        out = table.drop_columns(["hashes"]).take(pa.array(kept))
+        out = table.drop_columns(["hashes", "bucket", "offsets"]).take(pa.array(kept))
         return out.append_column("lo", pa.array(offset[chosen[lo]].astype(np.int32))).append_column("hi", pa.array(offset[chosen[hi]].astype(np.int32)))
 
     def run(batches):
@@ -195,28 +224,23 @@ def _compare(earlier: bool):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            table = pa.Table.from_batches([batch])
-            held.append(table)
-            size += len(table.column("hashes").combine_chunks().flatten())
+            held.append(pa.Table.from_batches([batch]))
+            size += len(batch.column("hashes").flatten())
             if size < CHUNK:
                 continue
-            table = pa.concat_tables(held)
-            anchors = np.asarray(table.column("anchor"))
-            cut = int(np.searchsorted(anchors, anchors[-1]))
-            if cut:
-                # parts of about CHUNK windows, cut between anchors
-                ends = np.cumsum(np.diff(np.asarray(table.column("hashes").combine_chunks().offsets)))
-                at = 0
-                while at < cut:
-                    stop = min(cut, max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK))))
-                    while stop < cut and anchors[stop] == anchors[stop - 1]:
-                        stop += 1
-                    yield from flush(table.slice(at, stop - at).combine_chunks()).to_batches()
-                    at = stop
-                held = [table.slice(cut).combine_chunks()]
-                size = len(held[0].column("hashes").combine_chunks().flatten())
-            else:
-                held = [table]
+            table = pa.concat_tables(held).combine_chunks()
+            anchors, buckets = np.asarray(table.column("anchor")), np.asarray(table.column("bucket"))
+            heads = np.flatnonzero((anchors[1:] != anchors[:-1]) | (buckets[1:] != buckets[:-1])) + 1
+            ends = np.cumsum(np.asarray(table.column("hashes").combine_chunks().value_lengths()))
+            at = 0
+            # parts of about CHUNK windows, cut between groups; the last group may go on in the next batch
+            while len(heads) and at < heads[-1]:
+                k = int(np.searchsorted(heads, np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK)))
+                stop = int(heads[min(k, len(heads) - 1)])
+                yield from flush(table.slice(at, stop - at).combine_chunks()).to_batches()
+                at = stop
+            held = [table.slice(at).combine_chunks()]
+            size = int(ends[-1] - (ends[at - 1] if at else 0))
         if held:
             yield from flush(pa.concat_tables(held).combine_chunks()).to_batches()
 

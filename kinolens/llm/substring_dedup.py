@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinolens.llm.common import NOT_SPACE, blocks, given_id, keyed, word_hashes, word_spans
-from kinolens.llm.repeats import HOT, anchored_runs, covered, level_hashes, repeated_stretches, run_batch
+from kinolens.llm.repeats import GROUP, HOT, anchored_runs, covered, level_hashes, repeated_stretches, run_batch
 
 WINDOW = 13
 
@@ -76,7 +76,7 @@ def _windows(lengths: tuple[int, ...]):
     return run
 
 
-def repeated_words(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+def repeated_words(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", hot: int = HOT, group: int = GROUP) -> DataFrame:
     """(doc, mark, stretches): inclusive ranges of word numbers at which a repeated window starts.
 
     A window counts if its words also start one in a document with a smaller
@@ -86,7 +86,7 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
     each other. Only texts with a repeat are listed.
     """
     lengths = levels(window)
-    return repeated_stretches(keyed(docs, key, text), _runs(lengths), _windows(lengths), earlier=True, hot=hot)
+    return repeated_stretches(keyed(docs, key, text), _runs(lengths), _windows(lengths), earlier=True, hot=hot, group=group)
 
 
 def longest_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -109,14 +109,14 @@ def longest_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id",
     return out.groupBy(key).agg(F.max("longest").alias("longest"))
 
 
-def remove_repeated_words(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+def remove_repeated_words(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", hot: int = HOT, group: int = GROUP) -> DataFrame:
     """(key, n_words, n_removed, kept_sha256, spans, kept) of every row.
 
     ``spans`` are removed runs as (start, end) word numbers; ``kept`` is the
     remaining words joined by one space.
     """
     rows = keyed(docs, key, text)
-    found = repeated_words(docs, window, key, text, hot)
+    found = repeated_words(docs, window, key, text, hot, group)
 
     def run(batches):
         for batch in batches:

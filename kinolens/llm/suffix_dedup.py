@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinolens.llm.common import BLOCK_BYTES, BYTE_VALUES, blocks, given_id, keyed
-from kinolens.llm.repeats import HOT, anchored_runs, covered, level_hashes, repeated_stretches, run_batch
+from kinolens.llm.repeats import GROUP, HOT, anchored_runs, covered, level_hashes, repeated_stretches, run_batch
 
 #: Depths of the buckets; the last one is the length of a repeated string.
 LENGTHS = (40, 80, 160, 200)
@@ -89,7 +89,7 @@ def _windows(lengths: tuple[int, ...]):
     return run
 
 
-def repeated_bytes(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+def repeated_bytes(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text", hot: int = HOT, group: int = GROUP) -> DataFrame:
     """(key, text, stretches) of every row: inclusive ranges of byte offsets at which a repeated string starts.
 
     A string of ``length`` bytes counts if it also starts anywhere else, in the
@@ -99,11 +99,11 @@ def repeated_bytes(docs: DataFrame, length: int = 200, key: str = "doc_id", text
     """
     lengths = depths(length)
     rows = keyed(docs, key, text)
-    found = repeated_stretches(rows, _runs(lengths), _windows(lengths), earlier=False, hot=hot)
+    found = repeated_stretches(rows, _runs(lengths), _windows(lengths), earlier=False, hot=hot, group=group)
     return rows.join(found, ["doc", "mark"], "left").select(given_id().alias(key), "text", "stretches")
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text", hot: int = HOT, group: int = GROUP) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256, spans, kept) of every row.
 
     ``spans`` are the maximal removed runs as (start, end) bytes, ``kept`` the
@@ -127,7 +127,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 200, key: str = "doc_id
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], [batch.schema.names[0], "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
     schema = f"`{key}` bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<start:int,end:int>>, kept binary"
-    return repeated_bytes(docs, length, key, text, hot).mapInArrow(run, schema)
+    return repeated_bytes(docs, length, key, text, hot, group).mapInArrow(run, schema)
 
 
 def repeated_bytes_report(docs: DataFrame) -> DataFrame:

@@ -68,9 +68,9 @@ def nothing(spark):
 # ---- 1 and 7: repeated passages ----
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 1])
-def test_repeated_words(docs, rows, hot):
-    got = substring_dedup.remove_repeated_words(docs, hot=hot)
+@pytest.mark.parametrize(("hot", "group"), [(repeats.HOT, repeats.GROUP), (1, 1), (6, 2)])
+def test_repeated_words(docs, rows, hot, group):
+    got = substring_dedup.remove_repeated_words(docs, hot=hot, group=group)
     assert collected(got, "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.op1(rows))
 
 
@@ -88,9 +88,10 @@ def test_longest_repeats_double_until_none_is_left(spark):
     assert got == {2: 26, 3: 52}
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 1])
-def test_repeated_bytes(docs, rows, hot):
-    got = suffix_dedup.remove_repeated_bytes(docs, hot=hot)
+@pytest.mark.parametrize(("hot", "group"), [(repeats.HOT, repeats.GROUP), (1, 1), (6, 2)])
+def test_repeated_bytes(docs, rows, hot, group, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK", 500)
+    got = suffix_dedup.remove_repeated_bytes(docs, hot=hot, group=group)
     assert collected(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == Counter(brute.op7(rows))
 
 
