@@ -74,9 +74,14 @@ def anchor_sets(texts: pa.Array) -> list[np.ndarray]:
     return out
 
 
+def packed(anchors: np.ndarray) -> bytes:
+    """A fingerprint as bytes, four for each anchor."""
+    return anchors.astype(">u4").tobytes()
+
+
 def written(anchors: np.ndarray) -> str:
     """A fingerprint as hex digits, eight for each anchor."""
-    return anchors.astype(">u4").tobytes().hex()
+    return packed(anchors).hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -95,7 +100,8 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - half] + after[:half]
 
 
-RESULT = "doc bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: Hashes and fingerprints stay bytes until the end: half the size of hex digits where they are stored.
+RESULT = "doc bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 EDGES = "pid int, head boolean, text string"
 
 
@@ -104,8 +110,8 @@ def _rows(docs: list[int], texts: list[str], sets: list[np.ndarray], after: list
     changed_sets = anchor_sets(pa.array(changed, pa.large_string()))
     n = len(docs)
     return [
-        pa.array(docs, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
-        pa.array([written(s) for s in sets], pa.string()), pa.array([written(s) for s in changed_sets], pa.string()),
+        pa.array(docs, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).digest() for t in changed], pa.binary()),
+        pa.array([packed(s) for s in sets], pa.binary()), pa.array([packed(s) for s in changed_sets], pa.binary()),
         pa.array([likeness(sets[i], changed_sets[i]) for i in range(n)], pa.float64()), pa.array([likeness(sets[i], after_sets[i]) for i in range(n)], pa.float64()),
     ]
 
@@ -129,7 +135,7 @@ def _neighbours(batches):
         columns = _rows(docs[:-1], texts[:-1], sets[:-1], texts[1:], sets[1:])
         yield pa.RecordBatch.from_arrays([*columns, blank(n, pa.int32()), blank(n, pa.bool_()), blank(n, pa.string())], [*_NAMES, "pid", "head", "text"])
     if held:
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
         rest = [pa.array([pid, pid], pa.int32()), pa.array([True, False]), pa.array([head[1], held[1]], pa.string())]
         yield pa.RecordBatch.from_arrays([pa.array([head[0], held[0]], pa.int64()), *[blank(2, k) for k in kinds], *rest], [*_NAMES, "pid", "head", "text"])
 
@@ -159,4 +165,6 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     follow = heads.select("pid").select("pid", F.lead("pid").over(order).alias("then"), F.first("pid").over(order).alias("start"))
     follow = follow.select("pid", F.coalesce("then", "start").alias("then"))
     ends = lasts.join(follow, "pid").join(heads.withColumnRenamed("pid", "then"), "then").select("doc", "text", "after")
-    return inner.union(ends.mapInArrow(_matched, RESULT)).withColumn("doc", given_id()).withColumnRenamed("doc", key)
+    every = inner.union(ends.mapInArrow(_matched, RESULT))
+    hexed = [F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")]
+    return every.select(given_id().alias(key), "n_chars", *hexed, "near_edited", "near_next")
