@@ -29,9 +29,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinolens.llm.common import blocks
+
 SPACE = "▁"
 #: Most parts in one half of the memo; a full half becomes the old half.
-MEMO_PARTS = 400_000
+MEMO_PARTS = 150_000
 #: Longer parts are not kept.
 MEMO_LENGTH = 64
 
@@ -277,16 +279,19 @@ def _schema(docs: DataFrame, key: str, rest: str) -> str:
 def _encoder(path: str, digest: bool):
     def run(batches):
         coder = codec(path)
+        names = ("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded")
         for batch in batches:
-            counts, ids, decoded = coder.columns(batch.column(1).to_pylist())
-            if digest:
-                ids, decoded = ([hashlib.sha256(t).hexdigest() for t in x] for x in (ids, decoded))
-            else:
-                ids, decoded = ([t.decode() for t in x] for x in (ids, decoded))
-            names = ("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                [batch.schema.names[0], "n_tokens", *names],
-            )
+            # about a megabyte of text at a time: its ids and surfaces take many times that
+            for first, _, offsets in blocks(batch.column(1)):
+                part = batch.slice(first, len(offsets) - 1)
+                counts, ids, decoded = coder.columns(part.column(1).to_pylist())
+                if digest:
+                    ids, decoded = ([hashlib.sha256(t).hexdigest() for t in x] for x in (ids, decoded))
+                else:
+                    ids, decoded = ([t.decode() for t in x] for x in (ids, decoded))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(counts), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                    [batch.schema.names[0], "n_tokens", *names],
+                )
 
     return run
