@@ -33,7 +33,9 @@ from kinolens.llm.common import blocks
 
 SPACE = "▁"
 #: Most parts in one half of the memo; a full half becomes the old half.
-MEMO_PARTS = 150_000
+MEMO_PARTS = 60_000
+#: Most pairs of tokens whose test is kept.
+MEMO_PAIRS = 150_000
 #: Longer parts are not kept.
 MEMO_LENGTH = 64
 
@@ -107,7 +109,7 @@ class PieceCodec:
     def compatible(self, left: str, right: str) -> bool:
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) >= MEMO_PARTS:
+            if len(self.pairs) >= MEMO_PAIRS:
                 self.pairs.clear()
             known = self.pairs[left, right] = self.merge(left + right) == [left, right]
         return known
