@@ -33,7 +33,7 @@ from kinolens.llm.common import blocks
 
 SPACE = "▁"
 #: Most parts in one half of the memo; a full half becomes the old half.
-MEMO_PARTS = 60_000
+MEMO_PARTS = 100_000
 #: Most pairs of tokens whose test is kept.
 MEMO_PAIRS = 150_000
 #: Longer parts are not kept.
