@@ -149,8 +149,13 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", list_le
     Rows without an id come last. Of rows that repeat an id and a text, any one
     stays.
     """
+    return first_rows(docs, _placed(docs, key, text, list_length), key, text)
+
+
+def first_rows(docs: DataFrame, placed: DataFrame, key: str, text: str) -> DataFrame:
+    """The row of ``docs`` with the smallest id of each ``root``; ``placed`` has doc, mark and root of every row."""
     order = F.struct((F.col("doc") == NULL_ID).alias("late"), "doc", "mark")
-    chosen = stored(_placed(docs, key, text, list_length).groupBy("root").agg(F.min(order).alias("c")).select("c.doc", "c.mark"), "chosen")
+    chosen = stored(placed.groupBy("root").agg(F.min(order).alias("c")).select("c.doc", "c.mark"), "chosen")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.select("row", F.coalesce(F.col(f"row.`{key}`").cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(F.coalesce(F.col(f"row.`{text}`"), F.lit(""))).alias("mark"))
     kept = rows.join(chosen, ["doc", "mark"], "left_semi")
