@@ -2,10 +2,11 @@
 
 A window of ``K`` bytes is a closed syncmer when the least of its inner strings
 of ``S`` bytes (by hash) lies at one of its edges. That depends on the window
-alone, so the same passage gives the same anchors wherever it stands. The
-fingerprint is made of the ``SIZE`` anchors with the least hashes, written in
-the order in which they stand in the text. Their overlap estimates the share of
-anchors that two texts have in common.
+alone, so the same passage gives the same anchors wherever it stands. All anchors
+of a text count. Two texts are compared by matching their anchors in the order in
+which they stand. The fingerprint is made of all anchors too: they are cut into
+stretches behind anchors whose hash ends in ``CUT_BITS`` zero bits, and each
+stretch is written as one digest.
 
 The next document of each one is found by range-partitioning on the id and
 reading every partition in order; the first and the last document of each
@@ -15,6 +16,7 @@ partition are matched in a second, small step.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +24,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinolens.llm.common import BYTE_VALUES, blocks, given_id, keyed, mix, stored
+from kinolens.llm.common import BYTE_VALUES, blocks, given_id, keyed, mix, pair, stored
 from kinolens.llm.repeats import rolling, window_minimum
 
 K = 20
 S = 8
-SIZE = 64
+#: A stretch of a fingerprint has 2 ** CUT_BITS anchors in the mean.
+CUT_BITS = 5
 
 
 def anchor_sets(texts: pa.Array) -> list[np.ndarray]:
-    """The anchors of each text as 32-bit numbers in text order.
+    """All anchors of each text as 32-bit numbers in text order, repeated ones too.
 
     A text without a syncmer, as when it is shorter than ``K`` bytes, has one
     anchor: a hash of the whole of it.
@@ -49,20 +52,8 @@ def anchor_sets(texts: pa.Array) -> list[np.ndarray]:
                 chosen[max(0, end - K + 1) : end] = False
             place = np.flatnonzero(chosen)
             doc = np.searchsorted(offsets, place, "right") - 1
-            keys = (doc.astype(np.uint64) << np.uint64(32)) | (mix(rolling(units, K)[place]) >> np.uint64(32))
-            order = np.argsort(keys, kind="stable")
-            keys = keys[order]
-            new = np.ones(len(keys), bool)
-            new[1:] = keys[1:] != keys[:-1]
-            order, keys = order[new], keys[new]
-            owner = (keys >> np.uint64(32)).astype(np.int64)
-            rank = np.arange(len(keys)) - np.searchsorted(owner, owner)
-            order, keys = order[rank < SIZE], keys[rank < SIZE]
-            by_place = np.argsort(order)
-            keys = keys[by_place]
-            owner = (keys >> np.uint64(32)).astype(np.int64)
-            cuts = np.searchsorted(owner, np.arange(n + 1))
-            values = keys.astype(np.uint32)
+            values = (mix(rolling(units, K)[place]) >> np.uint64(32)).astype(np.uint32)
+            cuts = np.searchsorted(doc, np.arange(n + 1))
         else:
             cuts, values = np.zeros(n + 1, np.int64), np.zeros(0, np.uint32)
         for i in range(n):
@@ -75,23 +66,62 @@ def anchor_sets(texts: pa.Array) -> list[np.ndarray]:
 
 
 def packed(anchors: np.ndarray) -> bytes:
-    """A fingerprint as bytes, four for each anchor."""
-    return anchors.astype(">u4").tobytes()
+    """A fingerprint as bytes, eight for each stretch of anchors."""
+    cuts = np.flatnonzero((anchors & np.uint32((1 << CUT_BITS) - 1)) == 0) + 1
+    starts = np.concatenate([[0], cuts[cuts < len(anchors)]])
+    within = np.arange(len(anchors)) - np.repeat(starts, np.diff(np.append(starts, len(anchors))))
+    return mix(np.add.reduceat(pair(anchors.astype(np.uint64), within.astype(np.uint64)), starts)).astype(">u8").tobytes()
 
 
 def written(anchors: np.ndarray) -> str:
-    """A fingerprint as hex digits, eight for each anchor."""
+    """A fingerprint as hex digits, sixteen for each stretch of anchors."""
     return packed(anchors).hex()
 
 
+def _same_head(a: np.ndarray, b: np.ndarray) -> int:
+    """How many anchors two texts have in common from the first one on."""
+    n = min(len(a), len(b))
+    other = np.flatnonzero(a[:n] != b[:n])
+    return int(other[0]) if len(other) else n
+
+
+def _counted(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors with their number among equal ones, ascending, and their places."""
+    order = np.argsort(a, kind="stable")
+    v = a[order].astype(np.uint64)
+    firsts = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))[: len(v)]
+    number = np.arange(len(v)) - np.repeat(firsts, np.diff(np.append(firsts, len(v))))
+    return (v << np.uint64(32)) | number.astype(np.uint64), order
+
+
+def matched(a: np.ndarray, b: np.ndarray) -> int:
+    """How many anchors match in order.
+
+    Those at the head and at the tail match one by one. Between them, the n-th
+    of equal anchors matches the n-th, and the longest run of matches that
+    stand in the same order in both texts counts.
+    """
+    head = _same_head(a, b)
+    a, b = a[head:], b[head:]
+    tail = _same_head(a[::-1], b[::-1])
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    if not len(a) or not len(b):
+        return head + tail
+    (x, at), (y, to) = _counted(a), _counted(b)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    places = to[j][np.argsort(at[i])]
+    if np.all(places[1:] > places[:-1]):
+        return head + len(places) + tail
+    ends: list[int] = []
+    for p in places.tolist():
+        k = bisect_left(ends, p)
+        ends[k : k + 1] = [p]
+    return head + len(ends) + tail
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of common anchors, 0 to 1: twice the common ones over all of both, estimated from the least of the union."""
-    left, right = set(a.tolist()), set(b.tolist())
-    if left == right:
-        return 1.0
-    union = sorted(left | right)[:SIZE]
-    both = len(left & right & set(union))
-    return 2 * both / (len(union) + both)
+    """Share of anchors that match in order, 0 to 1: twice the matches over all anchors of both."""
+    return 2 * matched(a, b) / (len(a) + len(b))
 
 
 def edited(text: str, after: str) -> str:
