@@ -4,10 +4,12 @@ Seeds are what the fixed forms of e-mail addresses, IP addresses, card and
 phone numbers find. The word in front of a seed, with its kind, is a lexical
 pattern. Looser forms of the same kinds give candidates, whose own words in
 front tie them to the same patterns. Over this graph of patterns and instances
-two scores are computed in turns: a pattern is as sure as the mean score of its
-instances, and an instance without a fixed form is as sure as its trusted
-patterns together (noisy or). Candidates that end above the bar in a place with
-a trusted pattern become spans; seeds always stay.
+two scores are computed in turns, until neither changes: a pattern is as sure as
+the share of known identifiers (seeds, and candidates already found) among those
+and the matches behind it that a fixed form has rejected, so that candidates
+nobody knows yet do not count against it; an instance without a fixed form is as
+sure as its trusted patterns together (noisy or). Candidates that end above the
+bar in a place with a trusted pattern become spans; seeds always stay.
 
 A candidate that a fixed form has matched but rejected (a card number with a
 wrong check digit, an address part over 255) is not personal data and is left
@@ -28,9 +30,6 @@ KINDS = ("email", "ip", "card", "phone")
 #: Distinct seeds that a pattern needs, and what patterns and instances must score.
 MIN_SEEDS = 5
 TRUST = 0.9
-ROUNDS = 4
-#: What a candidate scores before any pattern speaks for it: it has the looser form.
-PRIOR = 0.5
 #: Characters in front of a match in which its context is looked up.
 CONTEXT = 64
 
@@ -48,6 +47,8 @@ CARD = f"[0-9{JOINT}]{{2,}}"
 # The looser forms.
 LOOSE_EMAIL = r"(?<!\S)[^\s@]{1,64}(?:@|\(at\)|\[at\])[^\s@]{1,255}+"
 LOOSE_PHONE = r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[.-][0-9]{4}(?![0-9.-])"
+#: Card numbers with other separators or lengths; they must pass the Luhn check too.
+LOOSE_CARD = r"(?<![0-9])[0-9]{4}(?:[\x20./_-]{0,3}[0-9]{2,6}){2,4}(?![0-9])"
 LOOSE_IP = r"(?<![\w:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![\w:])"
 
 _NONE = "cast(array() as array<struct<s:int,e:int,v:string,left:string>>)"
@@ -86,12 +87,12 @@ def _sixteen(x: Column) -> Column:
     return F.length(_digits(x["v"])).between(16, 19)
 
 
-def _card(x: Column) -> Column:
-    """16 to 19 digits that pass the Luhn check; only short values are summed."""
+def _card(x: Column, least: int = 16) -> Column:
+    """``least`` to 19 digits that pass the Luhn check; only short values are summed."""
     figures = F.transform(F.split(F.reverse(_digits(x["v"])), ""), lambda c: F.coalesce(c.try_cast("int"), F.lit(0)))
     weighed = F.transform(figures, lambda d, i: F.when(i % 2 == 0, d).when(d > 4, 2 * d - 9).otherwise(2 * d))
     total = F.aggregate(weighed, F.lit(0), lambda a, d: a + d)
-    return F.when(_sixteen(x), total % 10 == 0).otherwise(F.lit(False))
+    return F.when(F.length(_digits(x["v"])).between(least, 19), total % 10 == 0).otherwise(F.lit(False))
 
 
 def _phone(x: Column) -> Column:
@@ -102,7 +103,7 @@ VALID = {"email": lambda x: F.lit(True), "ip": _ip, "card": _card, "phone": _pho
 
 
 def hits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, mark, email, ip, card, phone, refused, loose_email, loose_ip, loose_phone): all matches of every text."""
+    """(doc, mark, email, ip, card, phone, refused, loose_email, loose_ip, loose_card, loose_phone): all matches of every text."""
     rows = keyed(docs, key, text)
     body = F.col("text")
     digit, dotted = body.rlike("[0-9]"), body.rlike(r"[0-9]\.[0-9]")
@@ -116,16 +117,15 @@ def hits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         matches(body, PHONE, body.contains("+")).alias("phone"),
         matches(body, LOOSE_EMAIL, body.contains("@") | body.contains("(at)") | body.contains("[at]")).alias("loose_email"),
         matches(body, LOOSE_IP, digit & body.contains(":")).alias("loose_ip"),
+        matches(body, LOOSE_CARD, body.rlike("[0-9][0-9\\x20./_-]{11,}[0-9]")).alias("loose_card"),
         matches(body, LOOSE_PHONE, digit).alias("loose_phone"),
     )
     raw = stored(raw, "pii-matches")
-    place = lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))
-    refused = F.concat(
-        F.transform(F.filter("ip", lambda x: ~_ip(x)), place), F.transform(F.filter("card", lambda x: _sixteen(x) & ~_card(x)), place),
-        F.transform(F.filter("phone", lambda x: ~_phone(x)), place),
-    )
+    wrong = {"ip": lambda x: ~_ip(x), "card": lambda x: _sixteen(x) & ~_card(x), "phone": lambda x: ~_phone(x)}
+    told = lambda k: lambda x: F.struct(F.lit(k).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"), x["left"].alias("left"))
+    refused = F.concat(*[F.transform(F.filter(k, f), told(k)) for k, f in wrong.items()])
     kept = {k: F.filter(k, VALID[k]) for k in KINDS}
-    return raw.select("doc", "mark", *[c.alias(k) for k, c in kept.items()], refused.alias("refused"), "loose_email", "loose_ip", "loose_phone")
+    return raw.select("doc", "mark", *[c.alias(k) for k, c in kept.items()], refused.alias("refused"), "loose_email", "loose_ip", F.filter("loose_card", lambda x: _card(x, 13)).alias("loose_card"), "loose_phone")
 
 
 def _pattern(kind: str, left: Column) -> Column:
@@ -140,8 +140,8 @@ def occurrences(found: DataFrame) -> DataFrame:
     for kind in KINDS:
         one = found.where(F.size(kind) > 0).select("doc", "mark", F.explode(kind).alias("x"))
         parts.append(one.select("doc", "mark", F.lit(kind).alias("kind"), "x.s", "x.e", F.lower("x.v").alias("value"), _pattern(kind, F.col("x.left")).alias("pattern"), F.lit(True).alias("seed")))
-    taken = F.concat(*[F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS], "refused")
-    for kind in ("email", "ip", "phone"):
+    taken = F.concat(*[F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in (*KINDS, "refused")])
+    for kind in KINDS:
         one = found.where(F.size(f"loose_{kind}") > 0).select("doc", "mark", F.explode(f"loose_{kind}").alias("x"), taken.alias("taken"))
         one = one.where(~F.exists("taken", lambda t: (t["s"] < F.col("x.e")) & (t["e"] > F.col("x.s"))))
         # brackets, quotes and stops around a candidate are not part of it
@@ -156,25 +156,40 @@ def occurrences(found: DataFrame) -> DataFrame:
     return out
 
 
-def discovered(found: DataFrame, min_seeds: int = MIN_SEEDS, trust: float = TRUST, rounds: int = ROUNDS) -> DataFrame:
-    """(doc, mark, kind, s, e): spans that the patterns add to the fixed forms."""
+def rejected(found: DataFrame) -> DataFrame:
+    """(pattern, wrong): how many different matches behind a pattern a fixed form has rejected."""
+    rows = found.where(F.size("refused") > 0).select(F.explode("refused").alias("x"))
+    patterns = F.coalesce(*[F.when(F.col("x.kind") == k, _pattern(k, F.col("x.left"))) for k in KINDS])
+    rows = rows.select(patterns.alias("pattern"), F.lower("x.v").alias("value")).where(F.col("pattern").isNotNull()).distinct()
+    return rows.groupBy("pattern").agg(F.count(F.lit(1)).alias("wrong"))
+
+
+def discovered(found: DataFrame, min_seeds: int = MIN_SEEDS, trust: float = TRUST) -> DataFrame:
+    """(doc, mark, kind, s, e): spans that the patterns add to the fixed forms.
+
+    Candidates are only ever added, and each raises its patterns, so the rounds
+    end when one adds none.
+    """
     every = stored(occurrences(found), "pii-occurrences")
+    wrong = stored(rejected(found), "pii-rejected")
     edges = every.where(F.col("pattern").isNotNull()).groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed"))
-    edges = stored(edges.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(PRIOR)), "pii-graph")
-    for _ in range(rounds):
-        sure = edges.groupBy("pattern").agg(F.avg("score").alias("sure"), F.count_if("seed").alias("seeds"))
-        sure = stored(sure.where((F.col("seeds") >= min_seeds) & (F.col("sure") >= trust)).select("pattern", "sure"), "pii-patterns")
-        # candidates only: seeds keep the score 1
+    edges = stored(edges.withColumn("known", F.col("seed")), "pii-graph")
+    before = -1
+    while True:
+        sure = edges.groupBy("pattern").agg(F.count_if("known").alias("right"), F.count_if("seed").alias("seeds")).where(F.col("seeds") >= min_seeds)
+        sure = sure.join(wrong, "pattern", "left").withColumn("sure", F.col("right") / (F.col("right") + F.coalesce("wrong", F.lit(0))))
+        sure = stored(sure.where(F.col("sure") >= trust).select("pattern", "sure"), "pii-patterns")
+        # candidates only: seeds are known
         votes = edges.where(~F.col("seed")).join(sure, "pattern")
         doubt = F.sum(F.log(F.greatest(1 - F.col("sure"), F.lit(1e-6))))
-        votes = stored(votes.groupBy("kind", "value").agg((1 - F.exp(doubt)).alias("vote")), "pii-votes")
-        if votes.isEmpty():
+        good = votes.groupBy("kind", "value").agg((1 - F.exp(doubt)).alias("vote")).where(F.col("vote") >= trust - 1e-9)
+        good = stored(good.select("kind", "value", F.lit(True).alias("found")), "pii-votes")
+        now = good.count()
+        if now == before or not now:
             break
-        edges = edges.join(votes, ["kind", "value"], "left")
-        edges = stored(edges.select("kind", "pattern", "value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("vote", F.lit(PRIOR))).alias("score")), "pii-graph")
-    good = edges.where(~F.col("seed") & (F.col("score") >= trust)).select("kind", "value").distinct()
-    sure = edges.groupBy("pattern").agg(F.avg("score").alias("sure"), F.count_if("seed").alias("seeds"))
-    sure = sure.where((F.col("seeds") >= min_seeds) & (F.col("sure") >= trust)).select("pattern")
+        before = now
+        edges = edges.drop("known").join(good, ["kind", "value"], "left")
+        edges = stored(edges.select("kind", "pattern", "value", "seed", (F.col("seed") | F.coalesce("found", F.lit(False))).alias("known")), "pii-graph")
     return every.where(~F.col("seed")).join(good, ["kind", "value"], "left_semi").join(sure, "pattern", "left_semi").select("doc", "mark", "kind", "s", "e").distinct()
 
 
