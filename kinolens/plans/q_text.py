@@ -23,7 +23,7 @@ def _words_per_doc(words: str, stops: bool = False, html: bool = True) -> str:
     source = S.stripped("text") if html else "text"
     listed = words.replace("text", f"({source})") if html else words
     if stops:
-        listed = f"list_filter({listed}, lambda x: x NOT IN {S.STOPS})"
+        listed = f"list_filter({listed}, lambda x: x NOT IN {S.STOP_WORDS})"
     return f"SELECT doc_id, array_to_string({listed}, ' ') AS words FROM documents"
 
 

@@ -23,6 +23,8 @@ def values(labels) -> str:
 LABELS = f"label_names(pos, label) AS (VALUES {values(LABELS_14)})"
 LABELS_FULL = f"label_names(pos, label) AS (VALUES {values(LABELS_18)})"
 STOPS = f"({quoted(ENGLISH_STOP_WORDS + STOP_PUNCTUATION)})"
+#: Words that the plain word list drops; punctuation stays there.
+STOP_WORDS = f"({quoted(ENGLISH_STOP_WORDS)})"
 
 FILMS = f"""
 {LABELS},
