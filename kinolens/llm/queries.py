@@ -119,3 +119,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.licenses import license_report
 
     return license_report(documents(spark, sf_dir))
+
+
+@query("op11_token_files")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.token_files import token_file_report
+
+    return token_file_report(documents(spark, sf_dir))
