@@ -126,3 +126,33 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.token_files import token_file_report
 
     return token_file_report(documents(spark, sf_dir))
+
+
+def _clusters(rounds: int = 3, k: int = 16, dim: int = 64) -> str:
+    """SQL of operator 13: every vector is compared with every centroid."""
+    near = """(SELECT rn, vec_id, v, min(struct_pack(d := d, c := c)) AS b FROM
+  (SELECT rn, vec_id, v, c, CAST(list_sum(list_transform(list_zip(v, p), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM kept, {points}) GROUP BY rn, vec_id, v)"""
+    steps = []
+    for r in range(rounds):
+        steps.append(f"near{r} AS {near.format(points=f'points{r}')}")
+        steps.append(
+            f"""points{r + 1} AS (SELECT c, coalesce(q, p) AS p FROM points{r} LEFT JOIN (SELECT c, list(m ORDER BY i) AS q FROM
+  (SELECT c, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS m FROM (SELECT b.c AS c, i, sum(v[i]) AS s, count(*) AS n FROM near{r}, range(1, {dim + 1}) t(i) GROUP BY 1, 2)) GROUP BY c) USING (c))"""
+        )
+    ctes = ",\n".join(steps)
+    return f"""WITH kept AS (SELECT row_number() OVER () AS rn, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+points0 AS (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INT) AS c, v AS p FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), 'null')) AS h, v FROM kept ORDER BY h, v LIMIT {k})),
+{ctes},
+last AS {near.format(points=f"points{rounds}")},
+found AS (SELECT vec_id, b.c AS cluster, b.d AS distance FROM last),
+sums AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM found GROUP BY cluster)
+SELECT vec_id, cluster, distance, cluster_inertia, (SELECT CAST(sum(distance) AS BIGINT) FROM found) AS inertia, sha256(array_to_string(p, ',')) AS centroid_sha256
+FROM found JOIN sums USING (cluster) JOIN points{rounds} ON c = cluster"""
+
+
+@query("op13_centroids", _clusters())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.centroids import cluster_report
+
+    return cluster_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
