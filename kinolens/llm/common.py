@@ -48,13 +48,22 @@ def freed_shuffles(spark: SparkSession):
             spark.conf.set(setting, before)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = fresh_dir(spark, name)
     with freed_shuffles(spark):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        df.write.parquet(path, compression=codec)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a frame that :func:`stored` returned, once nothing is going to read it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -156,3 +156,26 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinolens.llm.centroids import cluster_report
 
     return cluster_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+PHRASES = r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS rn,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (SELECT lang, size, ws[i : i + size - 1] AS w, count(*) AS f
+          FROM (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM lists, range(1, 6) s(size) WHERE len(ws) >= size) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT * FROM grams WHERE size > 1 AND f >= 100),
+parts AS (SELECT c.lang, c.w[i : i + s - 1] AS w, max(f) AS longer FROM candidates c, range(2, 5) t(s), range(1, 6) u(i) WHERE s < size AND i + s - 1 <= size GROUP BY ALL),
+cuts AS (SELECT c.lang, c.w, c.f AS a, k, x.f AS l, y.f AS r, CAST(1000 * CAST(c.f AS HUGEINT) * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score, n
+         FROM candidates c JOIN totals USING (lang), range(1, 5) t(k), grams x, grams y
+         WHERE k < c.size AND x.lang = c.lang AND x.w = c.w[1 : k] AND y.lang = c.lang AND y.w = c.w[k + 1 : c.size]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+kept AS (SELECT b.*, array_to_string(b.w, ' ') AS phrase FROM best b LEFT JOIN parts p ON p.lang = b.lang AND p.w = b.w WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept QUALIFY rank <= 2000"""
+
+
+@query("op12_collocations", PHRASES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinolens.llm.phrases import collocations
+
+    return collocations(documents(spark, sf_dir))
