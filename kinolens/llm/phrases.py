@@ -10,8 +10,9 @@ ranked again and are the units of the next round, whose neighbours overlap in
 all but one word, so a pair of them is a phrase of one more word. Every part of
 a frequent phrase is frequent, so none is lost.
 
-What a block knows of its units goes to it by a join on the block's number, so
-nothing that grows with the vocabulary is broadcast.
+Blocks and frequent pairs meet by tile, and what a block learns of its units
+goes to it by the block's number, so nothing that grows with the vocabulary is
+broadcast.
 """
 
 from __future__ import annotations
@@ -31,15 +32,23 @@ BLOCK_BYTES = 4 << 20
 #: Units of a block; a longer text is cut at its gaps.
 BLOCK_UNITS = 1 << 20
 #: A tile has TILE x TILE pairs.
-TILE = 1024
+TILE = 2048
 #: A tile with a pair for so many of its cells is counted by direct address.
-DENSE = 16
+DENSE = 32
 GAP = -1
 
 _BREAK = byte_set(lambda b: b in b".,;:!?" or 0x0A <= b <= 0x0D)
 _WORD = byte_set(lambda b: b not in b".,;:!? \t" and not 0x0A <= b <= 0x0D)
 
-COUNTED = "block long, seq binary, local int, n long"
+#: Bits for the right half of a tile's name.
+SIDE = 31
+#: Blocks whose rows of one tile are looked up in one group; a tile of more blocks is split.
+SLICE_BLOCKS = 256
+#: Pairs that a task holds while it adds up blocks.
+HELD_PAIRS = 1 << 22
+
+WORDS = "block long, seq binary, lang string, word string, local int, n long"
+PAIRS = "block long, seq binary, tile long, first int, cells binary, counts binary"
 
 
 # ---- within a block ----
@@ -70,47 +79,44 @@ def stretches(seq: np.ndarray, most: int = BLOCK_UNITS) -> Iterator[np.ndarray]:
     yield seq
 
 
-def tiled_pairs(seq: np.ndarray, tile: int = TILE, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tiled_pairs(seq: np.ndarray, tile: int = TILE, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Count neighbours in a sequence of ranks, ``GAP`` between stretches.
 
-    Returns the left and right ranks of the different pairs, their counts, and
-    for each place the number of the pair that starts there, or ``GAP``.
+    Returns the tiles that have pairs, the number of the first pair of each (one
+    more: the end), the cells of all pairs by tile, their counts, and for each
+    place the number of the pair that starts there, or ``GAP``. Pair (x, y) lies
+    in the tile of its quotients by ``tile`` and the cell of its remainders.
     """
     left, right = seq[:-1].astype(np.int64), seq[1:].astype(np.int64)
     places = np.flatnonzero((left >= 0) & (right >= 0))
     left, right = left[places], right[places]
     number = np.full(len(seq), GAP, np.int32)
+    tiles = (left // tile << SIDE) | right // tile
+    cells = left % tile * tile + right % tile
+    names, inverse, sizes = np.unique(tiles, return_inverse=True, return_counts=True)
+    heavy = np.flatnonzero(sizes * dense >= tile * tile)
+    rest = np.ones(len(places), bool)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    if len(places):
-        across = int(right.max()) // tile + 1
-        tiles = left // tile * across + right // tile
-        names, counts = np.unique(tiles, return_counts=True)
-        heavy = names[counts * dense >= tile * tile]
-        rest = np.ones(len(places), bool)
-        known = 0
-        for name in heavy.tolist():
-            here = np.flatnonzero(tiles == name)
-            rest[here] = False
-            row, column = name // across * tile, name % across * tile
-            cells = (left[here] - row) * tile + (right[here] - column)
-            n = np.bincount(cells, minlength=tile * tile)
-            used = np.flatnonzero(n)
-            number_of = np.zeros(tile * tile, np.int32)
-            number_of[used] = np.arange(known, known + len(used))
-            number[places[here]] = number_of[cells]
-            found.append((row + used // tile, column + used % tile, n[used]))
-            known += len(used)
-        here = np.flatnonzero(rest)
-        if len(here):
-            # Sorted coordinates of all sparse tiles.
-            width = int(right.max()) + 1
-            used, inverse, n = np.unique(left[here] * width + right[here], return_inverse=True, return_counts=True)
-            number[places[here]] = inverse + known
-            found.append((used // width, used % width, n))
-    if not found:
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty, number
-    return *(np.concatenate(c) for c in zip(*found, strict=True)), number
+    known = 0
+    for t in heavy.tolist():
+        here = np.flatnonzero(inverse == t)
+        rest[here] = False
+        n = np.bincount(cells[here], minlength=tile * tile)
+        used = np.flatnonzero(n)
+        number_of = np.zeros(tile * tile, np.int32)
+        number_of[used] = np.arange(known, known + len(used))
+        number[places[here]] = number_of[cells[here]]
+        found.append((np.full(len(used), t), used, n[used]))
+        known += len(used)
+    here = np.flatnonzero(rest)
+    if len(here):
+        # Sorted coordinates of all sparse tiles.
+        used, place, n = np.unique(inverse[here] * (tile * tile) + cells[here], return_inverse=True, return_counts=True)
+        number[places[here]] = place + known
+        found.append((used // (tile * tile), used % (tile * tile), n))
+    of, cell, n = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+    first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
+    return names[of[first]], np.append(first, len(of)), cell, n, number
 
 
 def without_double_gaps(seq: np.ndarray) -> np.ndarray:
@@ -119,20 +125,41 @@ def without_double_gaps(seq: np.ndarray) -> np.ndarray:
     return seq[keep]
 
 
-def _rows(block: int, seq: np.ndarray | None, names: dict[str, pa.Array], counts: np.ndarray) -> pa.Table:
-    """One row with a block's sequence (unless it is not needed) and one for each of its units."""
-    n, head = len(counts), int(seq is not None)
+def _squeezed(seq: np.ndarray) -> bytes:
+    """A sequence compressed, its bytes by their place within a number: high ones are mostly alike."""
+    planes = seq.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _released(data: bytes) -> np.ndarray:
+    planes = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def _rows(block: int, seq: np.ndarray | None, parts: dict[str, pa.Array]) -> pa.Table:
+    """One row with a block's sequence (unless it is not needed), then the rows of its units."""
+    n, head = len(next(iter(parts.values()))), int(seq is not None)
     columns = {
         "block": pa.array(np.full(n + head, block), pa.int64()),
-        "seq": pa.array(([seq.astype("<i4").tobytes()] if head else []) + [None] * n, pa.binary()),
-        "local": pa.array([None] * head + list(range(n)), pa.int32()),
-        "n": pa.concat_arrays([pa.nulls(head, pa.int64()), pa.array(counts, pa.int64())]),
+        "seq": pa.array(([_squeezed(seq)] if head else []) + [None] * n, pa.binary()),
     }
-    for name, values in names.items():
+    for name, values in parts.items():
         columns[name] = pa.concat_arrays([pa.nulls(head, values.type), values])
     return pa.table(columns)
 
 
+def _packed(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Stretches of 32-bit numbers as binary values."""
+    data = values.astype("<u4")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 4).astype(np.int32)), pa.py_buffer(data)])
+
+
+def _unpacked(column, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of binary values, and how many each value has."""
+    values = [np.frombuffer(v, kind) for v in column.to_pylist()]
+    return np.concatenate(values) if values else np.zeros(0, kind), np.array([len(v) for v in values], np.int64)
+
+
 # ---- over all blocks ----
 
 
@@ -162,40 +189,115 @@ def word_blocks(docs: DataFrame, text: str, lang: str) -> DataFrame:
                     names = {
                         "lang": langs.dictionary.take(pa.array(units // n_words)),
                         "word": words.dictionary.take(pa.array(units % n_words)),
+                        "local": pa.array(np.arange(len(units)), pa.int32()),
+                        "n": pa.array(counts, pa.int64()),
                     }
-                    yield from _rows((pid << 32) + number, inverse, names, counts).combine_chunks().to_batches()
+                    yield from _rows((pid << 32) + number, inverse, names).combine_chunks().to_batches()
                     number += 1
 
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"{COUNTED}, lang string, word string")
+    return rows.mapInArrow(run, WORDS)
 
 
-def next_blocks(held: DataFrame, units: DataFrame, by: list[str], last: bool) -> DataFrame:
-    """Blocks of one more word: rows (block, seq) and rows (block, local, n, a, b).
+def next_blocks(held: DataFrame, known: DataFrame, last: bool) -> DataFrame:
+    """Blocks of one more word: rows (block, seq) and rows (block, tile, first, cells, counts).
 
-    ``units`` holds the frequent units with their ``id``; ``by`` names the
-    columns that a block's units and they have in common.
+    ``known`` has (of, locals, ids): a block's units that are frequent, packed.
     """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = None
         if left.num_rows and right.num_rows:
-            local, ids = right.column("local").to_numpy(), right.column("id").to_numpy()
-            order = np.argsort(ids)
-            seq = np.frombuffer(left.column("seq")[0].as_py(), "<i4")
-            # Ranks within the block, in the order of the ids, that is by frequency.
+            local, _ = _unpacked(right.column("locals"), "<u4")
+            ids, _ = _unpacked(right.column("ids"), "<i8")
+            seq = _released(left.column("seq")[0].as_py())
             rank = np.full(max(int(local.max()), int(seq.max())) + 2, GAP, np.int64)
-            rank[local[order]] = np.arange(len(order))
-            a, b, n, number = tiled_pairs(rank[seq])  # a gap is the last, empty place
-            if len(n):
-                names = {"a": pa.array(ids[order][a]), "b": pa.array(ids[order][b])}
-                out = _rows(left.column("block")[0].as_py(), None if last else without_double_gaps(number), names, n)
-        kinds = [("block", pa.int64()), ("seq", pa.binary()), ("local", pa.int32()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]
+            rank[local] = ids
+            tiles, edges, cells, counts, number = tiled_pairs(rank[seq])  # a gap is the last, empty place
+            if len(tiles):
+                parts = {"tile": pa.array(tiles, pa.int64()), "first": pa.array(edges[:-1], pa.int32()), "cells": _packed(cells, edges), "counts": _packed(counts, edges)}
+                out = _rows(left.column("block")[0].as_py(), None if last else without_double_gaps(number), parts)
+        kinds = [("block", pa.int64()), ("seq", pa.binary()), ("tile", pa.int64()), ("first", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())]
         return out if out is not None else pa.schema(kinds).empty_table()
 
     sequences = held.where("seq is not null").select("block", "seq")
-    known = held.where("seq is null").select("block", "local", *by).join(units.select("id", *by).hint("shuffle_hash"), by).select(F.col("block").alias("of"), "local", "id")
-    return sequences.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(run, f"{COUNTED}, a long, b long")
+    return sequences.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(run, PAIRS)
+
+
+def known_words(held: DataFrame, words: DataFrame) -> DataFrame:
+    """(of, locals, ids) of the frequent words of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), _packed(batch.column("local").to_numpy(), np.arange(batch.num_rows + 1)), batch.column("id").view(pa.binary(8)).cast(pa.binary())], ["of", "locals", "ids"]
+            )
+
+    units = held.where("seq is null").select("block", "local", "lang", "word")
+    return units.join(words.select("id", "lang", "word").hint("shuffle_hash"), ["lang", "word"]).select("block", "local", "id").mapInArrow(run, "of long, locals binary, ids binary")
+
+
+def tile_counts(held: DataFrame) -> DataFrame:
+    """(tile, cell, f): the counts of all blocks. Tasks add up their own blocks first, then Spark adds up the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def added(keys, counts):
+            keys, counts = np.concatenate(keys), np.concatenate(counts)
+            tiles, of = np.unique(keys[:, 0], return_inverse=True)
+            pair, place = np.unique(of * (TILE * TILE) + keys[:, 1], return_inverse=True)
+            n = np.zeros(len(pair), np.int64)
+            np.add.at(n, place, counts)
+            for at in range(0, len(pair), 1 << 17):
+                some = pair[at : at + (1 << 17)]
+                columns = [pa.array(tiles[some // (TILE * TILE)]), pa.array((some % (TILE * TILE)).astype(np.int32)), pa.array(n[at : at + (1 << 17)])]
+                yield pa.RecordBatch.from_arrays(columns, ["tile", "cell", "n"])
+
+        keys, counts, size = [], [], 0
+        for batch in batches:
+            cells, sizes = _unpacked(batch.column("cells"), "<u4")
+            keys.append(np.column_stack([np.repeat(batch.column("tile").to_numpy(), sizes), cells.astype(np.int64)]))
+            counts.append(_unpacked(batch.column("counts"), "<u4")[0].astype(np.int64))
+            size += len(cells)
+            if size >= HELD_PAIRS:
+                yield from added(keys, counts)
+                keys, counts, size = [], [], 0
+        if size:
+            yield from added(keys, counts)
+
+    rows = held.where("seq is null").select("tile", "cells", "counts").mapInArrow(run, "tile long, cell int, n long")
+    return rows.groupBy("tile", "cell").agg(F.sum("n").alias("f"))
+
+
+def known_pairs(held: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(of, locals, ids) of the frequent pairs of each block.
+
+    Blocks meet the frequent pairs by tile. A tile that many blocks have is
+    split by block, and its frequent pairs go to every part.
+    """
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        kinds = pa.schema([("of", pa.int64()), ("locals", pa.binary()), ("ids", pa.binary())])
+        if not left.num_rows or not right.num_rows:
+            return kinds.empty_table()
+        cell, ids = right.column("cell").to_numpy(), right.column("id").to_numpy()
+        order = np.argsort(cell)
+        cell, ids = cell[order], ids[order]
+        cells, sizes = _unpacked(left.column("cells"), "<u4")
+        local = np.arange(len(cells)) + np.repeat(left.column("first").to_numpy() - (np.cumsum(sizes) - sizes), sizes)
+        at = np.minimum(np.searchsorted(cell, cells), len(cell) - 1)
+        found = np.flatnonzero(cell[at] == cells)
+        row = np.repeat(np.arange(len(sizes)), sizes)[found]
+        edges = np.searchsorted(row, np.arange(len(sizes) + 1))
+        packed_ids = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((edges * 8).astype(np.int32)), pa.py_buffer(ids[at[found]].astype("<i8"))])
+        out = pa.table([left.column("block"), pa.chunked_array([_packed(local[found], edges)]), pa.chunked_array([packed_ids])], kinds)
+        return out.filter(pa.array(np.diff(edges) > 0))
+
+    units = held.where("seq is null").select("block", "tile", "first", "cells")
+    sizes = units.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / SLICE_BLOCKS).cast("int").alias("slices")).where("slices > 1")
+    sizes = stored(sizes, "split-tiles")
+    left = units.join(sizes, "tile", "left").withColumn("slice", F.coalesce(F.pmod(F.xxhash64("block"), F.col("slices")), F.lit(0)).cast("int")).drop("slices")
+    right = pairs.select("tile", "cell", "id").join(sizes, "tile", "left").withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1))).drop("slices")
+    return left.groupBy("tile", "slice").cogroup(right.groupBy("tile", "slice")).applyInArrow(run, "of long, locals binary, ids binary")
 
 
 def numbered(df: DataFrame, order: list) -> DataFrame:
@@ -226,23 +328,27 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     once = F.array("f")
     words = stored(counts.select("lang", "word", "f"), "frequent").select("lang", F.array("word").alias("words"), "word", "f", once.alias("firsts"), once.alias("lasts"))
     levels = [numbered(words, [F.desc("f"), "lang", "word"])]
-    by = ["lang", "word"]
+    known = stored(known_words(held, levels[0]), "known-units", codec="zstd")
     for size in range(2, longest + 1):
         below = levels[-1]
         if below.isEmpty():
             break
-        grown = stored(next_blocks(held, below, by, last=size == longest), "phrase-blocks", codec="zstd")
+        grown = stored(next_blocks(held, known, last=size == longest), "phrase-blocks", codec="zstd")
         discard(held)
-        held, by = grown, ["a", "b"]
-        pairs = stored(held.where("seq is null").groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "frequent")
+        discard(known)
+        held = grown
+        a, b = (F.shiftright("tile", SIDE) * TILE + F.floor(F.col("cell") / TILE)), F.col("tile").bitwiseAND((1 << SIDE) - 1) * TILE + F.col("cell") % TILE
+        pairs = stored(tile_counts(held).where(F.col("f") >= least).select("tile", "cell", a.alias("a"), b.alias("b"), "f"), "frequent")
         head = below.select(F.col("id").alias("a"), "lang", F.col("words").alias("__words"), F.col("firsts").alias("__firsts"))
         tail = below.select(F.col("id").alias("b"), F.element_at("words", -1).alias("__word"), F.col("lasts").alias("__lasts"))
         longer = pairs.join(head, "a").join(tail, "b").select(
-            "a", "b", "lang", F.concat("__words", F.array("__word")).alias("words"), "f",
+            "tile", "cell", "a", "b", "lang", F.concat("__words", F.array("__word")).alias("words"), "f",
             F.concat("__firsts", F.array("f")).alias("firsts"), F.concat("__lasts", F.array("f")).alias("lasts"),
         )
         levels.append(numbered(longer, [F.desc("f"), "a", "b"]))
+        known = stored(known_pairs(held, levels[-1]), "known-units", codec="zstd")
     discard(held)
+    discard(known)
     return levels, totals
 
 

@@ -73,6 +73,8 @@ def test_no_rows(spark):
 def test_long_texts_are_cut_at_gaps(spark, monkeypatch):
     """Blocks far smaller than the texts give the same counts."""
     monkeypatch.setattr(phrases, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(phrases, "SLICE_BLOCKS", 3)  # tiles are split
+    monkeypatch.setattr(phrases, "HELD_PAIRS", 20)
     monkeypatch.setattr(phrases.stretches, "__defaults__", (50,))
     rows = some_rows(5, 20)
     docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
@@ -83,7 +85,9 @@ def test_long_texts_are_cut_at_gaps(spark, monkeypatch):
 @given(st.lists(st.integers(-1, 30), max_size=300), st.sampled_from([1, 2, 4, 8, 64]), st.sampled_from([1, 4, 16, 1000]))
 def test_tiles_count_like_a_dictionary(seq, tile, dense):
     """Direct and sorted tiles, whatever their size, count all neighbours and number them by place."""
-    a, b, n, number = phrases.tiled_pairs(np.array(seq, np.int64), tile, dense)
+    tiles, edges, cells, n, number = phrases.tiled_pairs(np.array(seq, np.int64), tile, dense)
+    names = np.repeat(tiles, np.diff(edges))
+    a, b = (names >> phrases.SIDE) * tile + cells // tile, (names & (1 << phrases.SIDE) - 1) * tile + cells % tile
     want = Counter((x, y) for x, y in zip(seq, seq[1:], strict=False) if x >= 0 and y >= 0)
     assert dict(zip(zip(a.tolist(), b.tolist(), strict=True), n.tolist(), strict=True)) == want
     for i, k in enumerate(number.tolist()):
