@@ -178,11 +178,14 @@ def train_word2vec(
     return trainer.fit(sentences)
 
 
-def word_vectors(model: Word2VecModel, unit: bool = True) -> DataFrame:
-    """(word, vec) of a trained model, scaled to length one by default."""
+def word_vectors(model: Word2VecModel | DataFrame, unit: bool = True) -> DataFrame:
+    """(word, vec) of a trained model or of a table of vectors, scaled to length one by default."""
     from kinolens.functions.arrays import l2_normalise
 
-    table = model.getVectors().select("word", vector_to_array("vector").alias("vec"))
+    if isinstance(model, DataFrame):
+        table = model.select("word", "vec")
+    else:
+        table = model.getVectors().select("word", vector_to_array("vector").alias("vec"))
     return table.withColumn("vec", l2_normalise("vec")) if unit else table
 
 

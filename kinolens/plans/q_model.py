@@ -1,6 +1,7 @@
 """Queries that fit, score and compare models.
 
-Every fit reads its whole table. Trees and depth are small here; the
+Every fit reads its whole table. Boosted trees have the numbers and depths of
+the tuned models; forests and the chain from text are smaller here, and their
 functions take any size.
 """
 
@@ -11,7 +12,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from kinolens.functions.text import letters_only_tokens
-from kinolens.labels import CUTOFFS, POLARITY_CUTOFFS
+from kinolens.labels import CUTOFFS, DEPTH_PER_LABEL, POLARITY_CUTOFFS, TREES_PER_LABEL
+from kinolens.operators import boosting as bt
 from kinolens.operators import lexicon as lx
 from kinolens.operators import models as md
 from kinolens.operators import vectors as vc
@@ -26,6 +28,7 @@ from kinolens.sources import views as V
 
 TREES, DEPTH = 3, 3
 LABELS = [str(i) for i in range(10)]
+GRID_TREES, GRID_DEPTHS = [100, 300, 500, 700], [3, 4, 5]
 
 
 def _vectors(spark, sf_dir):
@@ -41,6 +44,11 @@ def _binary(spark, sf_dir):
     return train.withColumn("target", low), test.withColumn("target", low)
 
 
+def _multilabel(train):
+    """One ensemble of 900 trees against the rest per label."""
+    return bt.fit_boosted(train, LABELS, trees=900, depth=5)
+
+
 def _labelled(spark, sf_dir):
     return split(V.labelled(spark, sf_dir), "id")
 
@@ -62,27 +70,26 @@ def k2(spark, sf_dir):
 @query("k3_fit_per_label")
 def k3(spark, sf_dir):
     train, test = _vectors(spark, sf_dir)
-    models = md.fit_per_label(train, LABELS, trees=[TREES] * 10, depth=[2, 3] * 5)
-    return md.score_labels(models, test).select("id", F.posexplode("p").alias("label", "p"))
+    model = bt.fit_boosted(train, LABELS, trees=TREES_PER_LABEL[:10], depth=DEPTH_PER_LABEL[:10])
+    return bt.staged_probabilities(model, test).select("id", F.posexplode(F.transform("p", lambda p: F.get(p, F.lit(0)))).alias("label", "p"))
 
 
 @query("k4_fit_multilabel")
 def k4(spark, sf_dir):
     train, test = _vectors(spark, sf_dir)
-    models = md.fit_multilabel(train, LABELS, trees=TREES, depth=DEPTH)
-    return threshold_sweep(md.predict_proba(models, test, "id"))
+    return threshold_sweep(bt.label_probabilities(_multilabel(train), test, "id"))
 
 
 @query("k5_predict_proba")
 def k5(spark, sf_dir):
     train, test = _vectors(spark, sf_dir)
-    return md.predict_proba(md.fit_multilabel(train, LABELS, trees=TREES, depth=DEPTH), test, "id")
+    return bt.label_probabilities(_multilabel(train), test, "id")
 
 
 @query("k6_grid_search")
 def k6(spark, sf_dir):
     train, _ = _binary(spark, sf_dir)
-    return md.grid_results(md.grid_search(train, [2, 4], [2, 3], folds=2), spark)
+    return bt.staged_grid(train, "id", GRID_TREES, GRID_DEPTHS, folds=3)
 
 
 def _counts(train, test):
@@ -116,9 +123,8 @@ def k8(spark, sf_dir):
 @query("l6_evaluate_saved_models")
 def l6(spark, sf_dir):
     train, test = _vectors(spark, sf_dir)
-    models = md.fit_multilabel(train, LABELS, trees=TREES, depth=2)
-    paths = fl.save_models(models, fresh_dir(spark, "models"))
-    return md.evaluate_saved_models(paths, test, "id")
+    model = bt.Boosted.load(spark, _multilabel(train).save(fresh_dir(spark, "models")))
+    return threshold_sweep(bt.label_probabilities(model, test, "id"), (0.25, 0.3, 0.2, 0.1))
 
 
 # ---- what SQL can state of fitted models: rows, classes, supports and bounds ----
@@ -163,7 +169,7 @@ def k5_bounds(spark, sf_dir):
     return k5(spark, sf_dir).select("id", "label", "actual", _valid("p"))
 
 
-@query("k6_grid_points", "SELECT CAST(t AS INT) AS trees, CAST(d AS INT) AS depth, true AS valid FROM (VALUES (2), (4)) a(t), (VALUES (2), (3)) b(d)")
+@query("k6_grid_points", f"SELECT CAST(t AS INT) AS trees, CAST(d AS INT) AS depth, true AS valid FROM (SELECT unnest({GRID_TREES}) AS t), (SELECT unnest({GRID_DEPTHS}) AS d)")
 def k6_points(spark, sf_dir):
     return k6(spark, sf_dir).select("trees", "depth", _valid("f1"))
 

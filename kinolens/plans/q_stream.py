@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinolens.labels import UNWANTED_GENRES
+from kinolens.operators import boosting as bt
 from kinolens.operators import models as md
 from kinolens.operators.extract import extract_titles
 from kinolens.operators.sampling import split
@@ -83,12 +84,11 @@ def m3(spark, sf_dir):
 def m4(spark, sf_dir):
     rows = md.to_matrix(V.doc_vectors(spark, sf_dir).select("id", "vec", "target"), "vec", "target")
     train, _ = split(rows, "id")
-    models = md.fit_multilabel(train, [str(i) for i in range(10)], trees=2, depth=2)
+    model = bt.fit_boosted(train, [str(i) for i in range(10)], trees=700, depth=5)
 
     def score(stream):
         vec = array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
-        scored = md.predict_proba(models, stream.select(F.col("vec_id").alias("id"), vec), "id", target=None)
-        return scored
+        return bt.label_probabilities(model, stream.select(F.col("vec_id").alias("id"), vec), "id", target=None)
 
     out = fresh_dir(spark, "scored")
     stream = _arriving(spark, sf_dir, "embeddings")
