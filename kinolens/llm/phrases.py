@@ -329,6 +329,10 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     words = stored(counts.select("lang", "word", "f"), "frequent").select("lang", F.array("word").alias("words"), "word", "f", once.alias("firsts"), once.alias("lasts"))
     levels = [numbered(words, [F.desc("f"), "lang", "word"])]
     known = stored(known_words(held, levels[0]), "known-units", codec="zstd")
+    # The words themselves have done their work; only the sequences go on.
+    sequences = stored(held.where("seq is not null").select("block", "seq"), "phrase-blocks", codec="zstd")
+    discard(held)
+    held = sequences
     for size in range(2, longest + 1):
         below = levels[-1]
         if below.isEmpty():
