@@ -11,6 +11,7 @@ from kinolens.functions.arrays import names_of
 from kinolens.functions.text import count_words, word_count
 from kinolens.labels import MAX_FEATURES
 from kinolens.operators.joins import small_side
+from kinolens.operators.vector_sums import sum_word_vectors
 from kinolens.session import materialise
 
 
@@ -132,17 +133,14 @@ def sum_vectors(
 ) -> DataFrame:
     """Document vector from word vectors: repeats count, unknown words do not.
 
-    Each dimension is one partial aggregate, so a row leaves its partition as
-    one partial vector instead of one row per word and dimension. Unknown
-    words join to nothing and add nothing, which also keeps the documents with
-    no known word: they get zeros. ``combine='mean'`` divides by the known words.
+    Words are counted in the row; the vectors are added up by
+    :func:`kinolens.operators.vector_sums.sum_word_vectors`, one aggregate for all
+    dimensions. Documents with no known word get zeros, rows of one key are one
+    document. ``combine='mean'`` divides by the known words.
     """
-    counts = docs.select(key, F.inline_outer(count_words(tokens)))
-    side = vectors.select("word", "vec")
-    matched = counts.join(small_side(side, row_bytes=8 * dim + 64), "word", "left")
-    sums = [F.expr(f"cast(coalesce(sum(n * get(vec, {i})), 0) as double)") for i in range(dim)]
-    known = F.coalesce(F.sum(F.when(F.col("vec").isNotNull(), F.col("n"))), F.lit(0))
-    total = matched.groupBy(key).agg(F.array(*sums).alias("vec"), known.alias("known"))
+    counted = docs.select(key, F.coalesce(count_words(tokens), F.array().cast("array<struct<word:string,n:bigint>>")).alias("__c"))
+    counts = counted.select(key, F.col("__c.word").alias("words"), F.col("__c.n").cast("array<long>").alias("ns"))
+    total = sum_word_vectors(counts, key, vectors, dim)
     if combine != "mean":
         return total
     size = F.greatest("known", F.lit(1))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinolens.session import materialise
+
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -27,9 +29,35 @@ def small_side(df: DataFrame, row_bytes: int = 64) -> DataFrame:
     return F.broadcast(df) if proven else df
 
 
-def join_reviews_movies(reviews: DataFrame, movies: DataFrame, key: str = "title_url") -> DataFrame:
-    """Every review with the fields of its film, nulls where there is none."""
-    return reviews.join(movies, key, "left")
+#: Reviews of one film that one task joins; a film with more is split.
+SLICE_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(key, slices) of the keys with more than ``slice_rows`` rows, stored; at most one row per ``slice_rows`` rows of ``df``."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > slice_rows)
+    return materialise(counts.select(key, F.ceil(F.col("__n") / slice_rows).cast("int").alias("__slices")), "hot-keys")
+
+
+def join_reviews_movies(reviews: DataFrame, movies: DataFrame, key: str = "title_url", slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Every review with the fields of its film, nulls where there is none.
+
+    Reviews carry their text through this join, so a film with a large share of
+    them must not meet in one task, whatever its side of the join is made of.
+    Films are counted first, from the key column alone. The reviews of a hot
+    film are dealt to slices by a hash of the row, its film goes to every slice,
+    and the join is by film and slice. Reviews without a film are dealt out too.
+    """
+    hot = hot_keys(reviews, key, slice_rows)
+    rows = hot.count()
+    side = F.broadcast(hot) if rows * 64 <= MAX_BROADCAST_BYTES else hot
+    spread = F.xxhash64(*[F.col(c) for c, kind in reviews.dtypes if not kind.startswith("map")])
+    salt = F.when(F.col(key).isNull(), F.pmod(spread, F.lit(1 << 16))).otherwise(F.coalesce(F.pmod(spread, F.col("__slices")), F.lit(0)))
+    dealt = reviews.join(side, key, "left").withColumn("__salt", salt.cast("int")).drop("__slices")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("__slices", F.lit(1)) - 1))
+    films = movies.join(side, key, "left").withColumn("__salt", copies).drop("__slices")
+    joined = dealt.join(films, [key, "__salt"], "left")
+    return joined.select(key, *[c for c in reviews.columns if c != key], *[c for c in movies.columns if c != key])
 
 
 def not_yet_seen(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:

@@ -43,20 +43,46 @@ def dedupe_first(df: DataFrame, key, order) -> DataFrame:
     return top_k_by(df, key, order, 1)
 
 
+def review_mark(text: str) -> Column:
+    """Tells reviews at one position apart."""
+    return F.xxhash64(F.col(text))
+
+
+def longest_order(wc: str, pos: str, mark: str) -> Column:
+    """Greatest for the review to take: most words, then the earliest position (a null one last), then its mark."""
+    return F.struct(F.col(wc).alias("wc"), (-F.col(pos)).alias("first"), F.col(mark).alias("mark"))
+
+
+def with_text(reviews: DataFrame, chosen: DataFrame, film: str, text: str, pos: str) -> DataFrame:
+    """One row of ``reviews`` with ``wc`` per row of ``chosen`` (film, pos, wc, mark); repeats of a row count once."""
+    picked = chosen.select(F.col(film).alias("__film"), F.col(pos).alias("__pos"), "wc", F.col("mark").alias("__m"))
+    same = (F.col(film) == F.col("__film")) & F.col(pos).eqNullSafe(F.col("__pos")) & (F.col("__mark") == F.col("__m"))
+    marked = reviews.withColumn("__mark", review_mark(text)).withColumn("__row", _row_hash(reviews))
+    found = marked.join(picked, same)
+    # Rows of one film and mark hold the same text; of those that differ elsewhere the greatest row hash is taken.
+    best = materialise(found.groupBy("__film").agg(F.max("__row").alias("__best")), "longest-row")
+    rows = found.join(best.withColumnRenamed("__film", "__f"), (F.col("__film") == F.col("__f")) & (F.col("__row") == F.col("__best")))
+    return rows.dropDuplicates(["__film"]).select(*reviews.columns, "wc")
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind])
+
+
 def longest_review(df: DataFrame, film: str = "title_url", text: str = "review", pos: str = "pos") -> DataFrame:
     """Per film the review with most words; the earlier one wins a tie.
 
-    Reviews without words are never chosen. Positions are found from the counts
-    alone, combined per partition before the shuffle; then the text of the
-    chosen ones is joined back, so no review is sorted or carried along. If a
-    film repeats a position, its rows with the most words all stay.
+    One row per film, whatever repeats: of reviews with as many words, the first
+    position counts, a null position comes last, and reviews at one position are
+    told apart by a hash of their text. Reviews without words and rows without a
+    film are never chosen. The choice is made from counts alone, combined per
+    partition before the shuffle; then the text of the chosen ones is joined
+    back, so no review is sorted or carried along.
     """
-    count = word_count(text)
-    counted = df.select(F.col(film).alias("__film"), count.alias("wc"), F.col(pos).alias("__pos")).where(F.col("wc") > 0)
-    best = counted.groupBy("__film").agg(F.max(F.struct("wc", (-F.col("__pos")).alias("first"))).alias("b"))
-    chosen = materialise(best.select("__film", "b.wc", (-F.col("b.first")).alias("__pos")), "longest")
-    joined = df.join(chosen, (F.col(film) == F.col("__film")) & (F.col(pos) == F.col("__pos")))
-    return joined.select(*df.columns, "wc")
+    counted = df.select(F.col(film), F.col(pos), word_count(text).alias("wc"), review_mark(text).alias("mark")).where((F.col("wc") > 0) & F.col(film).isNotNull())
+    best = counted.groupBy(film).agg(F.max(longest_order("wc", pos, "mark")).alias("b"))
+    chosen = best.select(film, (-F.col("b.first")).alias(pos), F.col("b.wc").alias("wc"), F.col("b.mark").alias("mark"))
+    return with_text(df, materialise(chosen, "longest"), film, text, pos)
 
 
 def top_words(counts: DataFrame, k: int, label: str = "label", word: str = "word", n: str = "n") -> DataFrame:

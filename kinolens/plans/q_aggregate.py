@@ -127,31 +127,30 @@ def f8(spark, sf_dir):
     return rows.select("doc_id", F.round("score", 6).alias("score"))
 
 
-DIM = 16
-SIGNS = ", ".join(
-    f"CAST(sum(n * (1 - 2 * (CAST(('0x' || substr(md5(word || '#0'), {i + 1}, 1)) AS INT) % 2))) AS BIGINT) AS s{i}"
-    for i in range(DIM)
-)
-SUMS = " || ' ' || ".join(f"coalesce(s{i}, 0)" for i in range(DIM))
+FULL = 300
+DIGEST = " || ".join(f"md5(word || '#{b}')" for b in range(10))
+
+
+def full_sums(known_only: bool) -> str:
+    """CTEs s: sums of hashed signs by document and dimension, of all words or of the 6,000 most frequent ones; t: the same as one text."""
+    kept = "WHERE word IN (SELECT word FROM vocab)" if known_only else ""
+    return f"""{LETTER_COUNTS},
+vocab AS (SELECT word FROM (SELECT word, count(*) AS n FROM tokens GROUP BY word) ORDER BY n DESC, word LIMIT 6000),
+d AS (SELECT doc_id, n, {DIGEST} AS digest FROM c {kept}),
+s AS (SELECT doc_id, i AS dim, sum(n * (1 - 2 * (CAST(('0x' || substr(digest, i + 1, 1)) AS INT) % 2))) AS v, sum(n) AS known FROM d, range({FULL}) r(i) GROUP BY ALL),
+t AS (SELECT b.doc_id, string_agg(CAST(CAST(coalesce(v, 0) AS BIGINT) AS VARCHAR), ' ' ORDER BY i) AS vec, CAST(max(coalesce(known, 0)) AS BIGINT) AS known
+      FROM documents b CROSS JOIN range({FULL}) r(i) LEFT JOIN s ON s.doc_id = b.doc_id AND s.dim = i GROUP BY b.doc_id)"""
 
 
 def _known_words(spark, sf_dir):
     """Word vectors for the 6,000 most frequent words: hashed signs."""
     vocab = ag.corpus_vocabulary(_docs(spark, sf_dir), letters_only_tokens("text"))
-    return vocab.select("word", word_signs("word", DIM).alias("vec"))
+    return vocab.select("word", word_signs("word", FULL).alias("vec"))
 
 
-@query(
-    "f9_sum_vectors",
-    f"""WITH {LETTER_COUNTS},
-vocab AS (SELECT word FROM (SELECT word, count(*) AS n FROM tokens GROUP BY word) ORDER BY n DESC, word LIMIT 6000),
-s AS (SELECT doc_id, {SIGNS}, CAST(sum(n) AS BIGINT) AS known FROM c WHERE word IN (SELECT word FROM vocab) GROUP BY doc_id)
-SELECT doc_id, {SUMS} AS vec, coalesce(known, 0) AS known FROM documents LEFT JOIN s USING (doc_id)""",
-)
+@query("f9_sum_vectors", f"WITH {full_sums(True)} SELECT doc_id, vec, known FROM t")
 def f9(spark, sf_dir):
-    rows = ag.sum_vectors(
-        _docs(spark, sf_dir), "doc_id", letters_only_tokens("text"), _known_words(spark, sf_dir), DIM
-    )
+    rows = ag.sum_vectors(_docs(spark, sf_dir), "doc_id", letters_only_tokens("text"), _known_words(spark, sf_dir), FULL)
     return rows.select("doc_id", F.array_join(F.col("vec").cast("array<long>"), " ").alias("vec"), "known")
 
 

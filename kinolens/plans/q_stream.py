@@ -19,9 +19,9 @@ from kinolens.operators.tables import update_by_key
 from kinolens.operators.vectors import hash_scorer
 from kinolens.plans import sql as S
 from kinolens.plans.catalog import query
+from kinolens.plans.q_aggregate import FULL, full_sums
 from kinolens.plans.q_extract import listing_pages
 from kinolens.plans.q_relate import LONGEST
-from kinolens.plans.q_vector import DIM, SUM_SQL, _joined
 from kinolens.session import fresh_dir
 from kinolens.sources import views as V
 from kinolens.streaming import streams as sm
@@ -56,14 +56,14 @@ def m1(spark, sf_dir):
 
 @query(
     "m2_stream_backfill",
-    rf"""{SUM_SQL} SELECT doc_id, n_chars, {_joined([f's{i}' for i in range(DIM)], 'CAST({} AS VARCHAR)')} AS doc_vec,
+    rf"""WITH {full_sums(False)} SELECT doc_id, n_chars, vec AS doc_vec,
 CAST(len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS INT) AS word_count
-FROM s JOIN documents USING (doc_id)""",
+FROM t JOIN documents USING (doc_id)""",
 )
 def m2(spark, sf_dir):
     out = fresh_dir(spark, "backfill")
     docs = _arriving(spark, sf_dir, "documents")
-    sm.run_to_end(sm.stream_backfill(docs, "doc_id", "text", hash_scorer(DIM), out, fresh_dir(spark, "ckpt")))
+    sm.run_to_end(sm.stream_backfill(docs, "doc_id", "text", hash_scorer(FULL), out, fresh_dir(spark, "ckpt")))
     filled = sm.newest_by_key(spark, out, spark.read.parquet(out).drop(sm.BATCH).schema, "doc_id")
     base = V.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     rows = update_by_key(base, filled, "doc_id", ["doc_vec", "word_count"])

@@ -146,5 +146,6 @@ def read_csv_split(spark: SparkSession, path, schema: str | T.StructType, header
     if header:
         records = records.where("not first")
     kept = records.where(F.trim(F.rtrim(F.regexp_replace("record", "\r$", ""))) != "")
-    parsed = F.from_csv("record", schema if isinstance(schema, str) else schema.simpleString()[7:-1], {"quote": quote, "escape": escape, "mode": "PERMISSIVE"})
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv("record", ddl, {"quote": quote, "escape": escape, "mode": "PERMISSIVE"})
     return kept.select(parsed.alias("r")).select("r.*")

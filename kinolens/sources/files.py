@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinolens.operators.ranking import top_k_by
+from kinolens.sources.csv_records import read_csv_split
 
 LABELLED = "id string, sentiment int, review string"
 UNLABELLED = "id string, review string"
@@ -33,8 +34,8 @@ def write_reviews_tsv(df: DataFrame, path: str) -> None:
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """CSV with header; quoted values may hold commas, quotes and line ends."""
-    return spark.read.csv(path, header=True, multiLine=True, escape='"', schema=schema)
+    """CSV with header; quoted values may hold commas, quotes and line ends. One file is read by many tasks."""
+    return read_csv_split(spark, path, schema, escape='"')
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:

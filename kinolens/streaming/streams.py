@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kinolens.functions.text import word_count
 from kinolens.operators.joins import not_yet_seen
-from kinolens.operators.ranking import dedupe_first
+from kinolens.operators.ranking import dedupe_first, longest_order, review_mark, with_text
 from kinolens.operators.vectors import Scorer, score_batches
 from kinolens.session import materialise
 
@@ -56,6 +56,26 @@ def _write_batch(rows: DataFrame, path: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
 
 
+#: Folders that the keys of a collected table are dealt to; a batch reads those that its own keys fall in.
+KEY_BUCKETS = 256
+BUCKET = "key_bucket"
+
+
+def key_bucket(key: str, buckets: int = KEY_BUCKETS):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def known_keys(spark: SparkSession, path: str, kind: T.DataType, key: str, buckets: list[int], before: int) -> DataFrame:
+    """(key) of the rows that batches before ``before`` wrote to ``buckets``; other folders are not even listed."""
+    from kinolens.session import path_exists
+
+    folders = [f for f in (f"{path}/{BUCKET}={b}" for b in buckets) if path_exists(spark, f)]
+    schema = T.StructType([T.StructField(key, kind), T.StructField(BATCH, T.LongType()), T.StructField(BUCKET, T.IntegerType())])
+    if not folders:
+        return spark.createDataFrame([], T.StructType(schema.fields[:1]))
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).where(F.col(BATCH) < before).select(key)
+
+
 def stream_new_titles(
     pages: DataFrame,
     extract: Callable[[DataFrame], DataFrame],
@@ -64,6 +84,7 @@ def stream_new_titles(
     out: str,
     checkpoint: str,
     order,
+    buckets: int = KEY_BUCKETS,
 ) -> StreamingQuery:
     """Arriving pages add the titles that are neither in ``seen`` nor in ``out``.
 
@@ -72,17 +93,22 @@ def stream_new_titles(
 
     The table already written is the memory of the stream, as a collection
     with a unique key would be; no key stays in executor state, which would
-    grow for ever without a watermark.
+    grow for ever without a watermark. It is written by hash buckets of the key,
+    and a batch reads the key column of the buckets its own candidates fall in,
+    so what a small batch reads does not grow with all that was collected.
+    A batch that is replayed replaces its own folders.
     """
     found = extract(pages)
-    schema = found.schema
+    kind = found.schema[key].dataType
 
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         first = dedupe_first(batch, key, order)
-        fresh = not_yet_seen(first, seen, key)
-        known = read_batches(spark, out, schema, before=batch_id)
-        _write_batch(not_yet_seen(fresh, known, key), out, batch_id)
+        fresh = materialise(not_yet_seen(first, seen, key).withColumn(BUCKET, key_bucket(key, buckets)), "candidates")
+        touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
+        rows = not_yet_seen(fresh, known_keys(spark, out, kind, key, touched, batch_id), key).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH)
+        writer.parquet(out)
 
     writer = found.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
@@ -122,14 +148,15 @@ def newest_by_key(spark: SparkSession, out: str, schema: T.StructType, key: str)
 def running_longest_review(
     reviews: DataFrame, film: str = "title_url", text: str = "review", pos: str = "pos"
 ) -> DataFrame:
-    """(film, pos, wc) of the longest review per film so far, on a stream or on a table.
+    """(film, pos, wc, mark) of the longest review per film so far, on a stream or on a table.
 
-    State is two numbers per film; the text stays in the reviews and is joined
-    to the result (:func:`latest_longest_review`).
+    State is three numbers per film, the total order of :func:`longest_review`;
+    ``mark`` tells reviews at the same position apart. The text stays in the
+    reviews and is joined to the result (:func:`latest_longest_review`).
     """
-    counted = reviews.select(film, pos, word_count(text).alias("wc")).where(F.col("wc") > 0)
-    best = F.max(F.struct("wc", (-F.col(pos)).alias("first")))
-    return counted.groupBy(film).agg(best.alias("r")).select(film, (-F.col("r.first")).alias(pos), F.col("r.wc").alias("wc"))
+    counted = reviews.select(film, F.col(pos), word_count(text).alias("wc"), review_mark(text).alias("mark")).where(F.col("wc") > 0)
+    best = F.max(longest_order("wc", pos, "mark"))
+    return counted.groupBy(film).agg(best.alias("r")).select(film, (-F.col("r.first")).alias(pos), F.col("r.wc").alias("wc"), F.col("r.mark").alias("mark"))
 
 
 def stream_longest_review(reviews: DataFrame, out: str, checkpoint: str, **columns) -> StreamingQuery:
@@ -161,9 +188,11 @@ def latest_longest_review(
 ) -> DataFrame:
     """(film, pos, text, wc): the newest of the updates written above, with the text of its review."""
     kind = {f.name: f.dataType for f in reviews.schema.fields}
-    schema = T.StructType([T.StructField(film, kind[film]), T.StructField(pos, kind[pos]), T.StructField("wc", T.IntegerType())])
+    numbers = [T.StructField("wc", T.IntegerType()), T.StructField("mark", T.LongType())]
+    schema = T.StructType([T.StructField(film, kind[film]), T.StructField(pos, kind[pos]), *numbers])
     newest = materialise(newest_by_key(spark, out, schema, film), "longest")
-    return reviews.select(film, pos, text).join(newest, [film, pos]).select(film, pos, text, "wc")
+    rows = with_text(reviews.select(film, pos, text), newest, film, text, pos)
+    return rows.select(film, pos, text, "wc")
 
 
 def stream_score(

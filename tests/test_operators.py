@@ -228,3 +228,35 @@ def test_sentence_means(spark):
     df = spark.createDataFrame(rows, "k int, score double, len long")
     assert {(r.k, r.score) for r in ag.mean_sentence_score(df, "k").collect()} == {(1, 0.5), (2, None)}
     assert {(r.k, r.score) for r in ag.weighted_sentence_score(df, "k").collect()} == {(1, 0.625), (2, None)}
+
+
+def test_longest_review_gives_one_row_per_film(spark):
+    """Repeated positions, null positions, repeated rows, ties, null films."""
+    rows = [("f", 1, "a b c d"), ("f", 1, "x"), ("g", 2, "p q"), ("g", 2, "r s"), ("g", 3, "t u"), ("h", None, "one two"), ("h", None, "one"), ("i", None, "a b"), ("i", 7, "c d"),
+            ("j", 1, "same"), ("j", 1, "same"), ("k", 1, ""), (None, 1, "a b c"), ("l", None, None)]
+    df = spark.createDataFrame(rows, "title_url string, pos long, review string").repartition(3)
+    got = {r.title_url: (r.pos, r.review, r.wc) for r in rk.longest_review(df).collect()}
+    assert rk.longest_review(df).count() == len(got) == 5
+    assert {k: got[k] for k in "fhij"} == {"f": (1, "a b c d", 4), "h": (None, "one two", 2), "i": (7, "c d", 2), "j": (1, "same", 1)}
+    assert got["g"] in ((2, "p q", 2), (2, "r s", 2))
+    assert {r.title_url: r.review for r in rk.longest_review(df.repartition(5)).collect()} == {k: v[1] for k, v in got.items()}
+
+
+def test_hot_film_is_split_in_the_text_join(spark):
+    """A third of all reviews on one film, some without a film: no task holds more than twice the median."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for k, v in zip(before, ("-1", "false", "8"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        film = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.concat(F.lit("f"), (F.col("id") % 500).cast("string")))
+        reviews = spark.range(60000).select("id", film.alias("title_url"), F.lit("text").alias("review"))
+        movies = reviews.where("title_url is not null and title_url <> 'f7'").select("title_url", F.upper("title_url").alias("title")).distinct()
+        joined = jn.join_reviews_movies(reviews, movies, slice_rows=200)
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+        plain = reviews.join(movies, "title_url", "left")
+        assert joined.count() == 60000 and joined.exceptAll(plain.select(*joined.columns)).isEmpty()
+        assert joined.columns == ["title_url", "id", "review", "title"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

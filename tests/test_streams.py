@@ -87,3 +87,32 @@ def test_review_that_lands_twice_counts_once(spark):
     assert update_by_key(base, got, "title_url", ["doc_vec", "word_count"]).count() == 1
     sm.merge_updates(spark, out, schema, "title_url", 5)
     assert sm.newest_by_key(spark, out, schema, "title_url").collect()[0].word_count == 3
+
+
+def test_longest_review_on_repeated_and_null_positions(spark):
+    """The stream keeps the row that the table operator takes, one per film."""
+    landed, out, ckpt = (fresh_dir(spark, x) for x in ("landed", "longest", "ckpt"))
+    parts = [[("f", 1, "a b c"), ("f", 1, "x y z"), ("g", None, "p q")], [("f", 1, "k l m"), ("g", None, "r s"), ("g", None, "p q"), ("h", None, "v")]]
+    for part in parts:
+        land(spark.createDataFrame(part, SCHEMA), landed)
+        stream = sm.file_stream(spark, landed, spark.createDataFrame([], SCHEMA).schema)
+        sm.run_to_end(sm.stream_longest_review(stream, out, ckpt))
+    whole = spark.createDataFrame([r for p in parts for r in p], SCHEMA)
+    got = sorted(map(tuple, sm.latest_longest_review(spark, out, whole).collect()))
+    assert got == sorted(map(tuple, longest_review(whole).select("title_url", "pos", "review", "wc").collect())) and len(got) == 3
+
+
+def test_a_batch_reads_the_buckets_of_its_keys(spark):
+    """With much collected, a batch of one key opens the files of one bucket."""
+    out, ckpt, landed = (fresh_dir(spark, x) for x in ("titles", "ckpt", "landed"))
+    seen = spark.createDataFrame([], "title_url string")
+    for part in ([(f"t{i}", i) for i in range(300)], [("t5", 9), ("new", 1)]):
+        land(spark.createDataFrame(part, "title_url string, n int"), landed)
+        stream = sm.file_stream(spark, landed, spark.read.parquet(landed).schema)
+        sm.run_to_end(sm.stream_new_titles(stream, lambda p: p, seen, "title_url", out, ckpt, order="n", buckets=32))
+    rows = spark.read.parquet(out)
+    assert rows.count() == 301 and rows.select("title_url").distinct().count() == 301
+    one = spark.createDataFrame([("t5",)], "title_url string").select(sm.key_bucket("title_url", 32)).first()[0]
+    known = sm.known_keys(spark, out, rows.schema["title_url"].dataType, "title_url", [one], 2)
+    assert 0 < len(known.inputFiles()) < len(rows.inputFiles()) / 8 and all(f"{sm.BUCKET}={one}/" in f for f in known.inputFiles())
+    assert "ReadSchema: struct<title_url:string>" in known._jdf.queryExecution().toString()
