@@ -107,7 +107,8 @@ def stream_new_titles(
         fresh = materialise(not_yet_seen(first, seen, key).withColumn(BUCKET, key_bucket(key, buckets)), "candidates")
         touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
         rows = not_yet_seen(fresh, known_keys(spark, out, kind, key, touched, batch_id), key).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH)
+        # One file per bucket and batch.
+        writer = rows.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH)
         writer.parquet(out)
 
     writer = found.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
