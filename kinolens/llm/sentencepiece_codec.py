@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from kinolens.llm.common import blocks
 
 SPACE = "▁"
-#: Most parts in one half of the memo; a full half becomes the old half.
-MEMO_PARTS = 100_000
+#: Most parts in one half of the memo; a full half becomes the old half. As one
+#: of several steps of a pipeline, whose workers keep what earlier steps left,
+#: it is smaller than where encoding is all that a worker does.
+MEMO_PARTS, ALONE_PARTS = 100_000, 400_000
 #: Most pairs of tokens whose test is kept.
 MEMO_PAIRS = 150_000
 #: Longer parts are not kept.
@@ -43,7 +45,8 @@ MEMO_LENGTH = 64
 class PieceCodec:
     """Encoder and decoder of one BPE model file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int | None = None):
+        self.most = memo or MEMO_PARTS
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.normalize = model.normalize
         self.bytes_ids = {}
@@ -175,7 +178,7 @@ class PieceCodec:
         if known is None:
             known = pack([i for p in self.cuts(part) for t in self.part_tokens(p) for i in self.token_ids(t)])
         if len(part) <= MEMO_LENGTH:
-            if len(self.young) >= MEMO_PARTS:
+            if len(self.young) >= self.most:
                 self.old, self.young = self.young, {}
             self.young[part] = known
         return known
@@ -244,9 +247,9 @@ def replaced(raw: bytes) -> str:
 
 
 @cache
-def codec(path: str) -> PieceCodec:
+def codec(path: str, memo: int | None = None) -> PieceCodec:
     """One codec per Python worker."""
-    return PieceCodec(path)
+    return PieceCodec(path, memo)
 
 
 def model_path() -> str:
@@ -255,7 +258,7 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", memo: int = MEMO_PARTS) -> DataFrame:
     """(key, n_tokens, ids, decoded): ids as a list of decimals joined by commas, and their decoded text.
 
     One map over the rows; the file at ``path`` must be readable on every
@@ -263,14 +266,14 @@ def encode_documents(docs: DataFrame, path: str | None = None, key: str = "doc_i
     results; other columns of ``docs`` are not read.
     """
     return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInArrow(
-        _encoder(path or model_path(), digest=False), _schema(docs, key, "ids string, decoded string")
+        _encoder(path or model_path(), memo, digest=False), _schema(docs, key, "ids string, decoded string")
     )
 
 
-def encoded_digests(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encoded_digests(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", memo: int = ALONE_PARTS) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256) of :func:`encode_documents`, hashed where they arise."""
     return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInArrow(
-        _encoder(path or model_path(), digest=True), _schema(docs, key, "ids_sha256 string, decoded_sha256 string")
+        _encoder(path or model_path(), memo, digest=True), _schema(docs, key, "ids_sha256 string, decoded_sha256 string")
     )
 
 
@@ -278,9 +281,9 @@ def _schema(docs: DataFrame, key: str, rest: str) -> str:
     return f"`{key}` {docs.schema[key].dataType.simpleString()}, n_tokens bigint, {rest}"
 
 
-def _encoder(path: str, digest: bool):
+def _encoder(path: str, memo: int, digest: bool):
     def run(batches):
-        coder = codec(path)
+        coder = codec(path, memo)
         names = ("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded")
         for batch in batches:
             # about a megabyte of text at a time: its ids and surfaces take many times that
