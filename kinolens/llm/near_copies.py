@@ -2,16 +2,25 @@
 
 Two texts are near copies when their sets of shingles have a Jaccard similarity
 of ``SIMILARITY`` or more. Such sets must share a shingle among the first
-``n - ceil(SIMILARITY * n) + 1`` of each in any order that is common to all, here
-the order of the shingles' hashes, so lists of those prefixes hold every pair.
-Pairs that meet in a list are verified by their whole sets, which are built only
-for texts that are in a candidate.
-
-A list longer than ``LIST_LENGTH`` would make too many pairs. Its members are
-instead compared with ``LEADERS`` members drawn by hash, others in each list: a
-near copy shares most of its prefix, so it meets many of them.
-
-Texts with equal sets are one node throughout.
+``n - ceil(SIMILARITY * n) + 1`` of each in any order that is common to all, so
+lists of those prefixes hold every pair. The order here is rare before frequent:
+shingles are counted, and the most frequent (at most ``FREQUENT``, in tasks as
+one sorted array) come last, by their counts. Any order gives the same result;
+this one keeps passages that many texts share out of the prefixes.
+
+The first shingle that two sets share stands at places i and j, so they share at
+most ``min(n - i, m - j)``. This bounds the sizes of partners from above, as the
+similarity does from below. Short lists make the pairs within those bounds. A
+list longer than ``LIST_LENGTH`` is split by size classes, and a class that is
+still longer works in rounds: all members are compared with one of them, the
+leader. 1 - similarity is a metric, so a member at distance y from the leader,
+linked to it, is done when no unlinked member is within y + (1 - SIMILARITY):
+whatever it could be linked to is in the leader's group already. The leader
+itself is done too, and so the lists shrink until they are short. A group of
+thousands of copies thus makes one comparison per member, and no link is lost.
+
+Pairs are verified by their whole sets, which are built only for texts that are
+in a shared list. Texts with equal sets are one node throughout.
 """
 
 from __future__ import annotations
@@ -21,15 +30,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinolens.llm.common import LOWER, NOT_SPACE, blocks, keyed, mix, stored, word_hashes, word_spans
+from kinolens.llm.common import LOWER, NOT_SPACE, blocks, discard, keyed, mix, stored, word_hashes, word_spans
 from kinolens.llm.components import components
 from kinolens.llm.repeats import rolling
 from kinolens.llm.simhash import first_rows
 
 SHINGLE = 5
 SIMILARITY = 0.8
-LIST_LENGTH = 64
-LEADERS = 4
+LIST_LENGTH = 16
+#: Most shingles that are ordered by their counts; 16 bytes each in a task.
+FREQUENT = 1 << 20
+#: Ratio of neighbouring size classes.
+CLASS = 1.02
+#: After so many rounds, what is left of a list is compared in pairs.
+ROUNDS = 40
 
 
 def shingle_sets(column, length: int = SHINGLE) -> list[np.ndarray]:
@@ -65,17 +79,14 @@ def _node(shingles: np.ndarray) -> int:
     return int((mix(shingles + np.uint64(0x51ED2701)).sum(dtype=np.uint64) + np.uint64(len(shingles))).view(np.int64)) if len(shingles) else 0
 
 
-def _prefixed(length: int, similarity: float):
+def _nodes(length: int):
     def run(batches):
         for batch in batches:
             sets = shingle_sets(batch.column("text"), length)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc"), batch.column("mark"), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
-                    _lists([s[: prefix_length(len(s), similarity)] for s in sets]),
-                ],
-                ["doc", "mark", "node", "n", "prefix"],
-            )
+                [batch.column("doc"), batch.column("mark"), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32())],
+                ["doc", "mark", "node", "n"],
+            )
 
     return run
 
@@ -88,34 +99,135 @@ def _whole(length: int):
     return run
 
 
-def candidates(nodes: DataFrame, similarity: float = SIMILARITY, list_length: int = LIST_LENGTH) -> DataFrame:
-    """(a, b): pairs of ``node`` that meet in a list and whose sizes ``n`` allow the similarity."""
-    postings = stored(nodes.select("node", "n", F.explode("prefix").alias("list")), "near-prefixes")
-    drawn = [F.min(F.struct(F.xxhash64("node", "list", F.lit(k)).alias("h"), "node", "n")).alias(f"l{k}") for k in range(LEADERS)]
-    shared = stored(postings.groupBy("list").agg(F.count(F.lit(1)).alias("size"), *drawn).where("size > 1"), "near-lists")
-    members = stored(postings.join(shared.select("list", "size"), "list"), "near-members")
-    short = members.where(F.col("size") <= list_length)
-    left = short.select("list", F.col("node").alias("a"), F.col("n").alias("na"))
-    right = short.select("list", F.col("node").alias("b"), F.col("n").alias("nb"))
-    pairs = left.join(right, "list").where(F.col("a") < F.col("b"))
-    leaders = shared.where(F.col("size") > list_length).select("list", F.explode(F.array_distinct(F.transform(F.array(*[f"l{k}" for k in range(LEADERS)]), lambda x: F.struct(x["node"].alias("node"), x["n"].alias("n"))))).alias("x"))
-    led = members.where(F.col("size") > list_length).join(leaders, "list").where(F.col("node") != F.col("x.node"))
-    led = led.select("list", F.least("node", "x.node").alias("a"), F.col("n").alias("na"), F.greatest("node", "x.node").alias("b"), F.col("x.n").alias("nb"))
-    both = pairs.select("a", "na", "b", "nb").union(led.select("a", "na", "b", "nb"))
-    return both.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9).select("a", "b").distinct()
+def _prefixes(length: int, similarity: float, values: np.ndarray, ranks: np.ndarray):
+    """node, n, prefix: the shingles outside ``values`` by hash, then those of ``values`` by rank, cut to the prefix."""
 
+    def run(batches):
+        for batch in batches:
+            out = []
+            for s in shingle_sets(batch.column("text"), length):
+                at = np.minimum(np.searchsorted(values, s), max(0, len(values) - 1))
+                often = values[at] == s if len(values) else np.zeros(len(s), bool)
+                ordered = np.concatenate([s[~often], s[often][np.argsort(ranks[at[often]], kind="stable")]]) if often.any() else s
+                out.append(ordered[: prefix_length(len(s), similarity)])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), _lists(out)], ["node", "n", "prefix"])
 
-def near_copy_links(rows: DataFrame, texts: DataFrame, length: int = SHINGLE, similarity: float = SIMILARITY, list_length: int = LIST_LENGTH) -> DataFrame:
-    """(a, b): the candidates whose whole sets are similar enough."""
-    nodes = rows.where("n > 0").dropDuplicates(["node"])
-    found = stored(candidates(nodes.select("node", "n", "prefix"), similarity, list_length), "near-candidates")
-    asked = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = stored(nodes.select("doc", "mark", "node").join(asked, "node", "left_semi"), "near-asked")
-    sets = texts.join(asked, ["doc", "mark"]).dropDuplicates(["node"]).select("node", "text").mapInArrow(_whole(length), "node bigint, shingles array<bigint>")
-    sets = stored(sets, "near-sets")
-    both = found.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    return run
+
+
+def frequent(texts: DataFrame, length: int = SHINGLE, least: int = LIST_LENGTH, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and ranks by count of the shingles in more than ``least`` texts; at most ``most``.
+
+    The least count is raised by powers of two until no more than ``most`` are
+    left, so only a histogram of a few rows and the shingles wanted reach the
+    driver.
+    """
+    shingles = texts.mapInArrow(_whole(length), "node bigint, shingles array<bigint>").select(F.explode("shingles").alias("s"))
+    counts = stored(shingles.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > least), "near-frequent")
+    sizes = {r.p: r.k for r in counts.groupBy(F.floor(F.log2("c")).alias("p")).agg(F.count(F.lit(1)).alias("k")).collect()}
+    power, total = max(sizes, default=0) + 1, 0
+    while power > 0 and total + sizes.get(power - 1, 0) <= most:
+        power -= 1
+        total += sizes.get(power, 0)
+    rows = counts.where(F.col("c") >= 2**power).toPandas()
+    discard(counts)
+    values, c = rows["s"].to_numpy(np.int64).view(np.uint64), rows["c"].to_numpy(np.int64)
+    by_value = np.argsort(values)
+    values, c = values[by_value], c[by_value]
+    ranks = np.empty(len(c), np.int64)
+    ranks[np.lexsort((values, c))] = np.arange(len(c))
+    return values, ranks
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    """(a, b): the pairs of short lists whose sizes and places allow the similarity; a is the larger set."""
+    left = members.where("least <= most").select("list", F.col("node").alias("a"), F.col("n").alias("na"), "least", "most")
+    right = members.select("list", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("most").alias("up"))
+    allowed = F.col("nb").between(F.col("least"), F.col("most")) & ((F.col("nb") < F.col("na")) | (F.col("a") < F.col("b")))
+    # the smaller set must be able to hold the larger one's share as well
+    return left.join(right, "list").where(allowed & (F.col("na") <= F.col("up"))).select("a", "b").distinct()
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, far, linked): distance of each pair, and whether it is similar enough."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(common >= similarity * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
+    both = both.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb") - common).alias("union"))
+    return both.select("a", "b", (1 - F.col("common") / F.col("union")).alias("far"), (F.col("common") >= similarity * F.col("union") - 1e-9).alias("linked"))
+
+
+def _postings(prefixes: DataFrame, similarity: float) -> DataFrame:
+    """(list, node, n, least, most): the members of all lists, with the sizes that a partner may have.
+
+    Sets of n and m that share c are similar enough from c = (n + m) * s / (1 + s)
+    on, and c is at most n less the place of their first shared shingle.
+    """
+    rows = prefixes.select("node", "n", F.posexplode("prefix").alias("i", "list"))
+    shares = (1 + similarity) / similarity
+    most = F.floor((F.col("n") - F.col("i")) * shares - F.col("n") + 1e-9)
+    return rows.select("list", "node", "n", F.ceil(F.col("n") * similarity - 1e-9).alias("least"), most.alias("most"))
+
+
+def _classes(long: DataFrame) -> DataFrame:
+    """Long lists split by size class: a member is in the class of its size and in those of smaller partners."""
+    level = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(CLASS))).cast("int")
+    home = level(F.col("n"))
+    top = F.least(F.col("most"), F.col("n").cast("long"))
+    looks = F.when(F.col("least") <= top, F.sequence(level(F.col("least")), level(F.greatest(top, F.col("least"))))).otherwise(F.array().cast("array<int>"))
+    spread = long.select("*", home.alias("home"), looks.alias("looks"))
+    spread = spread.select("list", "node", "n", "least", "most", "home", F.explode(F.array_union("looks", F.array("home"))).alias("class"), "looks")
+    spread = spread.select("list", "class", "node", "n", "least", "most", (F.col("class") == F.col("home")).alias("lives"), F.array_contains("looks", F.col("class")).alias("looks"))
+    spread = stored(spread, "near-classes")
+    useful = spread.groupBy("list", "class").agg(F.count(F.lit(1)).alias("size"), F.max("lives").alias("some"), F.max("looks").alias("seen")).where("size > 1 and some and seen")
+    split = spread.join(useful.select("list", "class", "size"), ["list", "class"])
+    return stored(split.select(F.xxhash64("list", "class").alias("list"), "node", "n", "least", "most", "size"), "near-split")
+
+
+def near_copy_links(rows: DataFrame, texts: DataFrame, length: int = SHINGLE, similarity: float = SIMILARITY, list_length: int = LIST_LENGTH) -> DataFrame:
+    """(a, b): links between similar nodes whose components are those of all of them."""
+    nodes = rows.where("n > 0").groupBy("node", "n").agg(F.min(F.struct("doc", "mark")).alias("r")).select("r.doc", "r.mark", "node", "n")
+    nodes = stored(nodes, "near-nodes")
+    own = stored(texts.join(nodes, ["doc", "mark"]).dropDuplicates(["node"]).select("node", "n", "text"), "near-texts")
+    values, ranks = frequent(own, length, list_length)
+    prefixes = own.mapInArrow(_prefixes(length, similarity, values, ranks), "node bigint, n int, prefix array<bigint>")
+    prefixes = stored(prefixes, "near-prefixes")
+    postings = _postings(prefixes, similarity)
+    shared = stored(postings.groupBy("list").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-lists")
+    members = stored(postings.join(shared, "list"), "near-members")
+    discard(prefixes)
+    discard(shared)
+    short = members.where(F.col("size") <= list_length).drop("size")
+    split = _classes(members.where(F.col("size") > list_length).drop("size"))
+    asked = members.select("node").distinct()
+    sets = stored(own.join(asked, "node", "left_semi").select("node", "text").mapInArrow(_whole(length), "node bigint, shingles array<bigint>"), "near-sets")
+    discard(own)
+
+    pairs = _pairs(short).union(_pairs(split.where(F.col("size") <= list_length).drop("size"))).distinct()
+    links = [stored(_compared(pairs, sets, similarity).where("linked").select("a", "b"), "near-links")]
+    rest = split.where(F.col("size") > list_length).drop("size")
+    for turn in range(ROUNDS):
+        if rest.isEmpty():
+            break
+        heads = rest.groupBy("list").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("m")).select("list", F.col("m.node").alias("b"))
+        led = stored(rest.join(heads, "list"), "near-led")
+        judged = stored(_compared(led.where("node != b").select(F.col("node").alias("a"), "b").distinct(), sets, similarity), "near-judged")
+        links.append(judged.where("linked").select("a", "b"))
+        led = led.join(judged.withColumnRenamed("a", "node"), ["node", "b"], "left").where("node != b")
+        led = stored(led.drop("b"), "near-distances")
+        ring = led.groupBy("list").agg(F.min(F.when(~F.col("linked"), F.col("far"))).alias("ring"))
+        # 1e-6 above the sum of distances: rounding must not settle a member too early
+        done = F.col("linked") & (F.col("ring").isNull() | (F.col("far") + (1 - similarity) + 1e-6 < F.col("ring")))
+        left = stored(led.join(ring, "list").where(~done).drop("far", "linked", "ring"), "near-left")
+        sizes = left.groupBy("list").agg(F.count(F.lit(1)).alias("size"))
+        left = stored(left.join(sizes, "list"), "near-rest")
+        few = (F.col("size") <= list_length) | F.lit(turn == ROUNDS - 1)
+        links.append(stored(_compared(_pairs(left.where(few).drop("size")), sets, similarity).where("linked").select("a", "b"), "near-links"))
+        rest = left.where(~few).drop("size")
+    out = links[0]
+    for more in links[1:]:
+        out = out.union(more)
+    return out.distinct()
 
 
 def keep_first_copy(
@@ -127,7 +239,7 @@ def keep_first_copy(
     that repeat an id and a text, any one stays.
     """
     texts = keyed(docs, key, text)
-    rows = stored(texts.mapInArrow(_prefixed(length, similarity), "doc bigint, mark bigint, node bigint, n int, prefix array<bigint>"), "near-rows")
+    rows = stored(texts.mapInArrow(_nodes(length), "doc bigint, mark bigint, node bigint, n int"), "near-rows")
     found = components(near_copy_links(rows, texts, length, similarity, list_length))
     placed = rows.select("doc", "mark", "node").join(found, "node", "left")
     return first_rows(docs, placed.select("doc", "mark", F.coalesce("root", "node").alias("root")), key, text)

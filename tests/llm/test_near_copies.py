@@ -54,6 +54,45 @@ def test_crowded_group(spark):
     assert near_copies.keep_first_copy(docs.limit(0)).count() == 0
 
 
+def test_crowd_around_the_bar(spark):
+    """Texts that share 160 of 182 words are below the bar; pairs planted among them are above it."""
+    r = random.Random(6)
+    base = words(r, 160)
+    texts = []
+    for _ in range(150):
+        own = words(r, 22)
+        texts += [base + own, base + own[:10] + words(r, 12)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert similarity(rows[0][1], rows[1][1]) >= 0.8 > similarity(rows[0][1], rows[2][1])
+    kept = near_copies.keep_first_copy(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {x.doc_id for x in kept.collect()} == {i for i, _ in rows if i % 2 == 0}
+
+
+def test_links_as_by_brute_force(spark):
+    """Groups at all distances, in lists so short that rounds with leaders decide most."""
+    r = random.Random(8)
+    rows = []
+    for _ in range(3):
+        base = words(r, 120)
+        for k in range(40):
+            rows.append((len(rows), " ".join(changed(r, base, k % 8))))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {x.doc_id for x in near_copies.keep_first_copy(docs, list_length=3).collect()} == {find(i) for i in sets}
+
+
 def test_stage_drops_near_copies(spark):
     docs = spark.createDataFrame(planted(), "doc_id bigint, text string")
     stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
