@@ -16,8 +16,10 @@ still longer works in rounds: all members are compared with one of them, the
 leader. 1 - similarity is a metric, so a member at distance y from the leader,
 linked to it, is done when no unlinked member is within y + (1 - SIMILARITY):
 whatever it could be linked to is in the leader's group already. The leader
-itself is done too, and so the lists shrink until they are short. A group of
-thousands of copies thus makes one comparison per member, and no link is lost.
+itself is done too. A group of thousands of copies thus makes one comparison per
+member. After ``ROUNDS`` rounds the links so far are joined to groups, and what
+is left of the lists is compared in pairs of different groups, so no link that
+joins two groups is lost.
 
 Pairs are verified by their whole sets, which are built only for texts that are
 in a shared list. Texts with equal sets are one node throughout.
@@ -37,13 +39,13 @@ from kinolens.llm.simhash import first_rows
 
 SHINGLE = 5
 SIMILARITY = 0.8
-LIST_LENGTH = 16
+LIST_LENGTH = 32
 #: Most shingles that are ordered by their counts; 16 bytes each in a task.
 FREQUENT = 1 << 20
 #: Ratio of neighbouring size classes.
 CLASS = 1.02
-#: After so many rounds, what is left of a list is compared in pairs.
-ROUNDS = 40
+#: Rounds with leaders; then only pairs of two groups that are not linked yet are compared.
+ROUNDS = 3
 
 
 def shingle_sets(column, length: int = SHINGLE) -> list[np.ndarray]:
@@ -140,12 +142,16 @@ def frequent(texts: DataFrame, length: int = SHINGLE, least: int = LIST_LENGTH,
 
 
 def _pairs(members: DataFrame) -> DataFrame:
-    """(a, b): the pairs of short lists whose sizes and places allow the similarity; a is the larger set."""
-    left = members.where("least <= most").select("list", F.col("node").alias("a"), F.col("n").alias("na"), "least", "most")
-    right = members.select("list", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("most").alias("up"))
+    """(a, b): pairs of members of a list whose sizes and places allow the similarity; a is the larger set.
+
+    Where members have a group that is ``known``, only pairs of two groups.
+    """
+    group = F.col("known") if "known" in members.columns else F.col("node")
+    left = members.where("least <= most").select("list", F.col("node").alias("a"), F.col("n").alias("na"), "least", "most", group.alias("ga"))
+    right = members.select("list", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("most").alias("up"), group.alias("gb"))
     allowed = F.col("nb").between(F.col("least"), F.col("most")) & ((F.col("nb") < F.col("na")) | (F.col("a") < F.col("b")))
     # the smaller set must be able to hold the larger one's share as well
-    return left.join(right, "list").where(allowed & (F.col("na") <= F.col("up"))).select("a", "b").distinct()
+    return left.join(right, "list").where(allowed & (F.col("na") <= F.col("up")) & (F.col("ga") != F.col("gb"))).select("a", "b").distinct()
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -184,7 +190,7 @@ def _classes(long: DataFrame) -> DataFrame:
     return stored(split.select(F.xxhash64("list", "class").alias("list"), "node", "n", "least", "most", "size"), "near-split")
 
 
-def near_copy_links(rows: DataFrame, texts: DataFrame, length: int = SHINGLE, similarity: float = SIMILARITY, list_length: int = LIST_LENGTH) -> DataFrame:
+def near_copy_links(rows: DataFrame, texts: DataFrame, length: int = SHINGLE, similarity: float = SIMILARITY, list_length: int = LIST_LENGTH, rounds: int = ROUNDS) -> DataFrame:
     """(a, b): links between similar nodes whose components are those of all of them."""
     nodes = rows.where("n > 0").groupBy("node", "n").agg(F.min(F.struct("doc", "mark")).alias("r")).select("r.doc", "r.mark", "node", "n")
     nodes = stored(nodes, "near-nodes")
@@ -204,30 +210,28 @@ def near_copy_links(rows: DataFrame, texts: DataFrame, length: int = SHINGLE, si
     discard(own)
 
     pairs = _pairs(short).union(_pairs(split.where(F.col("size") <= list_length).drop("size"))).distinct()
-    links = [stored(_compared(pairs, sets, similarity).where("linked").select("a", "b"), "near-links")]
+    links = stored(_compared(pairs, sets, similarity).where("linked").select("a", "b"), "near-links")
     rest = split.where(F.col("size") > list_length).drop("size")
-    for turn in range(ROUNDS):
+    for turn in range(rounds):
         if rest.isEmpty():
-            break
+            return links
         heads = rest.groupBy("list").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("m")).select("list", F.col("m.node").alias("b"))
-        led = stored(rest.join(heads, "list"), "near-led")
-        judged = stored(_compared(led.where("node != b").select(F.col("node").alias("a"), "b").distinct(), sets, similarity), "near-judged")
-        links.append(judged.where("linked").select("a", "b"))
-        led = led.join(judged.withColumnRenamed("a", "node"), ["node", "b"], "left").where("node != b")
-        led = stored(led.drop("b"), "near-distances")
+        led = rest.join(heads, "list").where("node != b")
+        judged = stored(_compared(led.select(F.col("node").alias("a"), "b").distinct(), sets, similarity), "near-judged")
+        links = links.union(judged.where("linked").select("a", "b"))
+        led = stored(led.join(judged.withColumnRenamed("a", "node"), ["node", "b"]).drop("b"), "near-distances")
         ring = led.groupBy("list").agg(F.min(F.when(~F.col("linked"), F.col("far"))).alias("ring"))
         # 1e-6 above the sum of distances: rounding must not settle a member too early
         done = F.col("linked") & (F.col("ring").isNull() | (F.col("far") + (1 - similarity) + 1e-6 < F.col("ring")))
-        left = stored(led.join(ring, "list").where(~done).drop("far", "linked", "ring"), "near-left")
-        sizes = left.groupBy("list").agg(F.count(F.lit(1)).alias("size"))
-        left = stored(left.join(sizes, "list"), "near-rest")
-        few = (F.col("size") <= list_length) | F.lit(turn == ROUNDS - 1)
-        links.append(stored(_compared(_pairs(left.where(few).drop("size")), sets, similarity).where("linked").select("a", "b"), "near-links"))
-        rest = left.where(~few).drop("size")
-    out = links[0]
-    for more in links[1:]:
-        out = out.union(more)
-    return out.distinct()
+        rest = stored(led.join(ring, "list").where(~done).drop("far", "linked", "ring"), "near-rest")
+    if rest.isEmpty():
+        return links
+    links = stored(links.distinct(), "near-links")
+    roots = components(links).withColumnRenamed("root", "known")
+    rest = stored(rest.join(roots, "node", "left").withColumn("known", F.coalesce("known", "node")), "near-rest")
+    several = rest.groupBy("list").agg((F.min("known") != F.max("known")).alias("several")).where("several").select("list")
+    last = stored(_pairs(rest.join(several, "list")), "near-last")
+    return links.union(_compared(last, sets, similarity).where("linked").select("a", "b"))
 
 
 def keep_first_copy(
