@@ -88,6 +88,8 @@ class QualityModel:
     weights: np.ndarray
     raw: np.ndarray
     probability: np.ndarray
+    #: Whether there were labels to learn from.
+    learnt: bool = False
 
     def features(self, statistics: np.ndarray) -> np.ndarray:
         x = np.clip((statistics - self.mean) / self.scale, -6, 6)
@@ -166,6 +168,7 @@ def fit_quality(statistics: DataFrame, labels: DataFrame, key: str = "doc_id", l
     lines = fit.mapInArrow(sums, "i int, line array<double>").groupBy("i").applyInArrow(added, "i int, line array<double>").collect()
     normal = np.array([r.line for r in sorted(lines, key=lambda r: r.i)])
     size = max(1.0, normal[-2, -1])
+    model.learnt = True
     model.weights = np.linalg.solve(normal[:-1] / size + RIDGE * np.eye(FEATURES + 1), normal[-1] / size)
 
     def binned(batches):
@@ -215,8 +218,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose score is THRESHOLD or more."""
+    """The rows of ``docs``, all columns as they are, whose score is THRESHOLD or more.
+
+    Without any usable label nothing is known of quality, and all rows stay.
+    """
     model = fit_quality(document_statistics(docs, key, text), labels, key, label)
+    if not model.learnt:
+        return docs
 
     def run(batches):
         for batch in batches:

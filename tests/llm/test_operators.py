@@ -209,6 +209,7 @@ def test_quality_of_awkward_rows(spark, docs, rows, nothing):
     kept = quality.keep_quality(docs, labels)
     assert kept.columns == docs.columns
     assert {r.score for r in quality.quality_scores(docs, labels.limit(0)).collect()} == {0.5}
+    assert quality.keep_quality(docs, labels.limit(0)).count() == docs.count()
     assert quality.quality_scores(nothing, labels).count() == 0
 
 
