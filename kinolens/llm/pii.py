@@ -30,8 +30,6 @@ KINDS = ("email", "ip", "card", "phone")
 #: Distinct seeds that a pattern needs, and what patterns and instances must score.
 MIN_SEEDS = 5
 TRUST = 0.9
-#: Characters in front of a match in which its context is looked up.
-CONTEXT = 64
 
 # The fixed forms. Where a form may only begin at the head of a run, the
 # look-behind says so, because later beginnings in it fail in the same way and
@@ -52,27 +50,46 @@ LOOSE_CARD = r"(?<![0-9])[0-9]{4}(?:[\x20./_-]{0,3}[0-9]{2,6}){2,4}(?![0-9])"
 LOOSE_IP = r"(?<![\w:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![\w:])"
 
 _NONE = "cast(array() as array<struct<s:int,e:int,v:string,left:string>>)"
+#: White space other than the plain space, and as many spaces.
+_SPACES = "\t\n\x0b\f\r"
+#: Code points of the pieces from which a redacted text is put together.
+CHUNK = 4096
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, join) -> Column:
+    """Array of ``join`` over all elements up to each one, in n log n steps: what lies 1, 2, 4, ... places ahead joins in turn."""
+
+    def step(done, k):
+        return F.transform(done, lambda x, i: F.when(i >= k, join(x, F.get(done, i - k))).otherwise(x))
+
+    far = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.size(values).cast("double"))).cast("int") - 1), lambda k: F.pow(F.lit(2), k).cast("int"))
+    return F.when(F.size(values) > 1, F.aggregate(far, values, step)).otherwise(values)
 
 
 def matches(text: Column, pattern: str, possible: Column) -> Column:
     """Array of (s, e, v, left) of the leftmost matches that do not overlap, in code points.
 
     The text between matches comes from ``split`` with the same pattern, so
-    running lengths give the places. ``possible`` is a cheap test without which
-    no match can be.
+    running lengths give the places. ``left`` is the word in front, whatever
+    its length, and empty if another match or nothing is there. ``possible`` is
+    a cheap test without which no match can be.
     """
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    both = F.zip_with(F.slice(gaps, 1, F.size(values)), values, lambda gap, v: F.struct(gap.alias("gap"), v.alias("v")))
-    start = F.struct(F.lit(0).alias("at"), F.expr(_NONE).alias("out"))
 
-    def step(acc, x):
-        s = acc["at"] + F.length(x["gap"])
-        e = s + F.length(x["v"])
-        hit = F.struct(s.alias("s"), e.alias("e"), x["v"].alias("v"), F.right(x["gap"], F.lit(CONTEXT)).alias("left"))
-        return F.struct(e.alias("at"), F.array_append(acc["out"], hit).alias("out"))
+    def places(x):
+        pairs = F.zip_with(F.slice(x["gaps"], 1, F.size(x["values"])), x["values"], lambda gap, v: F.struct(gap.alias("gap"), v.alias("v")))
+        return bound(pairs, lambda p: bound(running(F.transform(p, lambda y: F.length(y["gap"]) + F.length(y["v"])), lambda a, b: a + b), lambda ends: F.zip_with(p, ends, hit)))
+
+    def hit(y, e):
+        left = F.substring_index(F.rtrim(F.translate(y["gap"], _SPACES, " " * len(_SPACES))), " ", -1)
+        return F.struct((e - F.length(y["v"])).alias("s"), e.alias("e"), y["v"].alias("v"), left.alias("left"))
 
-    return F.when(possible, F.aggregate(both, start, step, lambda acc: acc["out"])).otherwise(F.expr(_NONE))
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"), F.split(text, pattern, -1).alias("gaps"))
+    return F.when(possible, bound(found, places)).otherwise(F.expr(_NONE))
 
 
 def _digits(v: Column) -> Column:
@@ -130,8 +147,23 @@ def hits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def _pattern(kind: str, left: Column) -> Column:
     """Kind and the word in front; null if there is none."""
-    word = F.lower(F.regexp_extract(left, r"(\S+)\s*$", 1))
-    return F.when(word != "", F.concat(F.lit(f"{kind} "), word))
+    return F.when(left != "", F.concat(F.lit(f"{kind} "), F.lower(left)))
+
+
+def _free(candidates: str) -> Column:
+    """Those candidates that touch no match of a fixed form.
+
+    Fixed matches stand at their begin and candidates at their end, in one
+    order; a candidate is free if no match ahead of it reaches past its begin.
+    """
+    part = lambda at, fixed, reach, x: F.struct(at.alias("at"), F.lit(fixed).alias("fixed"), reach.alias("reach"), x.alias("x"))
+    nothing = F.lit(None).cast("struct<s:int,e:int,v:string,left:string>")
+    fixed = F.concat(*[F.transform(k, lambda t: part(t["s"], 1, t["e"], nothing)) for k in (*KINDS, "refused")])
+    mine = F.transform(candidates, lambda c: part(c["e"], 0, F.lit(0), F.struct(c["s"].alias("s"), c["e"].alias("e"), c["v"].alias("v"), c["left"].alias("left"))))
+    order = F.array_sort(F.concat(fixed, mine))
+    reached = lambda o: bound(running(F.transform(o, lambda y: y["reach"]), F.greatest), lambda reach: F.zip_with(o, reach, lambda y, r: F.struct(y["fixed"].alias("fixed"), r.alias("reach"), y["x"].alias("x"))))
+    free = F.filter(bound(order, reached), lambda y: (y["fixed"] == 0) & (y["reach"] <= y["x"]["s"]))
+    return F.transform(free, lambda y: y["x"])
 
 
 def occurrences(found: DataFrame) -> DataFrame:
@@ -140,10 +172,8 @@ def occurrences(found: DataFrame) -> DataFrame:
     for kind in KINDS:
         one = found.where(F.size(kind) > 0).select("doc", "mark", F.explode(kind).alias("x"))
         parts.append(one.select("doc", "mark", F.lit(kind).alias("kind"), "x.s", "x.e", F.lower("x.v").alias("value"), _pattern(kind, F.col("x.left")).alias("pattern"), F.lit(True).alias("seed")))
-    taken = F.concat(*[F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in (*KINDS, "refused")])
     for kind in KINDS:
-        one = found.where(F.size(f"loose_{kind}") > 0).select("doc", "mark", F.explode(f"loose_{kind}").alias("x"), taken.alias("taken"))
-        one = one.where(~F.exists("taken", lambda t: (t["s"] < F.col("x.e")) & (t["e"] > F.col("x.s"))))
+        one = found.where(F.size(f"loose_{kind}") > 0).select("doc", "mark", F.explode(_free(f"loose_{kind}")).alias("x"))
         # brackets, quotes and stops around a candidate are not part of it
         core = F.regexp_replace(F.regexp_replace(F.col("x.v"), r"^[^\p{L}\p{N}(\[+]+", ""), r"[^\p{L}\p{N}]+$", "")
         lead = F.length("x.v") - F.length(F.regexp_replace(F.col("x.v"), r"^[^\p{L}\p{N}(\[+]+", ""))
@@ -236,7 +266,8 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     Spans that overlap are replaced together, by the kind that begins first.
     All other columns stay; ``n_chars``, if there is one, is counted anew where
-    the text changed. Texts do not leave their rows: the spans come to them.
+    the text changed. A text is put together from chunks, so that its work grows
+    with its length and its spans, not with their product.
     """
     found = personal_data(docs, key, text)
     spans = F.array_sort(F.transform(F.concat("base", "added"), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
@@ -249,14 +280,23 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         "left",
     )
     kinds = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc, x):
-        before = F.substring(body, acc["at"] + 1, x["s"] - acc["at"])
-        out = F.when(x["s"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], before, F.get(kinds, x["k"])))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), out.alias("out"))
+    def between(chunks, a, b):
+        """Code points a to b: the few chunks that hold them are joined and cut."""
+        head = F.floor(a / CHUNK).cast("int")
+        held = F.array_join(F.slice(chunks, head + 1, F.floor(F.greatest(b - 1, a) / CHUNK).cast("int") - head + 1), "")
+        return F.when(b > a, F.substring(held, a - head * CHUNK + 1, b - a)).otherwise(F.lit(""))
+
+    def put_together(chunks, reach):
+        def piece(x, i):
+            at = F.when(i > 0, F.get(reach, i - 1)).otherwise(F.lit(0))
+            return F.when(x["s"] < at, F.lit("")).otherwise(F.concat(between(chunks, at, x["s"]), F.get(kinds, x["k"])))
+
+        tail = between(chunks, F.element_at(reach, -1), F.lit(CHUNK) * F.size(chunks))
+        return F.array_join(F.concat(F.transform("spans", piece), F.array(tail)), "")
 
-    done = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.length(body))))
+    chunks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    done = bound(chunks, lambda c: bound(running(F.transform("spans", lambda x: x["e"]), F.greatest), lambda reach: put_together(c, reach)))
     rows = rows.withColumn("changed", F.when(F.col("spans").isNotNull(), done))
     columns = []
     for c in docs.columns:

@@ -1,5 +1,7 @@
 """Patterns with many unseen identifiers."""
 
+import time
+
 import pytest
 
 from kinolens.llm import pii
@@ -17,3 +19,23 @@ def test_unseen_instances_do_not_count_against_a_pattern(spark, unseen):
     assert all(got[1000 + i] == "phone:5:17" for i in range(unseen))
     assert got[2200] == ""
     assert (got[3100], got[3101], got[3102]) == ("card:5:22", "card:5:30", "")
+
+
+def test_many_matches_in_one_text(spark):
+    """Work on one text grows with its matches, and spans far into it are at their places."""
+    n = 30000
+    text = "é😀 " + " ".join(f"mail: u{i}@h.example.com" for i in range(n)) + " mail: root@localhost"
+    docs = spark.createDataFrame([(1, text), (2, "x" * 9000 + " call +1 578 555 1000 " + "é" * 9000)], "doc_id bigint, text string")
+    begun = time.monotonic()
+    done = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert time.monotonic() - begun < 60
+    assert done[1] == "é😀 " + " ".join(["mail: <EMAIL>"] * (n + 1))
+    assert done[2] == "x" * 9000 + " call <PHONE> " + "é" * 9000
+
+
+def test_word_in_front_of_any_length(spark):
+    word = "w" * 300
+    rows = [(i, f"{word} user{i}@host.example.com") for i in range(6)] + [(10, f"{word}\tadmin@localhost"), (11, f"v{word[1:]} admin2@localhost")]
+    got = {r.doc_id: r.spans for r in pii.personal_data_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[10] == "email:301:316"
+    assert got[11] == ""
