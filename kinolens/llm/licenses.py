@@ -12,9 +12,9 @@ the family is unknown. A prediction is confirmed if a notice of its family is
 found: ``CONFIRMED`` or more of the notice's word pairs occur in the paragraph,
 whatever else it holds.
 
-A paragraph none of whose words has weight for any family is unknown whatever
-else it holds. The words with weight are known after the fit, so only lines
-with one of them are cut into n-grams.
+A paragraph that holds so much of a notice holds one of its telling words, and
+few words tell all notices (``cue_words``); only lines with one of them are cut
+into n-grams.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinolens.llm.common import given_id, keyed, stored
+from kinolens.llm.common import bound, given_id, keyed, stored
 
 UNKNOWN = "unknown"
 #: Most ordinary lines in the fit, as a documented bound on its sample, and of
@@ -234,12 +234,7 @@ class LicenseModel:
         judged = self.margin(self.model.transform(table.where("held"))).select("margin", (F.col("label") < len(self.families) - 1).cast("double").alias("known"))
         a, b = _platt([(r.margin, r.known) for r in judged.collect()])
         self.slope, self.shift = a, b
-        weights = self.model.coefficientMatrix.toArray()
-        gain = weights[:-1].max(0) - weights[-1]
-        vocabulary = {w for f in NOTICES.values() for n in f for w in _tokens(n)}
-        place = {w: self.hasher.indexOf(w) for w in vocabulary}
-        # words that speak for some family against ordinary text
-        self.cues = sorted(w for w in vocabulary if len(w) > 2 and gain[place[w]] > 0.5)
+        self.cues = cue_words(ordinary)
 
     def margin(self, scored: DataFrame) -> DataFrame:
         """With best (family number) and margin (its raw score above that of unknown)."""
@@ -254,12 +249,13 @@ class LicenseModel:
         scored = self.margin(self.model.transform(self.hasher.transform(lines.withColumn("tokens", tokens).withColumn("grams", grams(F.col("tokens"))))))
         probability = 1 / (1 + F.exp(-(F.col("margin") * self.slope + self.shift)))
         names = F.array(*[F.lit(f) for f in self.families[:-1]])
-        of = lambda n: sorted({" ".join(p) for p in zip(_tokens(n), _tokens(n)[1:], strict=False)})
-        templates = F.array(*[F.array(*[F.array(*[F.lit(p) for p in of(n)]) for n in NOTICES[f]]) for f in self.families[:-1]])
+        templates = F.array(*[F.array(*[F.array(*[F.lit(" ".join(p)) for p in _pairs_of(n)]) for n in NOTICES[f]]) for f in self.families[:-1]])
         # a notice of a single word pair is looked for as a whole line only
-        own = F.array_distinct(pairs(F.col("tokens")))
-        alone = lambda notice: (F.size(notice) > 1) | (F.size(own) <= ALONE)
-        found = F.transform(F.get(templates, F.col("best")), lambda notice: F.when(alone(notice), F.size(F.array_intersect(notice, own)) / F.size(notice)).otherwise(0.0))
+        def shares(own):
+            alone = lambda notice: (F.size(notice) > 1) | (F.size(own) <= ALONE)
+            return F.transform(F.get(templates, F.col("best")), lambda notice: F.when(alone(notice), F.size(F.array_intersect(notice, own)) / F.size(notice)).otherwise(0.0))
+
+        found = bound(F.array_distinct(pairs(F.col("tokens"))), shares)
         share = F.coalesce(F.array_max(found), F.lit(0.0))
         out = scored.withColumn("probability", probability).withColumn("share", share)
         family = F.when(F.col("probability") >= 0.5, F.get(names, F.col("best"))).otherwise(F.lit(UNKNOWN))
@@ -281,6 +277,34 @@ def _platt(points: list[tuple[float, float]]) -> tuple[float, float]:
     return float(a / scale), float(b)
 
 
+def _pairs_of(notice: str) -> list[tuple[str, str]]:
+    t = _tokens(notice)
+    return sorted(set(zip(t, t[1:], strict=False)))
+
+
+def cue_words(ordinary: list[str], share: float = CONFIRMED) -> list[str]:
+    """Few words, one of which is in every paragraph that holds ``share`` of a notice's word pairs.
+
+    Of a notice of p pairs, ceil(share * p) must be there, so some pair of any
+    p - ceil(share * p) + 1 is. Words are taken one by one until they touch so
+    many pairs of every notice: next the one that touches most for the number of
+    ``ordinary`` lines that hold it. A word that holds a cue is touched as well.
+    """
+    rows = [line.lower() for line in ordinary]
+    notices = [_pairs_of(n) for f in NOTICES.values() for n in f]
+    need = [len(p) - -int(-share * len(p) // 1) + 1 for p in notices]
+    vocabulary = sorted({w for p in notices for pair in p for w in pair})
+    price = {w: 1 + len(rows) / 500 + sum(w in r for r in rows) for w in vocabulary}
+    cues: list[str] = []
+    while True:
+        rest = [[pair for pair in p if not any(c in w for c in cues for w in pair)] for p in notices]
+        missing = [max(0, n - (len(p) - len(r))) for n, p, r in zip(need, notices, rest, strict=True)]
+        if not any(missing):
+            return sorted(cues)
+        gain = {c: sum(min(m, sum(c in a or c in b for a, b in r)) for m, r in zip(missing, rest, strict=True) if m) for c in vocabulary}
+        cues.append(min((c for c in vocabulary if gain[c]), key=lambda c: (price[c] / gain[c], c)))
+
+
 def has_cue(text: Column, cues: list[str]) -> Column:
     """Whether ``text`` holds one of ``cues``, whatever its case.
 

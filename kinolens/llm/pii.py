@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinolens.llm.common import given_id, keyed, stored
+from kinolens.llm.common import bound, given_id, keyed, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Distinct seeds that a pattern needs, and what patterns and instances must score.
@@ -56,11 +56,6 @@ _SPACES = "\t\n\x0b\f\r"
 CHUNK = 4096
 
 
-def bound(value: Column, use) -> Column:
-    """``use(value)``, with ``value`` computed once however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def running(values: Column, join) -> Column:
     """Array of ``join`` over all elements up to each one, in n log n steps: what lies 1, 2, 4, ... places ahead joins in turn."""
 
