@@ -28,8 +28,9 @@ from kinolens.streaming import streams as sm
 
 
 def _arriving(spark, sf_dir, name):
+    """The files of a table, which is one file or a folder of them; as a glob, because a stream takes a plain path for a folder."""
     schema = V.table(spark, sf_dir, name).schema
-    return sm.file_stream(spark, sf_dir, schema, f"{name}.parquet")
+    return sm.file_stream(spark, f"{sf_dir}/{{{name}}}.parquet", schema)
 
 
 @query(

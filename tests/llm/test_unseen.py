@@ -39,3 +39,11 @@ def test_word_in_front_of_any_length(spark):
     got = {r.doc_id: r.spans for r in pii.personal_data_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got[10] == "email:301:316"
     assert got[11] == ""
+
+
+def test_short_numbers_are_no_cards_and_long_names_are_read(spark):
+    """Every match of a text is held to 16 digits, the first ones too; a name of thousands of parts is one match."""
+    name = "a@" + "b." * 5000 + "c"
+    rows = [(1, "00 and 18 and 4111 1111 1111 1111"), (2, name), (3, "0 0 0, 42")]
+    got = {r.doc_id: (r.n_card, r.n_email, r.spans) for r in pii.personal_data_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: (1, 0, "card:14:33"), 2: (0, 1, f"email:0:{len(name)}"), 3: (0, 0, "")}
