@@ -116,3 +116,21 @@ def test_a_batch_reads_the_buckets_of_its_keys(spark):
     known = sm.known_keys(spark, out, rows.schema["title_url"].dataType, "title_url", [one], 2)
     assert 0 < len(known.inputFiles()) < len(rows.inputFiles()) / 8 and all(f"{sm.BUCKET}={one}/" in f for f in known.inputFiles())
     assert "ReadSchema: struct<title_url:string>" in known._jdf.queryExecution().toString()
+
+
+def test_a_table_may_be_a_file_or_a_folder(spark):
+    """Streams over given tables read both, and only the table that is named."""
+    from kinolens.plans.q_stream import _arriving
+
+    base = fresh_dir(spark, "tables")
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(5)], "n int, t string")
+    rows.repartition(2).write.parquet(f"{base}/folder.parquet")
+    rows.repartition(2).write.parquet(f"{base}/folders.parquet")
+    rows.coalesce(1).write.parquet(f"{base}/parts")
+    part = next(f for f in spark.read.parquet(f"{base}/parts").inputFiles())
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    place(part).getFileSystem(spark._jsc.hadoopConfiguration()).rename(place(part), place(f"{base}/single.parquet"))
+    for name in ("folder", "single"):
+        out = fresh_dir(spark, "out")
+        sm.run_to_end(sm.stream_score(_arriving(spark, base, name), lambda s: s, out, fresh_dir(spark, "ckpt")))
+        assert sorted(map(tuple, spark.read.parquet(out).collect())) == [(i, f"t{i}") for i in range(5)]
