@@ -226,22 +226,86 @@ def grown(found: list[tuple[int, int, float, float]], nodes: Sequence[int], tree
 # ---- small tables: all trees of a target in one task ----
 
 
+def joint_columns(bins: np.ndarray, n_bins: int = BINS) -> np.ndarray:
+    """[pair, row] joint bin of two neighbouring features; the last of an odd number stands beside zeros."""
+    if bins.shape[1] % 2:
+        bins = np.hstack([bins, np.zeros((len(bins), 1), bins.dtype)])
+    return np.ascontiguousarray((bins[:, 0::2].astype(np.uint16) * n_bins + bins[:, 1::2]).T)
+
+
+def sums_of_rows(pairs: np.ndarray, width: int, rows: np.ndarray, place: np.ndarray, nodes: int, g: np.ndarray, h: np.ndarray, n_bins: int = BINS) -> np.ndarray:
+    """[node, feature, bin, (g, h)] of ``rows``, which are at ``place`` 0 .. nodes - 1; exact.
+
+    Two features are counted at a time, which halves the work, as long as their
+    joint bins are not more than the rows. ``g`` and ``h`` are whole numbers as
+    doubles, and 2^29 rows of them stay exact; so many don't fit a block.
+    """
+    g, h = g[rows], h[rows]
+    joint = nodes * n_bins * n_bins <= len(rows)
+    out = np.empty((nodes, 2 * len(pairs), n_bins, 2), np.int64)
+    offset = place * (n_bins * n_bins if joint else n_bins)
+    for p, column in enumerate(pairs):
+        key = column[rows] if len(rows) < len(column) else column
+        if joint:
+            cell = key + offset
+            for j, v in enumerate((g, h)):
+                sums = np.bincount(cell, v, nodes * n_bins * n_bins).reshape(nodes, n_bins, n_bins)
+                out[:, 2 * p, :, j], out[:, 2 * p + 1, :, j] = sums.sum(axis=2), sums.sum(axis=1)
+        else:
+            for f, half in ((2 * p, key // n_bins), (2 * p + 1, key % n_bins)):
+                cell = half + offset
+                for j, v in enumerate((g, h)):
+                    out[:, f, :, j] = np.bincount(cell, v, nodes * n_bins).reshape(nodes, n_bins)
+    return out[:, :width]
+
+
 def fit_target(bins: np.ndarray, y: np.ndarray, trees: int, depth: int, step: float) -> Iterator[tuple[int, dict]]:
-    """(tree, nodes) of one target over rows that train it."""
-    score = np.full(len(y), prior(len(y), int(y.sum())))
+    """(tree, nodes) of one target over rows that train it.
+
+    Of two children the one with fewer rows is counted, the other is what is
+    left of their parent. The last level needs sums of its nodes only. Sums are
+    whole numbers, so the trees are those of :func:`histograms` over all rows.
+    """
+    rows, width = bins.shape
+    pairs = joint_columns(bins)
+    score = np.full(rows, prior(rows, int(y.sum())))
     for t in range(trees):
-        g, h = gradients(y, score)
-        tree, nodes = {}, [0]
+        g, h = (x.astype(np.float64) for x in gradients(y, score))
+        tree, nodes, leaf = {}, [0], np.zeros(rows)
+        # rows in open nodes, and the place of their node
+        here, place = np.arange(rows), np.zeros(rows, np.int64)
+        hist = None
         for level in range(depth + 1):
-            end = descend(bins, tree)
-            place_of = {n: i for i, n in enumerate(nodes)}
-            place = np.array([place_of.get(n, -1) for n in range(int(end.max()) + 1)])[end] if len(end) else end
-            here = place >= 0
-            nodes = grown(best_splits(histograms(bins[here], place[here], len(nodes), g[here], h[here])), nodes, tree, level == depth)
+            if level == depth:
+                sums = [np.bincount(place, x[here], len(nodes)).astype(np.int64).tolist() for x in (g, h)]
+                found = [(-1, -1, -math.inf, (a / UNIT) / (b / UNIT + RIDGE)) for a, b in zip(*sums, strict=True)]
+            else:
+                if level == 0:
+                    hist = sums_of_rows(pairs, width, here, place, 1, g, h)
+                else:
+                    size = np.bincount(place, minlength=len(nodes)).reshape(-1, 2)
+                    lesser = 2 * np.arange(len(size)) + (size[:, 1] < size[:, 0])
+                    counted = np.zeros(len(nodes), bool)
+                    counted[lesser] = True
+                    own = counted[place]
+                    part = sums_of_rows(pairs, width, here[own], place[own] // 2, len(size), g, h)
+                    whole, hist = hist, np.empty((len(nodes), *part.shape[1:]), np.int64)
+                    hist[lesser], hist[lesser ^ 1] = part, whole - part
+                # A row's curvature is above zero, so it tells empty sides as a count of rows would.
+                found = best_splits(np.stack([hist[..., 1], hist[..., 0], hist[..., 1]], axis=-1))
+            nodes = grown(found, nodes, tree, level == depth)
+            feature, cut, _, value = (np.array(x) for x in zip(*found, strict=True))
+            split = (feature >= 0) & (level < depth)
+            moving = split[place]
+            leaf[here[~moving]] = value[place[~moving]]
             if not nodes:
                 break
+            here, place = here[moving], place[moving]
+            right = bins[here, feature[place]] > cut[place]
+            place = 2 * (np.cumsum(split) - 1)[place] + right
+            hist = hist[split]
         yield t, tree
-        score = score + step * leaf_values(bins, tree)
+        score = score + step * leaf
 
 
 def _tree_rows(target: int, tree: int, nodes: dict) -> list[tuple]:
@@ -424,19 +488,35 @@ class _Compiled:
     def __init__(self, rows: list[tuple], targets: int, step: float):
         self.step = step
         self.starts = np.zeros(targets)
-        self.trees: list[dict[int, dict]] = [{} for _ in range(targets)]
+        nodes: list[dict[int, dict]] = [{} for _ in range(targets)]
         for k, t, node, f, b, v in rows:
             if t < 0:
                 self.starts[k] = v
             else:
-                self.trees[k].setdefault(t, {})[node] = (f, b, v)
+                nodes[k].setdefault(t, {})[node] = (f, b, v)
+        self.trees = [{t: self._arrays(tree) for t, tree in own.items()} for own in nodes]
+
+    @staticmethod
+    def _arrays(tree: dict[int, tuple[int, int, float]]) -> tuple:
+        """Levels, feature, cut, children and value by place; a leaf's children are itself."""
+        place = {n: i for i, n in enumerate(sorted(tree))}
+        feature, cut, value = (np.array(x) for x in zip(*(tree[n] for n in place), strict=True))
+        after = [[i, i] if f < 0 else [place[2 * n + 1], place[2 * n + 2]] for (n, i), f in zip(place.items(), feature.tolist(), strict=True)]
+        levels = max(n + 1 for n in tree).bit_length() - 1
+        return levels, np.maximum(feature, 0), cut, np.array(after).ravel(), value
 
     def staged(self, bins: np.ndarray, k: int, stops: Sequence[int]) -> Iterator[np.ndarray]:
         """Probabilities of target ``k`` after the first ``stop`` trees, for ascending stops."""
         score, t = np.full(len(bins), self.starts[k]), 0
+        cells, width = bins.ravel(), bins.shape[1]
+        first = np.arange(len(bins)) * width
         for stop in stops:
             while t < stop and t in self.trees[k]:
-                score = score + self.step * leaf_values(bins, self.trees[k][t])
+                levels, feature, cut, after, value = self.trees[k][t]
+                node = np.zeros(len(bins), np.int64)
+                for _ in range(levels):
+                    node = after.take(2 * node + (cells.take(first + feature.take(node)) > cut.take(node)))
+                score = score + self.step * value.take(node)
                 t += 1
             yield 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 

@@ -147,3 +147,38 @@ def test_passes_stay_in_spark(table):
 def test_parameters_per_name(table):
     with pytest.raises(ValueError, match="one number"):
         bt.fit_boosted(table, NAMES, trees=[1])
+
+
+def counted_afresh(bins, y, trees, depth, step):
+    """Trees from the histograms of all rows at every level."""
+    score = np.full(len(y), bt.prior(len(y), int(y.sum())))
+    for t in range(trees):
+        g, h = bt.gradients(y, score)
+        tree, nodes = {}, [0]
+        for level in range(depth + 1):
+            end = bt.descend(bins, tree)
+            place = np.array([nodes.index(e) if e in nodes else -1 for e in end.tolist()], np.int64)
+            here = place >= 0
+            nodes = bt.grown(bt.best_splits(bt.histograms(bins[here], place[here], len(nodes), g[here], h[here])), nodes, tree, level == depth)
+            if not nodes:
+                break
+        yield t, tree
+        score = score + step * bt.leaf_values(bins, tree)
+
+
+@pytest.mark.parametrize("rows, width, depth", [(2500, 9, 3), (300, 4, 6), (1, 1, 2), (0, 3, 2)])
+def test_lesser_children_are_counted_and_trees_stay(rows, width, depth, monkeypatch):
+    """A level below the first counts at most half of the rows, the last none; the trees are those of full counts."""
+    r = np.random.default_rng(rows)
+    bins = r.integers(0, bt.BINS, (rows, width)).astype(np.uint8)
+    y = (bins.sum(axis=1) + r.integers(0, 40, rows) > 16 * width + 20).astype(float)
+    counted, sums = [], bt.sums_of_rows
+    monkeypatch.setattr(bt, "sums_of_rows", lambda *a: counted.append(len(a[2])) or sums(*a))
+    got = list(bt.fit_target(bins, y, 4, depth, 0.1))
+    assert got == list(counted_afresh(bins, y, 4, depth, 0.1))
+    assert sum(counted) <= 4 * rows * (1 + (depth - 1) / 2)
+    model = bt._Compiled([x for t, nodes in got for x in bt._tree_rows(0, t, nodes)], 1, 0.1)
+    score = np.zeros(rows)
+    for _, tree in got:
+        score = score + 0.1 * bt.leaf_values(bins, tree)
+    assert np.array_equal(next(model.staged(bins, 0, [4])), 1 / (1 + np.exp(-score)))
