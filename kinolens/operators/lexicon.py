@@ -6,6 +6,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,9 @@ from kinolens.operators.aggregates import mean_sentence_score, weighted_sentence
 from kinolens.operators.tokens import cleaned_document, sentence_tokens
 from kinolens.session import materialise
 
+#: Words of a block of units; one longer unit is a block of its own.
+BLOCK_WORDS = 1 << 19
+
 TextScorer = Callable[[Sequence[str]], np.ndarray]
 
 
@@ -35,22 +41,55 @@ def learn_polarity(df: DataFrame, tokens, sentiment: str = "sentiment", smooth:
     return counts.select("word", ratio.alias("polarity"))
 
 
+def _in_blocks(units: DataFrame, words: str) -> DataFrame:
+    """``units`` with ``__block``: a number shared by neighbouring rows of a task with about ``BLOCK_WORDS`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column(words)), 0).to_numpy(zero_copy_only=False)
+            numbers = np.empty(batch.num_rows, np.int64)
+            for i, size in enumerate(sizes.tolist()):
+                if held and held + size > BLOCK_WORDS:
+                    number, held = number + 1, 0
+                numbers[i], held = number, held + size
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers)], [*batch.schema.names, "__block"])
+
+    return units.mapInArrow(run, T.StructType([*units.schema.fields, T.StructField("__block", T.LongType())]))
+
+
 def _score_words(units: DataFrame, keys, words: Column, lexicon: DataFrame) -> DataFrame:
     """Average polarity of the known words of each unit, and their share.
 
-    One pass: the number of words rides along as a group key, and words that
-    the lexicon lacks join to nothing, so units without any known word stay.
-    The lexicon is stored before the join: a word that most texts use is then
-    split by adaptive execution, which needs plain exchanges on both sides.
+    Units stand in blocks of bounded size, and only the different words of a
+    block meet the lexicon in a join; what they find goes back to the block,
+    whose units add it up. So the shuffles carry each text once and a block's
+    vocabulary, not a row per word and unit. Units without any known word stay;
+    units that repeat all keys and their number of words are one.
     """
     known = materialise(lexicon.select("word", "polarity"), "lexicon")
-    # The size is taken before the words are exploded, once per unit.
-    sized = units.select(*keys, F.size(words).cast("long").alias("total"), words.alias("__words"))
-    rows = sized.select(*keys, "total", F.inline_outer(count_words("__words")))
-    sums = rows.join(known, "word", "left").groupBy(*keys, "total").agg(
-        F.sum(F.col("polarity") * F.col("n")).alias("sum"),
-        F.sum(F.when(F.col("polarity").isNotNull(), F.col("n"))).alias("known"),
-    )
+    sized = units.select(*keys, words.cast("array<string>").alias("__words"))
+    sized = materialise(_in_blocks(sized, "__words"), "lexicon-units")
+    found = sized.select(F.col("__block").alias("block"), F.explode("__words").alias("word")).distinct().join(known, "word")
+    fields = [sized.schema[k] for k in keys]
+    schema = T.StructType([*fields, T.StructField("total", T.LongType()), T.StructField("sum", T.DoubleType()), T.StructField("known", T.LongType())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        column = left.column("__words").combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        unit = np.repeat(np.arange(len(sizes)), sizes)
+        # A block that finds nothing comes with a table without columns.
+        word, value = (right.column(c).combine_chunks() for c in ("word", "polarity")) if right.num_rows else (pa.array([], pa.string()), pa.array([], pa.float64()))
+        at = pc.index_in(column.flatten(), value_set=word, skip_nulls=True)
+        hit = pc.is_valid(at).to_numpy(zero_copy_only=False)
+        polarity = value.to_numpy(zero_copy_only=False)[at.drop_null().to_numpy()]
+        number = np.bincount(unit[hit], minlength=len(sizes))
+        sums = np.bincount(unit[hit], polarity, len(sizes)).astype(np.float64)
+        return pa.table([*[left.column(k) for k in keys], pa.array(sizes), pa.array(sums), pa.array(number.astype(np.int64))], [*keys, "total", "sum", "known"])
+
+    parts = sized.groupBy("__block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
+    sums = parts.groupBy(*keys, "total").agg(F.sum("sum").alias("sum"), F.sum("known").alias("known"))
     polarity = F.coalesce(F.try_divide("sum", "known"), F.lit(0.0))
     share = F.coalesce(F.try_divide("known", "total"), F.lit(0.0))
     return sums.select(*keys, polarity.alias("polarity"), share.alias("subjectivity"))

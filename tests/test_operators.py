@@ -260,3 +260,24 @@ def test_hot_film_is_split_in_the_text_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_lexicon_meets_the_words_of_blocks(spark, monkeypatch):
+    """Blocks of any size give the scores of plain loops; a frequent word meets the lexicon once per block, not once per text."""
+    texts = ["a b a x", "", None, "x x", "b " * 40, "a", "a a b c"] * 20
+    rows = [(i, None if t is None else t.split()) for i, t in enumerate(texts)] + [(None, ["a", None])]
+    df = spark.createDataFrame(rows, "id long, words array<string>").repartition(3)
+    lexicon = spark.createDataFrame([("a", 0.5), ("b", -1.0), ("never", 1.0)], "word string, polarity double")
+    value = {"a": 0.5, "b": -1.0}
+
+    def plain(words):
+        known = [value[w] for w in words or [] if w in value]
+        return (round(sum(known) / len(known), 9), round(len(known) / len(words), 9)) if known else (0.0, 0.0)
+
+    want = {(i, *plain(w)) for i, w in rows}
+    for size in (1, 7, 1 << 19):
+        monkeypatch.setattr(lx, "BLOCK_WORDS", size)
+        got = [(r.id, round(r.polarity, 9), round(r.subjectivity, 9)) for r in lx.lexicon_sentiment(df, "id", "words", lexicon).collect()]
+        assert set(got) == want and len(got) == len(want)
+    sized = lx._in_blocks(df, "words")
+    assert sized.select("__block").distinct().count() <= 3 and sized.count() == len(rows)
