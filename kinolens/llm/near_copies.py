@@ -27,12 +27,14 @@ in a shared list. Texts with equal sets are one node throughout.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinolens.llm.common import LOWER, NOT_SPACE, blocks, discard, keyed, mix, stored, word_hashes, word_spans
+from kinolens.llm.common import BLOCK_BYTES, LOWER, NOT_SPACE, blocks, discard, keyed, mix, stored, word_hashes, word_spans
 from kinolens.llm.components import components
 from kinolens.llm.repeats import rolling
 from kinolens.llm.simhash import first_rows
@@ -42,6 +44,9 @@ SIMILARITY = 0.8
 LIST_LENGTH = 32
 #: Most shingles that are ordered by their counts; 16 bytes each in a task.
 FREQUENT = 1 << 20
+#: Last bits of a hash that are left out where shingles are counted.
+CUT = 20
+_CUT = np.uint64(CUT)
 #: Ratio of neighbouring size classes.
 CLASS = 1.02
 #: Rounds with leaders; then only pairs of two groups that are not linked yet are compared.
@@ -81,14 +86,21 @@ def _node(shingles: np.ndarray) -> int:
     return int((mix(shingles + np.uint64(0x51ED2701)).sum(dtype=np.uint64) + np.uint64(len(shingles))).view(np.int64)) if len(shingles) else 0
 
 
+def _parts(batch: pa.RecordBatch, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``size`` bytes of text: the sets of a whole batch are several times its text."""
+    for first, _, offsets in blocks(batch.column("text"), size):
+        yield batch.slice(first, len(offsets) - 1)
+
+
 def _nodes(length: int):
     def run(batches):
         for batch in batches:
-            sets = shingle_sets(batch.column("text"), length)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("mark"), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32())],
-                ["doc", "mark", "node", "n"],
-            )
+            for part in _parts(batch):
+                sets = shingle_sets(part.column("text"), length)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc"), part.column("mark"), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32())],
+                    ["doc", "mark", "node", "n"],
+                )
 
     return run
 
@@ -96,7 +108,8 @@ def _nodes(length: int):
 def _whole(length: int):
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(shingle_sets(batch.column("text"), length))], ["node", "shingles"])
+            for part in _parts(batch):
+                yield pa.RecordBatch.from_arrays([part.column("node"), _lists(shingle_sets(part.column("text"), length))], ["node", "shingles"])
 
     return run
 
@@ -106,26 +119,57 @@ def _prefixes(length: int, similarity: float, values: np.ndarray, ranks: np.ndar
 
     def run(batches):
         for batch in batches:
-            out = []
-            for s in shingle_sets(batch.column("text"), length):
-                at = np.minimum(np.searchsorted(values, s), max(0, len(values) - 1))
-                often = values[at] == s if len(values) else np.zeros(len(s), bool)
-                ordered = np.concatenate([s[~often], s[often][np.argsort(ranks[at[often]], kind="stable")]]) if often.any() else s
-                out.append(ordered[: prefix_length(len(s), similarity)])
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), _lists(out)], ["node", "n", "prefix"])
+            for part in _parts(batch):
+                sets = [s for s in shingle_sets(part.column("text"), length) if len(s)]
+                out = []
+                for s in sets:
+                    key = s >> _CUT
+                    at = np.minimum(np.searchsorted(values, key), max(0, len(values) - 1))
+                    often = values[at] == key if len(values) else np.zeros(len(s), bool)
+                    ordered = np.concatenate([s[~often], s[often][np.argsort(ranks[at[often]], kind="stable")]]) if often.any() else s
+                    out.append(ordered[: prefix_length(len(s), similarity)])
+                yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), _lists(out)], ["node", "n", "prefix"])
+
+    return run
+
+
+def _dealt(length: int):
+    """slot, low: the shingles of some texts by their first bits, of each the next 32 bits."""
+
+    def run(batches):
+        for batch in batches:
+            for part in _parts(batch, 4 * BLOCK_BYTES):
+                key = np.sort(np.concatenate([np.zeros(0, np.uint64), *shingle_sets(part.column("text"), length)])) >> _CUT
+                slot = (key >> np.uint64(32)).astype(np.int64)
+                first = np.flatnonzero(np.concatenate([[True], np.diff(slot) != 0])) if len(slot) else slot
+                edges = np.append(first, len(slot)).astype(np.int32) * 4
+                low = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edges), pa.py_buffer(key.astype("<u4"))])
+                yield pa.RecordBatch.from_arrays([pa.array(slot[first], pa.int32()), low], ["slot", "low"])
+
+    return run
+
+
+def _counted(least: int):
+    def run(group: pa.Table) -> pa.Table:
+        low = np.frombuffer(b"".join(group.column("low").to_pylist()), "<u4")
+        low, c = np.unique(low, return_counts=True)
+        often = c > least
+        s = (np.int64(group.column("slot")[0].as_py()) << np.int64(32)) + low[often].astype(np.int64)
+        return pa.table([pa.array(s, pa.int64()), pa.array(c[often], pa.int64())], ["s", "c"])
 
     return run
 
 
 def frequent(texts: DataFrame, length: int = SHINGLE, least: int = LIST_LENGTH, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, and ranks by count of the shingles in more than ``least`` texts; at most ``most``.
+    """First bits of hashes, ascending, and ranks by count of the shingles that stand more than ``least`` times; at most ``most``.
 
-    The least count is raised by powers of two until no more than ``most`` are
-    left, so only a histogram of a few rows and the shingles wanted reach the
-    driver.
+    All shingles are counted, by the first ``64 - CUT`` bits of their hashes,
+    which also order them; four bytes each are shuffled. The least count is
+    raised by powers of two until no more than ``most`` are left, so only a
+    histogram of a few rows and the shingles wanted reach the driver.
     """
-    shingles = texts.mapInArrow(_whole(length), "node bigint, shingles array<bigint>").select(F.explode("shingles").alias("s"))
-    counts = stored(shingles.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > least), "near-frequent")
+    dealt = texts.select("text").mapInArrow(_dealt(length), "slot int, low binary")
+    counts = stored(dealt.groupBy("slot").applyInArrow(_counted(least), "s bigint, c bigint"), "near-frequent")
     sizes = {r.p: r.k for r in counts.groupBy(F.floor(F.log2("c")).alias("p")).agg(F.count(F.lit(1)).alias("k")).collect()}
     power, total = max(sizes, default=0) + 1, 0
     while power > 0 and total + sizes.get(power - 1, 0) <= most:
@@ -192,12 +236,10 @@ def _classes(long: DataFrame) -> DataFrame:
 
 def near_copy_links(rows: DataFrame, texts: DataFrame, length: int = SHINGLE, similarity: float = SIMILARITY, list_length: int = LIST_LENGTH, rounds: int = ROUNDS) -> DataFrame:
     """(a, b): links between similar nodes whose components are those of all of them."""
-    nodes = rows.where("n > 0").groupBy("node", "n").agg(F.min(F.struct("doc", "mark")).alias("r")).select("r.doc", "r.mark", "node", "n")
-    nodes = stored(nodes, "near-nodes")
-    own = stored(texts.join(nodes, ["doc", "mark"]).dropDuplicates(["node"]).select("node", "n", "text"), "near-texts")
-    values, ranks = frequent(own, length, list_length)
-    prefixes = own.mapInArrow(_prefixes(length, similarity, values, ranks), "node bigint, n int, prefix array<bigint>")
-    prefixes = stored(prefixes, "near-prefixes")
+    values, ranks = frequent(texts, length, list_length)
+    # Prefixes, not texts, are shuffled to leave one of each set.
+    prefixes = texts.select("text").mapInArrow(_prefixes(length, similarity, values, ranks), "node bigint, n int, prefix array<bigint>")
+    prefixes = stored(prefixes.dropDuplicates(["node"]), "near-prefixes")
     postings = _postings(prefixes, similarity)
     shared = stored(postings.groupBy("list").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-lists")
     members = stored(postings.join(shared, "list"), "near-members")
@@ -206,8 +248,9 @@ def near_copy_links(rows: DataFrame, texts: DataFrame, length: int = SHINGLE, si
     short = members.where(F.col("size") <= list_length).drop("size")
     split = _classes(members.where(F.col("size") > list_length).drop("size"))
     asked = members.select("node").distinct()
-    sets = stored(own.join(asked, "node", "left_semi").select("node", "text").mapInArrow(_whole(length), "node bigint, shingles array<bigint>"), "near-sets")
-    discard(own)
+    chosen = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc", "mark")).alias("r")).select("r.doc", "r.mark", "node")
+    own = texts.join(stored(chosen, "near-chosen"), ["doc", "mark"]).dropDuplicates(["doc", "mark"])
+    sets = stored(own.select("node", "text").mapInArrow(_whole(length), "node bigint, shingles array<bigint>"), "near-sets")
 
     pairs = _pairs(short).union(_pairs(split.where(F.col("size") <= list_length).drop("size"))).distinct()
     links = stored(_compared(pairs, sets, similarity).where("linked").select("a", "b"), "near-links")

@@ -97,3 +97,28 @@ def test_stage_drops_near_copies(spark):
     docs = spark.createDataFrame(planted(), "doc_id bigint, text string")
     stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
     assert not {10 * g + k for g in range(12) for k in (1, 2)} & {r.doc_id for r in stage(spark, docs, "").collect()}
+
+
+def test_sets_leave_in_parts():
+    """What a task holds at a time does not grow with the rows of a batch."""
+    import pyarrow as pa
+
+    r = random.Random(8)
+    text = " ".join(words(r, 2000))
+    batch = pa.record_batch({"node": pa.array(range(400)), "text": pa.array([text] * 400)})
+    parts = list(near_copies._whole(5)([batch]))
+    assert sum(p.num_rows for p in parts) == 400 and [i for p in parts for i in p.column("node").to_pylist()] == list(range(400))
+    assert max(p.nbytes for p in parts) < 4 << 20
+
+
+def test_frequent_counts_all_shingles(spark):
+    r = random.Random(9)
+    common, seldom = words(r, 12), words(r, 9)
+    rows = [(" ".join([*common, *words(r, 5)]),) for _ in range(40)] + [(" ".join([*seldom, *words(r, 5)]),) for _ in range(35)] + [(None,)]
+    values, ranks = near_copies.frequent(spark.createDataFrame(rows, "text string").repartition(3).selectExpr("coalesce(text, '') as text"), 5, 32)
+    import pyarrow as pa
+
+    cut = lambda w: near_copies.shingle_sets(pa.array([" ".join(w)]))[0] >> near_copies._CUT
+    assert sorted(values.tolist()) == sorted([*cut(common).tolist(), *cut(seldom).tolist()])
+    rank = dict(zip(values.tolist(), ranks.tolist(), strict=True))
+    assert max(rank[s] for s in cut(seldom).tolist()) < min(rank[s] for s in cut(common).tolist())
