@@ -8,7 +8,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -21,6 +21,9 @@ from kinolens.functions.text import count_words
 HEX = "0123456789abcdef"
 PARITY = "0101010101010101"
 
+#: Documents whose words are Python objects at a time.
+DOC_ROWS = 500
+
 Scorer = Callable[[Sequence[str]], np.ndarray]
 
 
@@ -36,34 +39,57 @@ def word_signs(word, dim: int) -> Column:
 
 
 class SignTable:
-    """Signs of words as numpy rows, computed once per word and task.
+    """Signs of words as rows of one numpy table, computed once per word and task.
 
-    The memo is emptied when it is full, so a task with a very large
+    The table is emptied when it is full, so a task with a very large
     vocabulary keeps its memory; the signs themselves are always recomputable.
     """
 
     def __init__(self, dim: int, max_words: int = 50_000):
         self.dim, self.max_words, self.memo = dim, max_words, {}
         self.blocks = [f"#{b}".encode() for b in range((dim + 31) // 32)]
+        self.table = np.zeros((0, dim), np.int8)
+
+    def _learn(self, words: list[str]) -> None:
+        raw = b"".join(hashlib.md5(stem + b).digest() for stem in (w.encode() for w in words) for b in self.blocks)
+        digits = np.frombuffer(raw, np.uint8).reshape(len(words), -1)
+        digits = np.stack([digits >> 4, digits], axis=2).reshape(len(words), -1)[:, : self.dim]
+        first = len(self.memo)
+        while first + len(words) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((max(1024, len(self.table)), self.dim), np.int8)])
+        self.table[first : first + len(words)] = 1 - 2 * (digits & 1).astype(np.int8)
+        self.memo.update(zip(words, range(first, first + len(words)), strict=True))
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """The rows of ``table`` that hold the signs of different words, good until the next call; at most ``max_words`` words."""
+        found = list(map(self.memo.get, words))
+        missing = [w for w, p in zip(words, found, strict=True) if p is None]
+        if missing:
+            if len(self.memo) + len(missing) > self.max_words:
+                self.memo.clear()
+                missing = words
+            self._learn(missing)
+            found = list(map(self.memo.__getitem__, words))
+        return np.array(found, np.int64)
 
     def row(self, word: str) -> np.ndarray:
-        found = self.memo.get(word)
-        if found is None:
-            stem = word.encode()
-            raw = np.frombuffer(b"".join(hashlib.md5(stem + b).digest() for b in self.blocks), np.uint8)
-            digits = np.stack([raw >> 4, raw], axis=1).reshape(-1)[: self.dim]
-            found = (1 - 2 * (digits & 1).astype(np.int8)).astype(np.int8)
-            if len(self.memo) >= self.max_words:
-                self.memo.clear()
-            self.memo[word] = found
-        return found
+        place = self.places([word])[0]
+        return self.table[place]
 
     def total(self, words, counts) -> np.ndarray:
         """Sum of the signs of ``words``, each taken ``count`` times."""
-        out = np.zeros(self.dim, np.int64)
-        for at in range(0, len(words), 4096):
-            rows = np.stack([self.row(w) for w in words[at : at + 4096]])
-            out += np.asarray(counts[at : at + 4096], np.int64) @ rows
+        return self.totals([words], [counts])[0]
+
+    def totals(self, words, counts) -> np.ndarray:
+        """The same for several documents: [document, dim]; whole numbers as doubles."""
+        out = np.zeros((len(words), self.dim))
+        for k, (w, n) in enumerate(zip(words, counts, strict=True)):
+            for at in range(0, len(w), 4096):
+                some = np.asarray(n[at : at + 4096], np.int64)
+                # Floats multiply by BLAS; they hold whole numbers up to 2^24 exactly, doubles up to 2^53.
+                kind = np.float32 if some.sum() < 1 << 24 else np.float64
+                places = self.places(list(w[at : at + 4096]))
+                out[k] += some.astype(kind) @ self.table[places].astype(kind)
         return out
 
 
@@ -93,20 +119,30 @@ def doc_vectors(df: DataFrame, key: str, tokens, dim: int = 300, combine: str =
         held = held.withColumn(f"__c{s}", count_words(part))
         columns += [F.col(f"__c{s}.word").alias(f"w{s}"), F.col(f"__c{s}.n").alias(f"n{s}")]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = SignTable(dim // n_parts)
-        for frame in frames:
-            parts = [
-                np.array([table.total(w, n) for w, n in zip(frame[f"w{s}"], frame[f"n{s}"])], float).reshape(len(frame), -1)
-                for s in range(n_parts)
-            ]
-            vectors = np.hstack(parts)
+        for part in _row_runs(batches, DOC_ROWS):
+            words, counts = ([part.column(f"{c}{s}").to_pylist() for s in range(n_parts)] for c in "wn")
+            vectors = np.hstack([table.totals(w, n) for w, n in zip(words, counts, strict=True)])
             if combine == "mean":
-                vectors /= np.maximum([n.sum() for n in frame["n0"]], 1)[:, None]
-            yield pd.DataFrame({key: frame[key].to_numpy(), "vec": list(vectors)})
+                vectors /= np.maximum([sum(n) for n in counts[0]], 1)[:, None]
+            yield _vector_batch(part.column(key), key, vectors)
 
     schema = T.StructType([df.schema[key], T.StructField("vec", T.ArrayType(T.DoubleType()))])
-    return held.select(key, *columns).mapInPandas(run, schema)
+    return held.select(key, *columns).mapInArrow(run, schema)
+
+
+def _row_runs(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows; none of the given ones is copied."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _vector_batch(keys: pa.Array, key: str, vectors: np.ndarray) -> pa.RecordBatch:
+    rows, dim = vectors.shape
+    cells = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * dim), pa.array(vectors.ravel()))
+    return pa.RecordBatch.from_arrays([keys, cells], [key, "vec"])
 
 
 # ---- pluggable batch scorers ----
@@ -137,15 +173,13 @@ def score_batches(df: DataFrame, key: str, text: str, scorer: Scorer, batch: int
     """
     key_field = df.schema[key]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), batch):
-                part = frame.iloc[at : at + batch]
-                vectors = np.asarray(scorer(part[text].tolist()), dtype=float)
-                yield pd.DataFrame({key: part[key].to_numpy(), "vec": list(vectors)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _row_runs(batches, batch):
+            vectors = np.asarray(scorer(part.column(text).to_pylist()), dtype=float)
+            yield _vector_batch(part.column(key), key, vectors)
 
     schema = T.StructType([T.StructField(key, key_field.dataType), T.StructField("vec", T.ArrayType(T.DoubleType()))])
-    return df.select(key, text).mapInPandas(run, schema)
+    return df.select(key, text).mapInArrow(run, schema)
 
 
 # ---- trained word vectors ----

@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +152,17 @@ def test_sign_table_forgets_but_stays_right():
     assert len(small.memo) <= 2
 
 
+def test_sign_table_adds_exactly_and_small():
+    table = vc.SignTable(300, max_words=5000)
+    words = [f"w{i}" for i in range(9000)]
+    counts = [1 + i % 3 for i in range(9000)]
+    counts[0] = (1 << 40) + 1
+    want = sum(n * table.row(w).astype(np.int64) for w, n in zip(words, counts, strict=True))
+    assert table.totals([words, []], [counts, []]).tolist() == [want.tolist(), [0.0] * 300]
+    # One table of bytes, not an array object per word.
+    assert table.table.nbytes <= 2 * 5000 * 300 and len(table.memo) <= 5000
+
+
 def test_sum_vectors_keeps_unknown_documents(spark):
     df = spark.createDataFrame([(1, ["a", "a", "z"]), (2, ["z"]), (3, [])], "k int, w array<string>")
     table = spark.createDataFrame([("a", [1.0, 2.0])], "word string, vec array<double>")

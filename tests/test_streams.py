@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from kinolens.operators.ranking import longest_review
 from kinolens.operators.tables import update_by_key
-from kinolens.operators.vectors import hash_scorer
+from kinolens.operators.vectors import hash_scorer, score_batches
 from kinolens.session import fresh_dir
 from kinolens.streaming import streams as sm
 
@@ -134,3 +134,11 @@ def test_a_table_may_be_a_file_or_a_folder(spark):
         out = fresh_dir(spark, "out")
         sm.run_to_end(sm.stream_score(_arriving(spark, base, name), lambda s: s, out, fresh_dir(spark, "ckpt")))
         assert sorted(map(tuple, spark.read.parquet(out).collect())) == [(i, f"t{i}") for i in range(5)]
+
+
+def test_the_scorer_gets_lists_of_a_batch_and_keys_stay_whole(spark):
+    big = (1 << 60) + 1
+    rows = spark.createDataFrame([(big + i if i % 5 else None, None if i == 3 else f"t{i}") for i in range(25)], "id long, text string").coalesce(1)
+    got = score_batches(rows, "id", "text", lambda texts: [[float(len(texts)), float(texts.count(None))] for _ in texts], 10).collect()
+    assert [r.vec[0] for r in got] == [10.0] * 20 + [5.0] * 5 and sum(r.vec[1] for r in got) == 10.0
+    assert [r.id for r in got] == [big + i if i % 5 else None for i in range(25)]
