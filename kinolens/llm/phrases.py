@@ -225,16 +225,32 @@ def next_blocks(held: DataFrame, known: DataFrame, last: bool) -> DataFrame:
 
 
 def known_words(held: DataFrame, words: DataFrame) -> DataFrame:
-    """(of, locals, ids) of the frequent words of each block."""
+    """(of, locals, ids) of the frequent words of each block, one row per block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, parts = None, []
+
+        def packed():
+            local, ids = (np.concatenate(c) for c in zip(*parts, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array([of], pa.int64()), _packed(local, np.array([0, len(local)])), pa.array([ids.astype("<i8").tobytes()], pa.binary())], ["of", "locals", "ids"])
+
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), _packed(batch.column("local").to_numpy(), np.arange(batch.num_rows + 1)), batch.column("id").view(pa.binary(8)).cast(pa.binary())], ["of", "locals", "ids"]
-            )
+            block, local, ids = (batch.column(c).to_numpy() for c in ("block", "local", "id"))
+            edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for at, stop in zip(edges[:-1], edges[1:], strict=True):
+                if at == stop:
+                    continue
+                if parts and block[at] != of:
+                    yield packed()
+                    parts = []
+                of = int(block[at])
+                parts.append((local[at:stop], ids[at:stop]))
+        if parts:
+            yield packed()
 
     units = held.where("seq is null").select("block", "local", "lang", "word")
-    return units.join(words.select("id", "lang", "word").hint("shuffle_hash"), ["lang", "word"]).select("block", "local", "id").mapInArrow(run, "of long, locals binary, ids binary")
+    known = units.join(words.select("id", "lang", "word").hint("shuffle_hash"), ["lang", "word"]).select("block", "local", "id")
+    return known.repartition("block").sortWithinPartitions("block").mapInArrow(run, "of long, locals binary, ids binary")
 
 
 def tile_counts(held: DataFrame) -> DataFrame:

@@ -111,3 +111,17 @@ def test_scores_beyond_64_bits(spark):
     a, n, l, r = 3 * 10**11, 25 * 10**12, 4 * 10**11, 7 * 10**11
     row = spark.range(1).selectExpr(f"cast(1000 as decimal(38,0)) * {a}L * {n}L div (cast({l}L as decimal(38,0)) * {r}L) as score").first()
     assert row.score == 1000 * a * n // (l * r)
+
+
+def test_known_words_has_a_row_per_block(spark):
+    """What a block learns of its words leaves the tasks in one row, however many words are frequent."""
+
+    held = spark.createDataFrame(
+        [(b, None, "en", f"w{i}", i, 1) for b in range(7) for i in range(200)] + [(b, b"seq", None, None, None, None) for b in range(7)], phrases.WORDS
+    ).repartition(5)
+    words = spark.createDataFrame([(1000 + i, "en", f"w{i}") for i in range(0, 200, 2)] + [(5, "de", "w1")], "id long, lang string, word string")
+    rows = phrases.known_words(held, words).collect()
+    assert sorted(r.of for r in rows) == list(range(7))
+    for r in rows:
+        pairs = zip(np.frombuffer(r.locals, "<u4").tolist(), np.frombuffer(r.ids, "<i8").tolist(), strict=True)
+        assert sorted(pairs) == [(i, 1000 + i) for i in range(0, 200, 2)]
