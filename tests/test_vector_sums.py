@@ -59,3 +59,18 @@ def test_no_rows(spark):
     table = spark.createDataFrame([("a", [1.0] * DIM)], "word string, vec array<double>")
     assert ag.sum_vectors(docs, "k", F.col("w"), table, DIM).collect() == []
     assert ag.sum_vectors(spark.createDataFrame([("x", ["a"])], docs.schema), "k", F.col("w"), table.limit(0), DIM).collect()[0].vec == [0.0] * DIM
+
+
+def test_word_vectors_are_made_once(spark):
+    """The table of vectors may cost a pass over all texts: it is not counted and then fetched."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    table = spark.createDataFrame([("a", [1.0] * DIM), (None, [9.0] * DIM)], "word string, vec array<double>").coalesce(1).mapInArrow(seen, "word string, vec array<double>")
+    docs = spark.createDataFrame([("k", ["a", "a"])], "k string, w array<string>")
+    got = ag.sum_vectors(docs, "k", F.col("w"), table, DIM).collect()
+    assert [(r.vec, r.known) for r in got] == [([2.0] * DIM, 2)] and made.value == 2
