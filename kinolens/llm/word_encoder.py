@@ -39,6 +39,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.kind = np.uint16 if max(vocabulary.values()) < 1 << 16 else np.uint32
+        #: Lower-case ASCII words pass the file's normalizer and pre-tokenizer as they are, so its model alone has their ids.
+        self.model = self.tokenizer.model
+        self.direct = not any(t.content.isalpha() for t in self.tokenizer.get_added_tokens_decoder().values())
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.most = memo
@@ -53,6 +56,11 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
     def _learn(self, parts: list[str]) -> None:
+        if self.direct:
+            simple = [p for p in parts if p.isascii() and p.isalpha()]
+            tokenize = self.model.tokenize
+            self._add_lists(simple, [[t.id for t in tokenize(p)] for p in simple])
+            parts = [p for p in parts if not (p.isascii() and p.isalpha())]
         plain = [p for p in parts if p.isalpha()]
         rest = [p for p in parts if not p.isalpha()]
         for k in range(0, len(plain), 4096):
@@ -65,8 +73,10 @@ class WordEncoder:
             else:
                 rest += some
         if rest:
-            found = [e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)]
-            self._add(rest, np.array([i for ids in found for i in ids], self.kind), np.array([len(ids) for ids in found], np.int64))
+            self._add_lists(rest, [e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)])
+
+    def _add_lists(self, parts: list[str], found: list[list[int]]) -> None:
+        self._add(parts, np.array([i for ids in found for i in ids], self.kind), np.array([len(ids) for ids in found], np.int64))
 
     def _add(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         n, at = len(self.memo), self.used
@@ -104,7 +114,7 @@ class WordEncoder:
         values = np.where(np.repeat(wide, sizes), values, LOWER[values])
         edges = np.append(firsts, total).astype(np.int32)
         parts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(edges), pa.py_buffer(values)).dictionary_encode()
-        words = parts.dictionary.to_pylist()
+        words = parts.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist() makes a scalar of each first
         if len(self.memo) + len(words) > self.most:
             self.clear()
         missing = [w for w in words if w not in self.memo]

@@ -114,3 +114,16 @@ def test_files_of_awkward_rows(spark):
 def test_no_rows_no_files(spark):
     files = token_files.write_token_files(spark.createDataFrame([], "doc_id long, text string"))
     assert files.count() == 0 and token_files.read_tokens(files).count() == 0
+
+
+def test_plain_words_need_only_the_model(monkeypatch):
+    """Lower-cased ASCII words take the tokenizer's model alone; all other parts still take the whole library."""
+    texts = ["The cat sat ON internationalisation", "Straße ſ K it's x1y <|a", "zz" * 400, None]
+    expected = library_ids(texts)
+    coder = WordEncoder(MODEL)
+    ids, n = coder.encode(pa.array(texts))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(n)[:-1])] == expected
+    bare = WordEncoder(MODEL)
+    monkeypatch.setattr(bare, "whole", None)
+    ids, n = bare.encode(pa.array(texts[:1]))
+    assert ids.tolist() == expected[0]
