@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from kinolens.session import fresh_dir
 
 BLOCK_BYTES = 1 << 20
+#: Whole texts leave a task so many at a time, so that neither side holds a second copy of a large batch.
+ROWS_OUT = 500
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SHIFTS = tuple(np.uint64(s) for s in (30, 27, 31))

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinolens.llm.common import LETTERS, LOWER, blocks, stored, word_hashes, word_spans
+from kinolens.llm.common import LETTERS, LOWER, ROWS_OUT, blocks, stored, word_hashes, word_spans
 
 WINDOW = 13
 #: Words of the items that one automaton holds; more items go into further automata, one pass each.
@@ -160,6 +161,12 @@ def contaminated_spans(
     holds one automaton), and the documents are never shuffled. Null texts have no words; an item without words has no window.
     Repeated rows and items count as often as they occur, an item once per id.
     """
+    out, judge, schema = _judged(docs, benchmark, key, text, item, item_text, window, min_share, carry, block_words)
+    return out.mapInArrow(judge, schema)
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str, window: int, min_share: float, carry: bool, block_words: int):
+    """Rows with the hits of all blocks but the last, the pass over the last block that sums up, and the columns that pass makes."""
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
     kind = docs.schema[key].dataType.simpleString()
     out = docs.select(
@@ -172,7 +179,7 @@ def contaminated_spans(
     scan, sum_up = _scanner(last, window), _summary(min_share)
     tail = f", row {out.schema['row'].dataType.simpleString()}" if carry else ""
     schema = f"`{key}` {kind}, n_words bigint, n_hit bigint, hits array<struct<start:int,end:int>>, items array<string>, contaminated boolean{tail}"
-    return out.mapInArrow(lambda batches: sum_up(scan(batches)), schema)
+    return out, lambda batches: sum_up(scan(batches)), schema
 
 
 def _scanner(items: list[tuple[str, str]], window: int):
@@ -258,24 +265,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     A cut span takes the bytes from its first to its last word. All other
     columns stay; ``n_chars``, if there is one, is counted anew for cut texts.
     """
-    judged = contaminated_spans(docs, benchmark, key, text, window=window, min_share=min_share, carry=True)
+    out, judge, _ = _judged(docs, benchmark, key, text, "item_id", "text", window, min_share, True, BLOCK_WORDS)
+    at = docs.columns.index(text)
 
+    # One map for judging and cutting: each further one would hold another Python worker per core.
     def run(batches):
-        for batch in batches:
-            texts, hits = batch.column("__old").to_pylist(), batch.column("hits").to_pylist()
-            cut = []
-            for t, spans in zip(texts, hits, strict=True):
-                if t is not None and spans:
-                    raw, at, kept = t.encode(), 0, []
-                    for s in spans:
-                        kept.append(raw[at : s["start"]])
-                        at = s["end"]
-                    t = b"".join([*kept, raw[at:]]).decode()
-                cut.append(t)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(cut, pa.string())], ["row", "__new"])
-
-    kept = judged.where(~F.col("contaminated")).select("row", F.col(f"row.`{text}`").alias("__old"), "hits")
-    kept = kept.mapInArrow(run, f"row {kept.schema['row'].dataType.simpleString()}, __new string")
+        for batch in judge(batches):
+            batch = batch.filter(pc.invert(batch.column("contaminated")))
+            texts, hits = batch.column("row").field(at), batch.column("hits")
+            for start in range(0, batch.num_rows, ROWS_OUT):
+                cut = []
+                for t, spans in zip(texts.slice(start, ROWS_OUT).to_pylist(), hits.slice(start, ROWS_OUT).to_pylist(), strict=True):
+                    if t is not None and spans:
+                        raw, end, kept = t.encode(), 0, []
+                        for s in spans:
+                            kept.append(raw[end : s["start"]])
+                            end = s["end"]
+                        t = b"".join([*kept, raw[end:]]).decode()
+                    cut.append(t)
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(start, ROWS_OUT), pa.array(cut, pa.string())], ["row", "__new"])
+
+    kept = out.mapInArrow(run, f"row {out.schema['row'].dataType.simpleString()}, __new string")
     columns = []
     for c in docs.columns:
         value = F.col(f"row.`{c}`")

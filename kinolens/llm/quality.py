@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinolens.llm.common import NOT_SPACE, blocks, byte_set, pair, stored, word_hashes, word_spans
+from kinolens.llm.common import NOT_SPACE, ROWS_OUT, blocks, byte_set, pair, stored, word_hashes, word_spans
 
 STATISTICS = (
     "bytes", "upper", "digits", "punctuation", "symbols", "high", "newlines", "distinct words", "distinct pairs",
@@ -228,6 +228,8 @@ def keep_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(model.scores(text_statistics(batch.column(batch.schema.names.index(text)))) >= THRESHOLD))
+            keep = pa.array(model.scores(text_statistics(batch.column(batch.schema.names.index(text)))) >= THRESHOLD)
+            for at in range(0, batch.num_rows, ROWS_OUT):
+                yield batch.slice(at, ROWS_OUT).filter(keep.slice(at, ROWS_OUT))
 
     return docs.mapInArrow(run, docs.schema)

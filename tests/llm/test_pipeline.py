@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 from kinolens.llm.common import documents, stored
+from kinolens.llm.decontaminate import decontaminate
 from kinolens.llm.sentencepiece_codec import PieceCodec, model_path
 from tests.llm import brute
 
@@ -49,3 +50,20 @@ def test_run(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert 0 < got.count() < 200
     assert [name for name, _ in corpus_pipeline.STAGES][-1].startswith("SentencePiece")
+
+
+def test_decontamination_holds_one_worker_per_core(spark):
+    """Judging and cutting are one map, and its rows are those of the judgement with the spans cut out."""
+    words = [f"w{i}" for i in range(60)]
+    leak = " ".join(f"q{i}" for i in range(20))
+    rows = [(i, " ".join(words * 10) + (f" {leak} " if i % 3 == 0 else " ") + f"end{i}", 7) for i in range(1200)]
+    rows += [(5000, leak, 1), (5001, None, 2), (5002, "", 3), (None, f"x {leak}", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").coalesce(1)
+    items = spark.createDataFrame([("a", leak)], "item_id string, text string")
+    kept = decontaminate(docs, items)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    expected = []
+    for i, t, n in rows[:1200] + rows[1201:1203]:
+        cut = t and t.replace(leak, "")
+        expected.append((i, cut, n if cut == t else len(cut)))
+    assert [tuple(r) for r in kept.collect()] == expected
