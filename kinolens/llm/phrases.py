@@ -44,6 +44,8 @@ _WORD = byte_set(lambda b: b not in b".,;:!? \t" and not 0x0A <= b <= 0x0D)
 SIDE = 31
 #: Blocks whose rows of one tile are looked up in one group; a tile of more blocks is split.
 SLICE_BLOCKS = 256
+#: Partitions of the texts whose blocks stand in one list of a word; a power of two.
+PART_SPAN = 256
 #: Pairs that a task holds while it adds up blocks.
 HELD_PAIRS = 1 << 22
 
@@ -225,32 +227,38 @@ def next_blocks(held: DataFrame, known: DataFrame, last: bool) -> DataFrame:
 
 
 def known_words(held: DataFrame, words: DataFrame) -> DataFrame:
-    """(of, locals, ids) of the frequent words of each block, one row per block."""
+    """(of, locals, ids) of the frequent words of each block, one row per block.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, parts = None, []
-
-        def packed():
-            local, ids = (np.concatenate(c) for c in zip(*parts, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array([of], pa.int64()), _packed(local, np.array([0, len(local)])), pa.array([ids.astype("<i8").tobytes()], pa.binary())], ["of", "locals", "ids"])
+    The blocks of a word are gathered before it meets the frequent words, so
+    the join has a row per word and not one per word and block. A list holds the
+    blocks of PART_SPAN partitions at most, whatever the input.
+    """
 
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # From lists of blocks by word to lists of words by block.
         for batch in batches:
-            block, local, ids = (batch.column(c).to_numpy() for c in ("block", "local", "id"))
-            edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
-            for at, stop in zip(edges[:-1], edges[1:], strict=True):
-                if at == stop:
-                    continue
-                if parts and block[at] != of:
-                    yield packed()
-                    parts = []
-                of = int(block[at])
-                parts.append((local[at:stop], ids[at:stop]))
-        if parts:
-            yield packed()
-
-    units = held.where("seq is null").select("block", "local", "lang", "word")
-    known = units.join(words.select("id", "lang", "word").hint("shuffle_hash"), ["lang", "word"]).select("block", "local", "id")
-    return known.repartition("block").sortWithinPartitions("block").mapInArrow(run, "of long, locals binary, ids binary")
+            at = batch.column("at")
+            both = at.flatten()
+            block, local = both.field("block").to_numpy(), both.field("local").to_numpy()
+            ids = np.repeat(batch.column("id").to_numpy(), pa.compute.list_value_length(at).to_numpy())
+            order = np.argsort(block, kind="stable")
+            edges = np.flatnonzero(np.diff(block[order], prepend=-1, append=-1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block[order][edges[:-1]]), _packed(local[order], edges), pa.BinaryArray.from_buffers(
+                    pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 8).astype(np.int32)), pa.py_buffer(ids[order].astype("<i8"))]
+                )], ["of", "locals", "ids"],
+            )
+
+    def gathered(table: pa.Table) -> pa.Table:
+        both = [pa.array([b"".join(table.column(c).to_pylist())], pa.binary()) for c in ("locals", "ids")]
+        return pa.table([table.column("of").slice(0, 1), *both], names=["of", "locals", "ids"])
+
+    units = held.where("seq is null").select("block", "local", "lang", "word").repartition("lang", "word")
+    span = F.shiftright("block", 32 + PART_SPAN.bit_length() - 1)
+    lists = units.groupBy("lang", "word", span.alias("span")).agg(F.collect_list(F.struct("block", "local")).alias("at"))
+    known = lists.join(words.select("id", "lang", "word").hint("shuffle_hash"), ["lang", "word"]).select("id", "at")
+    kind = "of long, locals binary, ids binary"
+    return known.mapInArrow(spread, kind).groupBy("of").applyInArrow(gathered, kind)
 
 
 def tile_counts(held: DataFrame) -> DataFrame:

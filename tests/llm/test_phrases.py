@@ -125,3 +125,15 @@ def test_known_words_has_a_row_per_block(spark):
     for r in rows:
         pairs = zip(np.frombuffer(r.locals, "<u4").tolist(), np.frombuffer(r.ids, "<i8").tolist(), strict=True)
         assert sorted(pairs) == [(i, 1000 + i) for i in range(0, 200, 2)]
+
+
+def test_known_words_joins_a_row_per_word(spark):
+    """The blocks of a word are gathered in front of the join, in spans of partitions; none is lost or doubled."""
+    at = [(p << 32) + b for p in (0, 1, phrases.PART_SPAN, 3 * phrases.PART_SPAN + 1) for b in range(3)]
+    held = spark.createDataFrame([(b, None, "en", f"w{i}", i, 1) for b in at for i in range(b % 3, 60)], phrases.WORDS).repartition(4)
+    words = spark.createDataFrame([(1000 + i, "en", f"w{i}") for i in range(0, 60, 2)] + [(5, "und", "w1")], "id long, lang string, word string")
+    known = phrases.known_words(held, words)
+    rows = {r.of: dict(zip(np.frombuffer(r.locals, "<u4").tolist(), np.frombuffer(r.ids, "<i8").tolist(), strict=True)) for r in known.collect()}
+    assert rows == {b: {i: 1000 + i for i in range(60) if i % 2 == 0 and i >= b % 3} for b in at}
+    plan = known._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("collect_list")
