@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinolens.llm.common import documents, stored
+from kinolens.llm.common import arrow_rows, documents, stored
 from kinolens.llm.decontaminate import decontaminate
 from kinolens.llm.near_copies import keep_first_copy
 from kinolens.llm.pii import redact
@@ -31,7 +31,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: first by fingerprints, then by exact five-word similarity."""
-    return keep_first_copy(stored(near_duplicates(spark, docs, sf_dir), "near-fingerprints"))
+    with arrow_rows(spark, 1000):
+        return keep_first_copy(stored(near_duplicates(spark, docs, sf_dir), "near-fingerprints"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,18 @@ def freed_shuffles(spark: SparkSession):
             spark.conf.set(setting, before)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows in what is run here: neither Spark nor a Python worker holds many texts at a time."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

@@ -22,7 +22,11 @@ is left of the lists is compared in pairs of different groups, so no link that
 joins two groups is lost.
 
 Pairs are verified by their whole sets, which are built only for texts that are
-in a shared list. Texts with equal sets are one node throughout.
+in a shared list and kept in ``SLICES`` ranges of hashes. What two sets share is
+the sum over the ranges, so pairs meet one range at a time and only that range
+is shuffled. Where the distance of unlinked pairs is not needed, a pair leaves as
+soon as the ranges ahead can't make it similar enough. Texts with equal sets are
+one node throughout.
 """
 
 from __future__ import annotations
@@ -51,6 +55,9 @@ _CUT = np.uint64(CUT)
 CLASS = 1.02
 #: Rounds with leaders; then only pairs of two groups that are not linked yet are compared.
 ROUNDS = 3
+#: Ranges of hashes that whole sets are compared in, one after the other.
+SLICES = 4
+SLICE_NAMES = [f"s{k}" for k in range(SLICES)]
 
 
 def shingle_sets(column, length: int = SHINGLE) -> list[np.ndarray]:
@@ -106,10 +113,16 @@ def _nodes(length: int):
 
 
 def _whole(length: int):
+    """node, n, and the shingles of each range of hashes in a column of their own."""
+    inner = np.array([(k << 64) // SLICES for k in range(1, SLICES)], np.uint64)
+
     def run(batches):
         for batch in batches:
             for part in _parts(batch):
-                yield pa.RecordBatch.from_arrays([part.column("node"), _lists(shingle_sets(part.column("text"), length))], ["node", "shingles"])
+                sets = shingle_sets(part.column("text"), length)
+                cut = [np.split(s, np.searchsorted(s, inner)) for s in sets]
+                ranges = [_lists([c[k] for c in cut]) for k in range(SLICES)]
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([len(s) for s in sets], pa.int32()), *ranges], ["node", "n", *SLICE_NAMES])
 
     return run
 
@@ -198,13 +211,27 @@ def _pairs(members: DataFrame) -> DataFrame:
     return left.join(right, "list").where(allowed & (F.col("na") <= F.col("up")) & (F.col("ga") != F.col("gb"))).select("a", "b").distinct()
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, far, linked): distance of each pair, and whether it is similar enough."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    both = both.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb") - common).alias("union"))
-    return both.select("a", "b", (1 - F.col("common") / F.col("union")).alias("far"), (F.col("common") >= similarity * F.col("union") - 1e-9).alias("linked"))
+def _compared(pairs: DataFrame, sets: DataFrame, similarity: float, exact: bool = True) -> DataFrame:
+    """(a, b, far, linked): distance of each pair, and whether it is similar enough; if not ``exact``, only linked pairs."""
+    judged, before = pairs.select("a", "b", *[F.lit(0).alias(c) for c in ("common", "seen_a", "seen_b")]), None
+    for name in SLICE_NAMES:
+        sides = [sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col(name).alias(f"s{x}")) for x in "ab"]
+        both = judged.join(sides[0], "a").join(sides[1], "b")
+        common = F.col("common") + F.size(F.array_intersect("sa", "sb"))
+        both = both.select("a", "b", "na", "nb", common.alias("common"), *[(F.col(f"seen_{x}") + F.size(f"s{x}")).alias(f"seen_{x}") for x in "ab"])
+        if not exact:
+            most = F.col("common") + F.least(F.col("na") - F.col("seen_a"), F.col("nb") - F.col("seen_b"))
+            both = both.where(_similar(most, F.col("na") + F.col("nb") - most, similarity))
+        judged = stored(both.drop("na", "nb"), "near-compared")
+        if before is not None:
+            discard(before)
+        before = judged
+    union = F.col("seen_a") + F.col("seen_b") - F.col("common")
+    return judged.select("a", "b", (1 - F.col("common") / union).alias("far"), _similar(F.col("common"), union, similarity).alias("linked"))
+
+
+def _similar(common, union, similarity: float):
+    return common >= similarity * union - 1e-9
 
 
 def _postings(prefixes: DataFrame, similarity: float) -> DataFrame:
@@ -250,10 +277,13 @@ def near_copy_links(rows: DataFrame, texts: DataFrame, length: int = SHINGLE, si
     asked = members.select("node").distinct()
     chosen = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc", "mark")).alias("r")).select("r.doc", "r.mark", "node")
     own = texts.join(stored(chosen, "near-chosen"), ["doc", "mark"]).dropDuplicates(["doc", "mark"])
-    sets = stored(own.select("node", "text").mapInArrow(_whole(length), "node bigint, shingles array<bigint>"), "near-sets")
+    columns = ", ".join(f"{name} array<bigint>" for name in SLICE_NAMES)
+    sets = stored(own.select("node", "text").mapInArrow(_whole(length), f"node bigint, n int, {columns}"), "near-sets")
 
-    pairs = _pairs(short).union(_pairs(split.where(F.col("size") <= list_length).drop("size"))).distinct()
-    links = stored(_compared(pairs, sets, similarity).where("linked").select("a", "b"), "near-links")
+    pairs = stored(_pairs(short).union(_pairs(split.where(F.col("size") <= list_length).drop("size"))).distinct(), "near-pairs")
+    discard(members)
+    links = stored(_compared(pairs, sets, similarity, exact=False).where("linked").select("a", "b"), "near-links")
+    discard(pairs)
     rest = split.where(F.col("size") > list_length).drop("size")
     for turn in range(rounds):
         if rest.isEmpty():
@@ -274,7 +304,7 @@ def near_copy_links(rows: DataFrame, texts: DataFrame, length: int = SHINGLE, si
     rest = stored(rest.join(roots, "node", "left").withColumn("known", F.coalesce("known", "node")), "near-rest")
     several = rest.groupBy("list").agg((F.min("known") != F.max("known")).alias("several")).where("several").select("list")
     last = stored(_pairs(rest.join(several, "list")), "near-last")
-    return links.union(_compared(last, sets, similarity).where("linked").select("a", "b"))
+    return links.union(_compared(last, sets, similarity, exact=False).where("linked").select("a", "b"))
 
 
 def keep_first_copy(

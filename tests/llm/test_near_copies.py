@@ -122,3 +122,35 @@ def test_frequent_counts_all_shingles(spark):
     assert sorted(values.tolist()) == sorted([*cut(common).tolist(), *cut(seldom).tolist()])
     rank = dict(zip(values.tolist(), ranks.tolist(), strict=True))
     assert max(rank[s] for s in cut(seldom).tolist()) < min(rank[s] for s in cut(common).tolist())
+
+
+def test_sets_meet_one_range_at_a_time(spark, monkeypatch):
+    """Distances are those of whole sets, but no join ships more than one range of them; hopeless pairs leave after the first."""
+    import re
+
+    import pyarrow as pa
+
+    r = random.Random(10)
+    base = words(r, 200)
+    texts = [" ".join(t) for t in (base, changed(r, base, 3), changed(r, base, 60), words(r, 200))]
+    batch = pa.record_batch({"node": pa.array(range(len(texts))), "text": pa.array(texts)})
+    rows = [row for part in near_copies._whole(5)([batch]) for row in part.to_pylist()]
+    kinds = ", ".join(f"{name} array<bigint>" for name in near_copies.SLICE_NAMES)
+    sets = near_copies.stored(spark.createDataFrame(rows, f"node bigint, n int, {kinds}"), "sets")
+    pairs = near_copies.stored(spark.createDataFrame([(0, k) for k in (1, 2, 3)], "a bigint, b bigint"), "pairs")
+    plans, sizes = [], []
+
+    def spied(df, name, codec=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        sizes.append(df.count())
+        return stored(df, name, codec)
+
+    stored = near_copies.stored
+    monkeypatch.setattr(near_copies, "stored", spied)
+    far = {x.b: (x.far, x.linked) for x in near_copies._compared(pairs, sets, 0.8).collect()}
+    assert all(far[k][0] == pytest.approx(1 - similarity(texts[0], texts[k])) for k in (1, 2, 3))
+    assert [far[k][1] for k in (1, 2, 3)] == [True, False, False]
+    assert all(len(set(re.findall(r"s\d+:array<bigint>", plan))) == 1 for plan in plans) and len(plans) == near_copies.SLICES
+    del plans[:], sizes[:]
+    assert [(x.b, x.far) for x in near_copies._compared(pairs, sets, 0.8, exact=False).collect() if x.linked] == [(1, far[1][0])]
+    assert sizes[0] < 3
