@@ -50,9 +50,9 @@ class WaveletMatrix:
             bit = (x & x.dtype.type(1 << (levels - 1 - level))) != 0
             packed = np.packbits(bit, bitorder="little")
             planes[level].view(np.uint8)[: len(packed)] = packed
-            low, high = np.flatnonzero(~bit), np.flatnonzero(bit)
+            low = np.compress(~bit, x)
             zeros[level] = len(low)
-            x = np.concatenate([x[low], x[high]])
+            x = np.concatenate([low, np.compress(bit, x)])
         ones = np.bitwise_count(planes).reshape(levels, -1, _WORDS).sum(axis=2, dtype=np.uint32)
         directory = np.cumsum(ones, axis=1, dtype=np.uint32) - ones
         return cls(n, zeros, planes, directory, docs.astype(np.int64), starts.astype(np.uint64))

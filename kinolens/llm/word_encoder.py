@@ -4,21 +4,25 @@ Most words of a text have been seen before. Texts are cut at ASCII white space,
 and at a run of ASCII punctuation that ends a word behind an ASCII letter; the
 tokenizer's pattern always cuts at both, so the parts can be encoded alone. Each
 different part of a block is looked up once, and the library encodes only those
-that the memo lacks.
+that the memo lacks. A full memo keeps the parts that came in more than one
+block: most others never come again.
 """
 
 from __future__ import annotations
 
 import os
 from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 
 from kinolens.llm.common import LOWER, NOT_SPACE, blocks, byte_set, word_spans
 
-#: Parts that a worker keeps; the memo starts anew when it is full.
+#: Parts that a worker keeps.
 MEMO = 500_000
+#: Bytes of text in a block: large ones have fewer different parts in all, each of which is looked up.
+ENCODED_BYTES = 1 << 22
 _LETTER = byte_set(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
 _SIGN = byte_set(lambda b: b < 0x80 and not (0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or 0x30 <= b <= 0x39 or b == 0x20 or 0x09 <= b <= 0x0D))
 
@@ -50,7 +54,18 @@ class WordEncoder:
     def clear(self) -> None:
         self.memo: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, self.kind), 0
-        self.first, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.first, self.sizes, self.uses = (np.zeros(1 << 14, np.int64) for _ in range(3))
+
+    def _make_room(self) -> None:
+        """Keep the parts that were used by two blocks since this was done last, unless these are more than half of a memo."""
+        n = len(self.memo)
+        kept = np.flatnonzero(self.uses[:n] > 1)
+        parts, first, sizes, flat = list(self.memo), self.first[kept], self.sizes[kept], self.flat
+        self.clear()
+        if 2 * len(kept) <= self.most:
+            before = np.cumsum(sizes) - sizes
+            ids = flat[np.arange(int(sizes.sum())) + np.repeat(first - before, sizes)]
+            self._add([parts[i] for i in kept.tolist()], ids, sizes)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
@@ -76,14 +91,14 @@ class WordEncoder:
             self._add_lists(rest, [e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)])
 
     def _add_lists(self, parts: list[str], found: list[list[int]]) -> None:
-        self._add(parts, np.array([i for ids in found for i in ids], self.kind), np.array([len(ids) for ids in found], np.int64))
+        self._add(parts, np.fromiter(chain.from_iterable(found), self.kind), np.fromiter(map(len, found), np.int64, len(found)))
 
     def _add(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         n, at = len(self.memo), self.used
         while at + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while n + len(parts) > len(self.first):
-            self.first, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.sizes))
+            self.first, self.sizes, self.uses = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.sizes, self.uses))
         self.flat[at : at + len(ids)] = ids
         self.first[n : n + len(parts)] = at + np.cumsum(sizes) - sizes
         self.sizes[n : n + len(parts)] = sizes
@@ -97,39 +112,50 @@ class WordEncoder:
         if not len(starts):
             return np.zeros(0, self.kind), np.zeros(n, np.int64)
         sign = _SIGN[data]
-        behind_letter = np.flatnonzero(sign[1:] & _LETTER[data[:-1]]) + 1
-        if len(behind_letter):
-            # The last byte that is no sign, for every place: a run reaches its part's end if that lies in front of it.
-            word = np.searchsorted(starts, behind_letter, "right") - 1
-            plain = np.flatnonzero(~sign)
-            last_plain = np.searchsorted(plain, ends[word], "left") - 1
-            cuts = behind_letter[(behind_letter > starts[word]) & (behind_letter < ends[word]) & (plain[last_plain] < behind_letter)]
-            starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
-            doc = np.searchsorted(offsets, starts, "right") - 1
+        closed = np.flatnonzero(sign[ends - 1])
+        if len(closed):
+            # The run of signs that ends each such part; it is cut off if it begins inside the part, behind a letter.
+            runs = np.flatnonzero(sign & ~np.concatenate([[False], sign[:-1]]))
+            cuts = runs[np.searchsorted(runs, ends[closed], "left") - 1]
+            inside = (cuts > starts[closed]) & _LETTER[data[cuts - 1]]
+            closed, cuts = closed[inside], cuts[inside]
+            starts, ends, doc = np.insert(starts, closed + 1, cuts), np.insert(ends, closed, cuts), np.insert(doc, closed + 1, doc[closed])
         sizes = ends - starts
         firsts = np.cumsum(sizes) - sizes
         total = int(sizes.sum())
-        values = data[np.flatnonzero(NOT_SPACE[data])]
-        wide = np.add.reduceat((values >= 0x80).astype(np.int32), firsts) > 0
-        values = np.where(np.repeat(wide, sizes), values, LOWER[values])
+        values = np.compress(NOT_SPACE[data], data)
+        lower, wide = LOWER[values], np.maximum.reduceat(values, firsts) >= 0x80
+        if wide.any():
+            np.copyto(lower, values, where=np.repeat(wide, sizes))
         edges = np.append(firsts, total).astype(np.int32)
-        parts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(edges), pa.py_buffer(values)).dictionary_encode()
+        parts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(edges), pa.py_buffer(lower)).dictionary_encode()
         words = parts.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist() makes a scalar of each first
-        if len(self.memo) + len(words) > self.most:
-            self.clear()
-        missing = [w for w in words if w not in self.memo]
-        if missing:
-            self._learn(missing)
-        held = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))[parts.indices.to_numpy()]
+        known = self._found(words)
+        missing = np.flatnonzero(known < 0)
+        if len(missing) and len(self.memo) + len(missing) > self.most:
+            self.uses[known[known >= 0]] += 1
+            self._make_room()
+            known = self._found(words)
+            missing = np.flatnonzero(known < 0)
+        if len(missing):
+            new = [words[i] for i in missing.tolist()]
+            self._learn(new)
+            known[missing] = self._found(new)
+        self.uses[known] += 1
+        held = known[parts.indices.to_numpy()]
         lengths = self.sizes[held]
         before = np.cumsum(lengths) - lengths
         ids = self.flat[np.arange(int(lengths.sum())) + np.repeat(self.first[held] - before, lengths)]
         return ids, np.bincount(doc, lengths, n).astype(np.int64)
 
+    def _found(self, parts: list[str]) -> np.ndarray:
+        """The numbers of ``parts`` in the memo, -1 for those it lacks."""
+        return np.fromiter(map(self.memo.get, parts, repeat(-1)), np.int64, len(parts))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has."""
         found, counts = [np.zeros(0, self.kind)], [np.zeros(0, np.int64)]
-        for first, data, offsets in blocks(texts):
+        for first, data, offsets in blocks(texts, ENCODED_BYTES):
             ids, n = self._block(data, offsets)
             special = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
             if len(special):

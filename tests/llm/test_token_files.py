@@ -127,3 +127,23 @@ def test_plain_words_need_only_the_model(monkeypatch):
     monkeypatch.setattr(bare, "whole", None)
     ids, n = bare.encode(pa.array(texts[:1]))
     assert ids.tolist() == expected[0]
+
+
+def test_full_memo_keeps_what_comes_again(monkeypatch):
+    """Parts that come in every block are learnt once, however many others pass through the memo."""
+    import pyarrow as pa
+
+    from kinolens.llm import word_encoder
+
+    monkeypatch.setattr(word_encoder, "ENCODED_BYTES", 2000)
+    coder = word_encoder.WordEncoder(token_files.token_model(), memo=400)
+    common = [f"word{chr(97 + i)}{chr(97 + j)}," for i in range(5) for j in range(5)]
+    texts = [" ".join([*common, *(f"x{k}y{i}!?" for i in range(60))]) for k in range(150)]
+    learnt = []
+    learn = coder._learn
+    monkeypatch.setattr(coder, "_learn", lambda parts: (learnt.extend(parts), learn(parts)))
+    ids, n = coder.encode(pa.array(texts))
+    expected = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert n.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+    assert len(learnt) > 10 * 400 and len(coder.memo) <= 400
+    assert all(learnt.count(w) == 1 for w in [c.rstrip(",") for c in common])
