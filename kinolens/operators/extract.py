@@ -45,29 +45,22 @@ def extract_records(df: DataFrame, html: str, record: str, fields: dict, keep=()
     return blocks.select(*keep, "pos", *cols)
 
 
-def _text_of(pattern: str):
-    return lambda block: html_to_text(first_match(block, pattern))
-
-
 def extract_titles(df: DataFrame, html: str = "html", keep=(), drop=UNWANTED_GENRES, only=None) -> DataFrame:
     """Films of listing pages: link, title, year, outline and genre text."""
 
-    def genre(block: Column) -> Column:
-        names = html_to_text(first_match(block, GENRE_SPAN))
+    def genre(names: Column) -> Column:
         return normalise_genres(names, keep=only) if only is not None else normalise_genres(names, drop=drop)
 
-    return extract_records(
-        df,
-        html,
-        TITLE_CELL,
-        {
-            "title_url": LINK_HREF,
-            "title": _text_of(LINK_TEXT),
-            "year": lambda b: F.substring(html_to_text(first_match(b, YEAR_SPAN)), 2, 4),
-            "outline": lambda b: F.coalesce(html_to_text(first_match(b, OUTLINE_SPAN)), F.lit("")),
-            "genre": genre,
-        },
-        keep,
+    # Fields are cut out before they are read: reading names its input many times, and each would run the pattern again.
+    cut = {"title_url": LINK_HREF, "title": LINK_TEXT, "year": YEAR_SPAN, "outline": OUTLINE_SPAN, "genre": GENRE_SPAN}
+    return extract_records(df, html, TITLE_CELL, cut, keep).select(
+        *keep,
+        "pos",
+        "title_url",
+        html_to_text("title").alias("title"),
+        F.substring(html_to_text("year"), 2, 4).alias("year"),
+        F.coalesce(html_to_text("outline"), F.lit("")).alias("outline"),
+        genre(html_to_text("genre")).alias("genre"),
     )
 
 

@@ -76,6 +76,25 @@ def known_keys(spark: SparkSession, path: str, kind: T.DataType, key: str, bucke
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).where(F.col(BATCH) < before).select(key)
 
 
+#: Keys of every batch beside the buckets, in few files; the leading underscore hides them from readers of the table.
+KEYS = "_keys"
+#: A batch that touches more than one in so many buckets reads all keys instead of opening a file per bucket and batch.
+KEYS_SHARE = 8
+
+
+def all_keys(spark: SparkSession, path: str, kind: T.DataType, key: str, before: int) -> DataFrame:
+    """(key) of all rows that batches before ``before`` wrote; a table without its list of keys gets one first."""
+    from kinolens.session import path_exists
+
+    schema = T.StructType([T.StructField(key, kind), T.StructField(BATCH, T.LongType())])
+    if not path_exists(spark, f"{path}/{KEYS}/_SUCCESS"):
+        written = path_exists(spark, path)
+        full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        rows = spark.read.schema(full).parquet(path).select(key, BATCH) if written else spark.createDataFrame([], schema)
+        rows.hint("rebalance", F.col(BATCH)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BATCH).parquet(f"{path}/{KEYS}")
+    return spark.read.schema(schema).parquet(f"{path}/{KEYS}").where(F.col(BATCH) < before).select(key)
+
+
 def stream_new_titles(
     pages: DataFrame,
     extract: Callable[[DataFrame], DataFrame],
@@ -94,11 +113,14 @@ def stream_new_titles(
     The table already written is the memory of the stream, as a collection
     with a unique key would be; no key stays in executor state, which would
     grow for ever without a watermark. It is written by hash buckets of the key,
-    and a batch reads the key column of the buckets its own candidates fall in,
-    so what a small batch reads does not grow with all that was collected.
+    and a small batch reads the key column of the buckets its own candidates
+    fall in, so what it reads does not grow with all that was collected. A batch
+    that touches many buckets would open a file for each of them and each batch
+    before; it reads the list of keys, which has a file or a few per batch.
     A batch that is replayed replaces its own folders.
     """
-    found = extract(pages)
+    # A batch may be one file: its pages are dealt out, so that all cores extract from it.
+    found = extract(pages.repartition(4 * pages.sparkSession.sparkContext.defaultParallelism))
     kind = found.schema[key].dataType
 
     def add(batch: DataFrame, batch_id: int) -> None:
@@ -106,10 +128,17 @@ def stream_new_titles(
         first = dedupe_first(batch, key, order)
         fresh = materialise(not_yet_seen(first, seen, key).withColumn(BUCKET, key_bucket(key, buckets)), "candidates")
         touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
-        rows = not_yet_seen(fresh, known_keys(spark, out, kind, key, touched, batch_id), key).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        listed = all_keys(spark, out, kind, key, batch_id)
+        known = listed if len(touched) * KEYS_SHARE > buckets else known_keys(spark, out, kind, key, touched, batch_id)
+        rows = not_yet_seen(fresh, known, key)
+        # The list goes first: a batch that fails behind it is replayed and overwrites its part.
+        part = f"{out}/{KEYS}/{BATCH}={batch_id}"
+        rows.select(key).hint("rebalance").write.mode("overwrite").parquet(part)
+        if spark.read.schema(T.StructType([T.StructField(key, kind)])).parquet(part).isEmpty():
+            return
         # One file per bucket and batch.
-        writer = rows.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH)
-        writer.parquet(out)
+        dealt = rows.withColumn(BATCH, F.lit(batch_id).cast("long")).repartition(BUCKET)
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH).parquet(out)
 
     writer = found.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

@@ -142,3 +142,33 @@ def test_the_scorer_gets_lists_of_a_batch_and_keys_stay_whole(spark):
     got = score_batches(rows, "id", "text", lambda texts: [[float(len(texts)), float(texts.count(None))] for _ in texts], 10).collect()
     assert [r.vec[0] for r in got] == [10.0] * 20 + [5.0] * 5 and sum(r.vec[1] for r in got) == 10.0
     assert [r.id for r in got] == [big + i if i % 5 else None for i in range(25)]
+
+
+def test_a_batch_of_many_buckets_reads_the_list_of_keys(spark):
+    """Not a file per bucket and earlier batch, which would grow with the number of batches; a table without a list gets one."""
+    out, ckpt, landed = (fresh_dir(spark, x) for x in ("titles", "ckpt", "landed"))
+    seen = spark.createDataFrame([("t3",)], "title_url string")
+    for k in (0, 1, 0):
+        land(spark.createDataFrame([(f"t{k * 40 + i}", k) for i in range(40)], "title_url string, n int").coalesce(1), landed)
+    stream = sm.file_stream(spark, landed, spark.read.parquet(landed).schema, files_per_batch=1)
+    sm.run_to_end(sm.stream_new_titles(stream, lambda p: p, seen, "title_url", out, ckpt, order="n", buckets=16))
+    rows = spark.read.parquet(out)
+    kind, want = rows.schema["title_url"].dataType, sorted(f"t{i}" for i in range(80) if i != 3)
+    assert sorted(r.title_url for r in rows.collect()) == want
+    for _ in range(2):
+        keys = sm.all_keys(spark, out, kind, "title_url", 3)
+        assert sorted(r.title_url for r in keys.collect()) == want and len(keys.inputFiles()) < len(rows.inputFiles()) / 4
+        assert sm.all_keys(spark, out, kind, "title_url", 1).count() in (39, 40)
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{sm.KEYS}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def test_null_keys_stay_new(spark):
+    """A row without a key is known nowhere: each batch adds one."""
+    out, ckpt, landed = (fresh_dir(spark, x) for x in ("titles", "ckpt", "landed"))
+    seen = spark.createDataFrame([], "title_url string")
+    for n in (1, 2):
+        land(spark.createDataFrame([(None, n), (None, n + 5), ("a", n)], "title_url string, n int"), landed)
+        stream = sm.file_stream(spark, landed, spark.read.parquet(landed).schema)
+        sm.run_to_end(sm.stream_new_titles(stream, lambda p: p, seen, "title_url", out, ckpt, order="n", buckets=4))
+    assert sorted((r.title_url or "", r.n) for r in spark.read.parquet(out).collect()) == [("", 1), ("", 2), ("a", 1)]
